@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,13 +68,22 @@ def dictionary_labels(dictionary: DataFrame, features) -> list:
     return [by_feature.get(f, []) for f in features]
 
 
-def indexer_from_dictionary(dictionary: DataFrame, features, suffix: str = CODE_SUFFIX) -> StringIndexerModel:
-    """A StringIndexerModel that applies the dictionary; unseen/NULL -> last index."""
+def indexer_from_dictionary(dictionary: DataFrame, features, suffix: str = CODE_SUFFIX) -> PipelineModel:
+    """One StringIndexerModel per feature; unseen/NULL -> the last index.
+
+    One single-column model per feature: a multi-column model built from
+    ragged label lists pads them to equal length, which would move the
+    "unseen" index.
+    """
     labels = dictionary_labels(dictionary, features)
-    model = StringIndexerModel.from_arrays_of_labels(
-        labels,
-        inputCols=list(features),
-        outputCols=[f + suffix for f in features],
-        handleInvalid="keep",
+    return PipelineModel(
+        stages=[
+            StringIndexerModel.from_labels(lbl, inputCol=f, outputCol=f + suffix, handleInvalid="keep")
+            for f, lbl in zip(features, labels)
+        ]
     )
-    return model
+
+
+def indexer_labels(indexer: PipelineModel) -> list:
+    """Label lists of an indexer built by ``indexer_from_dictionary``."""
+    return [list(m.labels) for m in indexer.stages]

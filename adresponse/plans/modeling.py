@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..config import VERSION_PREFIX, BoostParams, ModelSpec, WINDOW_DAYS
 from ..functions.cleaning import clean_frame
-from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dictionary
+from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dictionary, indexer_labels
 from ..operators.features import cast_features, lookup_features, select_loaded
 from ..operators.ingest import in_window
 from ..operators.sampling import augment_nulls, is_test
@@ -124,7 +124,7 @@ def feature_stages(prepared: DataFrame, spec: ModelSpec) -> tuple[list, int]:
         + [f + "_missing" for f in spec.numeric]
     )
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
-    widest = max([len(lbl) for lbl in indexer.labelsArray] + [0])
+    widest = max([len(lbl) for lbl in indexer_labels(indexer)] + [0])
     return [cleaner, caster, indexer, filler, assembler], max(32, widest + 1)
 
 
@@ -164,7 +164,7 @@ def fit(prepared: DataFrame, spec: ModelSpec, params: BoostParams | None = None,
         secs = time.time() - t0
     finally:
         feats.unpersist()
-    labels = [list(x) for x in stages[2].labelsArray]
+    labels = indexer_labels(stages[2])
     return ClickModel(spec, PipelineModel(stages=stages + [gbt_model]), params, run_id, labels, secs)
 
 
@@ -227,5 +227,5 @@ def load(spark: SparkSession, path: str, spec: ModelSpec) -> ClickModel:
     pipeline = PipelineModel.load(f"{path}/pipeline")
     m = spark.read.json(f"{path}/meta").first()
     params = BoostParams.from_dict(json.loads(m["params"]))
-    labels = [list(x) for x in pipeline.stages[2].labelsArray]
+    labels = indexer_labels(pipeline.stages[2])
     return ClickModel(spec, pipeline, params, m["run_id"], labels, m["fit_seconds"])
