@@ -19,12 +19,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # MIN/MAX/COUNT without filters answered from parquet footers
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "adresponse") -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "adresponse",
+                  warehouse: str | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -35,6 +34,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     bind = os.environ.get("SPARK_LOCAL_IP")
     if bind:
         builder = builder.config("spark.driver.host", bind)

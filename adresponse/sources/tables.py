@@ -43,6 +43,11 @@ def impressions(spark: SparkSession, sf_dir: str | None) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     if sf_dir is None:
         return ev
+    return impressions_from_events(ev)
+
+
+def impressions_from_events(ev: DataFrame) -> DataFrame:
+    """The fixture mapping alone (works on batch and streaming frames alike)."""
     eid, uid = F.col("event_id"), F.col("user_id")
     return ev.select(
         eid.alias("event_id"),
