@@ -46,12 +46,18 @@ def start_ingest(
     return writer.start()
 
 
-def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files under ``path`` as a stream (schema fixed, no inference)."""
+def file_stream(spark: SparkSession, directory: str, schema, pattern: str | None = None,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files landing in ``directory`` as a stream (fixed schema, no inference).
+
+    ``pattern`` keeps only matching file names (``pathGlobFilter``).
+    """
     r = spark.readStream.schema(schema)
+    if pattern:
+        r = r.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    return r.parquet(directory)
 
 
 def rows_in_table(spark: SparkSession, table: str) -> int:
