@@ -95,14 +95,34 @@ def training_rows(
 # ---------------------------------------------------------------------------
 # High-water append
 # ---------------------------------------------------------------------------
+PARTITION_COLUMN = "event_date"
+
+
+def recent(table: DataFrame, as_of, days: int) -> DataFrame:
+    """Only the day partitions that can hold rows newer than the window floor.
+
+    A no-op on unpartitioned frames.  On the day-partitioned training table
+    the predicate on ``event_date`` prunes whole partitions at the scan, so
+    neither the high-water search nor the training load reads old history.
+    """
+    if PARTITION_COLUMN not in table.columns:
+        return table
+    return table.where(F.col(PARTITION_COLUMN) >= F.to_date(window_floor(as_of, days)))
+
+
 def high_water(target: DataFrame, as_of, days: int, ts: str = "timestamp") -> Column:
-    """``COALESCE(MAX(ts), as_of - days)`` of the target, as a scalar subquery."""
-    return F.coalesce(target.select(F.max(ts)).scalar(), window_floor(as_of, days))
+    """``COALESCE(MAX(ts), as_of - days)`` of the target, as a scalar subquery.
+
+    Rows below the floor cannot change which rows are new (new rows must
+    also pass ``ts > floor``), so the maximum is taken over recent
+    partitions only; the set of appended rows is the same.
+    """
+    return F.coalesce(recent(target, as_of, days).select(F.max(ts)).scalar(), window_floor(as_of, days))
 
 
 def new_rows(rows: DataFrame, target: DataFrame, as_of, days: int) -> DataFrame:
-    """rows strictly newer than the target's high-water mark."""
-    return rows.where(F.col("timestamp") > high_water(target, as_of, days))
+    """rows strictly newer than the target's high-water mark (and inside the window)."""
+    return rows.where(in_window(as_of, days) & (F.col("timestamp") > high_water(target, as_of, days)))
 
 
 def high_water_frame(target: DataFrame, as_of, days: int) -> DataFrame:

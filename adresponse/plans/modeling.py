@@ -31,7 +31,7 @@ from ..config import VERSION_PREFIX, BoostParams, ModelSpec, WINDOW_DAYS
 from ..functions.cleaning import clean_frame
 from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dictionary, indexer_labels
 from ..operators.features import cast_features, lookup_features, select_loaded
-from ..operators.ingest import in_window
+from ..operators.ingest import in_window, recent
 from ..operators.sampling import augment_nulls, is_test
 from .stages import FeatureCaster, MissingFill, RowCleaner
 
@@ -44,7 +44,7 @@ KEY = "event_id"
 # ---------------------------------------------------------------------------
 def load_window(training: DataFrame, as_of=None, days: int = WINDOW_DAYS) -> DataFrame:
     """S3: ``SELECT * FROM training WHERE timestamp > as_of - 22 days``."""
-    return training.where(in_window(as_of, days))
+    return recent(training, as_of, days).where(in_window(as_of, days))
 
 
 def prepare(training: DataFrame, spec: ModelSpec, campaigns: DataFrame | None = None,
