@@ -727,3 +727,40 @@ def m10_score_routed(spark, sf_dir):
 @query("k8_inference_log")
 def k8_inference_log(spark, sf_dir):
     return scoring.inference_log(m10_score_routed(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# schema-only table creation (K3/O3) and the scoring-side lookup
+# ---------------------------------------------------------------------------
+@query("o3_schema_only", O.with_ctes(body="SELECT * FROM training LIMIT 0"))
+def o3_schema_only(spark, sf_dir):
+    """The empty frame ``CREATE TABLE ... AS <query> LIMIT 0`` is built from."""
+    return _in(spark, sf_dir).training().limit(0)
+
+
+_J3_SQL = (
+    "SELECT t.event_id, " + ", ".join(f"CAST(t.{c} AS VARCHAR) AS {c}" for c in FEATURE_COLS)
+    + ", c.vertical, c.subvertical"
+    + " FROM training t LEFT JOIN campaign_features c ON CAST(t.campaign_id AS VARCHAR) = c.campaign_id"
+)
+
+
+@query("j3_scoring_lookup", O.with_ctes(body=_J3_SQL))
+def j3_scoring_lookup(spark, sf_dir):
+    """Model-2 requests as the scorer sees them: text features plus looked-up campaign features."""
+    i = _in(spark, sf_dir)
+    req = features.cast_features(i.training(), _M2_LOADED).select("event_id", *_M2_LOADED)
+    return features.lookup_features(req, i.campaigns())
+
+
+@query("m2_tuned_params")
+def m2_tuned_params(spark, sf_dir):
+    """M2: the search logs its best values; retraining reads the latest back (defaults if none)."""
+    import datetime as _dt
+
+    trials = m3_search(spark, sf_dir)
+    best = tuning.best(trials)
+    log = runlog.metric_rows(spark, RUN_ID, MODEL1.name, {f"{MODEL1.name}_hyperparams": best.as_dict()},
+                             _dt.datetime(2024, 2, 1))
+    p = runlog.tuned_params(log, MODEL1.name)
+    return spark.createDataFrame([tuple(p.as_dict().values())], list(p.as_dict().keys()))
