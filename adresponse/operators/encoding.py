@@ -36,8 +36,14 @@ def present(df: DataFrame, features) -> list:
     return [f for f in features if f in df.columns]
 
 
-def fit_dictionary(df: DataFrame, features, numeric_order=()) -> DataFrame:
-    """(feature, category STRING, code INT), codes 0.. in sort order."""
+def fit_dictionary(df: DataFrame, features, numeric_order=(), max_categories: int | None = None) -> DataFrame:
+    """(feature, category STRING, code INT), codes 0.. in sort order.
+
+    ``max_categories`` (default: none) keeps only the most frequent values of
+    each feature (ties broken by value), so a very wide feature does not
+    force a huge ``maxBins`` on the trees; the dropped values then share the
+    unseen index at training and scoring alike.
+    """
     feats = present(df, features)
     pairs = [
         F.struct(
@@ -47,12 +53,21 @@ def fit_dictionary(df: DataFrame, features, numeric_order=()) -> DataFrame:
         )
         for f in feats
     ]
-    values = (
+    stacked = (
         df.select(F.explode(F.array(*pairs)).alias("p"))
         .select("p.*")
         .where(F.col("category").isNotNull())
-        .distinct()
     )
+    if max_categories is None:
+        values = stacked.distinct()
+    else:
+        counted = stacked.groupBy("feature", "category", "num").agg(F.count(F.lit(1)).alias("n"))
+        top = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("num").asc_nulls_last(), "category")
+        values = (
+            counted.withColumn("r", F.row_number().over(top))
+            .where(F.col("r") <= max_categories)
+            .select("feature", "category", "num")
+        )
     w = Window.partitionBy("feature").orderBy(F.col("num").asc_nulls_last(), F.col("category"))
     return values.select(
         "feature", "category", (F.dense_rank().over(w) - 1).cast("int").alias("code")

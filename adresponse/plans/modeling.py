@@ -110,12 +110,14 @@ class ClickModel:
         return len(self.pipeline.stages[-1].trees)
 
 
-def feature_stages(prepared: DataFrame, spec: ModelSpec) -> tuple[list, int]:
+def feature_stages(prepared: DataFrame, spec: ModelSpec, max_categories: int | None = None) -> tuple[list, int]:
     """Cleaner, caster, dictionary (train side only), fill, assembler; and maxBins."""
     cleaner = RowCleaner(spec.clean_policy)
     caster = FeatureCaster(model_types(spec))
     staged = caster.transform(cleaner.transform(prepared))
-    dictionary = fit_dictionary(staged.where(~F.col("is_test")), spec.categorical, spec.numeric_order)
+    dictionary = fit_dictionary(
+        staged.where(~F.col("is_test")), spec.categorical, spec.numeric_order, max_categories
+    )
     indexer = indexer_from_dictionary(dictionary, spec.categorical)
     filler = MissingFill(list(spec.numeric))
     inputs = (
@@ -152,11 +154,11 @@ def assembled(prepared: DataFrame, stages: list, spec: ModelSpec) -> DataFrame:
 
 
 def fit(prepared: DataFrame, spec: ModelSpec, params: BoostParams | None = None,
-        run_id: str | None = None) -> ClickModel:
+        run_id: str | None = None, max_categories: int | None = None) -> ClickModel:
     """Fit one click model; only the assembled features are kept in memory."""
     params = params or BoostParams()
     run_id = run_id or _dt.datetime.now().strftime("run-%Y%m%d%H%M%S")
-    stages, max_bins = feature_stages(prepared, spec)
+    stages, max_bins = feature_stages(prepared, spec, max_categories)
     feats = assembled(prepared, stages, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         t0 = time.time()
