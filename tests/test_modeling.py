@@ -109,3 +109,11 @@ def test_run_log_latest_params(spark):
     assert runlog.tuned_params(log, "MODEL1").max_depth == 7
     assert runlog.tuned_params(log.limit(0), "MODEL1") == BoostParams()
     assert {r.run_id for r in runlog.latest_run(log).collect()} == {"r2"}
+
+
+def test_clean_encode_idempotent_query(spark):
+    import __spark_entry__ as E
+
+    r = E.queries()["e8_clean_encode_twice"](spark, "/root/testdata/sf0.001").first().asDict()
+    n = r.pop("rows")
+    assert n > 0 and all(v == n for v in r.values())
