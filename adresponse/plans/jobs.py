@@ -14,9 +14,10 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import MODEL1, MODEL2, IngestSpec, ModelSpec, WINDOW_DAYS
-from ..operators import ingest, runlog
+from ..operators import ingest, runlog, sampling
 from . import modeling, scoring, tuning
 
 
@@ -54,7 +55,9 @@ def tune_job(spark: SparkSession, training_table: str, runlog_table: str, spec:
              campaigns=None, as_of=None, n_evals: int = 2, parallelism: int = 4, seed: int = 0) -> DataFrame:
     """M3: random search; the best values go to the run log under ``<model>_hyperparams``."""
     training = modeling.load_window(spark.table(training_table), as_of, WINDOW_DAYS)
-    prepared = modeling.prepare(training, spec, _table(spark, campaigns) if campaigns is not None else None)
+    prepared = modeling.materialize(
+        modeling.prepare(training, spec, _table(spark, campaigns) if campaigns is not None else None)
+    )
     trials = tuning.search(spark, prepared, spec, n_evals, parallelism, seed)
     best = tuning.best(trials)
     runlog.append_metrics(
@@ -76,11 +79,15 @@ def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, mod
             else None
         )
     training = modeling.load_window(spark.table(training_table), as_of, WINDOW_DAYS)
-    prepared = modeling.prepare(training, spec, _table(spark, campaigns) if campaigns is not None else None)
+    prepared = modeling.materialize(
+        modeling.prepare(training, spec, _table(spark, campaigns) if campaigns is not None else None)
+    )
     model = modeling.fit(prepared, spec, params, run_id)
     evaluation = modeling.evaluate(model, prepared)
     runlog.append_metrics(spark, runlog_table, runlog.metric_rows(spark, run_id, spec.name, modeling.metrics(model, evaluation)))
-    modeling.save(model, spark, model_path)
+    loaded = [f for f in spec.features if f not in spec.lookup_features]
+    examples = sampling.example_rows(prepared.where(F.col("variant") == 0).select("event_id", *loaded))
+    modeling.save(model, spark, model_path, examples)
     return model
 
 

@@ -33,6 +33,7 @@ from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dicti
 from ..operators.features import cast_features, lookup_features, select_loaded
 from ..operators.ingest import in_window, recent
 from ..operators.sampling import augment_nulls, is_test
+from ..session import checkpoint_dir
 from .stages import FeatureCaster, MissingFill, RowCleaner
 
 EPS = 1e-15
@@ -64,6 +65,24 @@ def prepare(training: DataFrame, spec: ModelSpec, campaigns: DataFrame | None =
     return df.withColumn("is_test", is_test(KEY))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    The prepared frame feeds the dictionary fit, the feature assembly and the
+    evaluation; without this the scan + identity join + augmentation would
+    run three times.  A reliable checkpoint (not a local one) survives the
+    loss of the executors that computed it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def request_signature(spec: ModelSpec) -> str:
+    """M7: the request contract (loaded features and their types)."""
+    loaded = {f: t for f, t in spec.feature_types.items() if f not in spec.lookup_features}
+    return ", ".join(f"{f} {t}" for f, t in loaded.items())
+
+
 def model_types(spec: ModelSpec) -> dict:
     """Categorical features keep their declared type; numeric ones are doubles."""
     return {f: (spec.feature_types[f] if f in spec.categorical else "double") for f in spec.features}
@@ -208,15 +227,18 @@ def metrics(model: ClickModel, evaluation: DataFrame) -> dict:
         f"{n}_encoding_scheme": "StringIndexer(alphabetic/numeric order, keep)",
         f"{n}_scaling_strategy": "None",
         f"{n}_trees": str(model.n_trees),
+        f"{n}_signature": request_signature(model.spec),
     }
 
 
 # ---------------------------------------------------------------------------
 # persistence (K6, K7)
 # ---------------------------------------------------------------------------
-def save(model: ClickModel, spark: SparkSession, path: str) -> None:
-    """K6: pipeline (stages incl. dictionary and trees) + a one-row metadata table."""
+def save(model: ClickModel, spark: SparkSession, path: str, examples: DataFrame | None = None) -> None:
+    """K6: pipeline (stages incl. dictionary and trees), metadata, input examples (M7)."""
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    if examples is not None:
+        examples.coalesce(1).write.mode("overwrite").json(f"{path}/input_example")
     meta = spark.createDataFrame(
         [(model.spec.name, model.run_id, json.dumps(model.params.as_dict(), sort_keys=True), float(model.fit_seconds))],
         "model string, run_id string, params string, fit_seconds double",

@@ -654,9 +654,17 @@ def fitted(spark: SparkSession, sf_dir: str, spec) -> modeling.ClickModel:
     key = (spark.sparkContext.applicationId, sf_dir, spec.name)
     if key not in _MODELS:
         i = _in(spark, sf_dir)
-        prepared = modeling.prepare(i.training(), spec, i.campaigns() if spec.lookup_features else None)
-        _MODELS[key] = modeling.fit(prepared, spec, run_id=RUN_ID)
-    return _MODELS[key]
+        prepared = modeling.materialize(
+            modeling.prepare(i.training(), spec, i.campaigns() if spec.lookup_features else None)
+        )
+        _MODELS[key] = (modeling.fit(prepared, spec, run_id=RUN_ID), prepared)
+    return _MODELS[key][0]
+
+
+def prepared_for(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
+    """The materialized training frame the cached model was fitted on."""
+    fitted(spark, sf_dir, spec)
+    return _MODELS[(spark.sparkContext.applicationId, sf_dir, spec.name)][1]
 
 
 @query("e8_clean_encode_twice")
@@ -667,9 +675,8 @@ def e8_clean_encode_twice(spark, sf_dir):
     comparison needs no join and no shuffle.
     """
     m = fitted(spark, sf_dir, MODEL1)
-    i = _in(spark, sf_dir)
     stages = m.pipeline.stages[:3]
-    once = modeling.prepare(i.training(), MODEL1)
+    once = prepared_for(spark, sf_dir, MODEL1)
     for s in stages:
         once = s.transform(once)
     twice = once.withColumnsRenamed({f + "_idx": "a_" + f for f in MODEL1.categorical})
@@ -684,17 +691,13 @@ def e8_clean_encode_twice(spark, sf_dir):
 @query("m1_fit_summary")
 def m1_fit_summary(spark, sf_dir):
     m = fitted(spark, sf_dir, MODEL1)
-    i = _in(spark, sf_dir)
-    prepared = modeling.prepare(i.training(), MODEL1)
-    return modeling.fit_summary(m, modeling.evaluate(m, prepared))
+    return modeling.fit_summary(m, modeling.evaluate(m, prepared_for(spark, sf_dir, MODEL1)))
 
 
 @query("m4_eval")
 def m4_eval(spark, sf_dir):
     m = fitted(spark, sf_dir, MODEL2)
-    i = _in(spark, sf_dir)
-    prepared = modeling.prepare(i.training(), MODEL2, i.campaigns())
-    return modeling.fit_summary(m, modeling.evaluate(m, prepared))
+    return modeling.fit_summary(m, modeling.evaluate(m, prepared_for(spark, sf_dir, MODEL2)))
 
 
 @query("m3_search")
