@@ -20,6 +20,45 @@ from .modeling import ClickModel, positive_probability
 OUTPUT = ("campaign_id", "position", "model_ctr", "model_version")
 
 
+def request_schema(spec, key: str = "event_id") -> str:
+    """Declared request contract: key plus the loaded features, all nullable.
+
+    Model 1 takes its features as text (the serving cleaners parse numbers
+    and markers); model 2 declares every feature as text.
+    """
+    loaded = [f for f in spec.features if f not in spec.lookup_features]
+    return ", ".join([f"{key} bigint"] + [f"{f} string" for f in loaded])
+
+
+def requests_frame(spark, payload, spec, key: str = "event_id") -> DataFrame:
+    """M8: a request payload as a DataFrame with the declared schema.
+
+    Accepts a DataFrame (returned as is), a pandas DataFrame, a list of
+    records, or ``{"instances": [...]}``; any other shape is rejected.
+    Values are kept as text so markers like ``"NA"`` reach the cleaners.
+    """
+    if isinstance(payload, DataFrame):
+        return payload
+    if isinstance(payload, dict) and "instances" in payload:
+        payload = payload["instances"]
+    try:
+        import pandas as pd
+
+        if isinstance(payload, pd.DataFrame):
+            payload = payload.to_dict("records")
+    except ImportError:  # pandas is optional here
+        pass
+    if not isinstance(payload, list) or not all(isinstance(r, dict) for r in payload):
+        raise TypeError("Invalid model input: expected a DataFrame, a list of records or {'instances': [...]}")
+    schema = request_schema(spec, key)
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+    rows = []
+    for i, r in enumerate(payload):
+        k = r.get(key, i)
+        rows.append(tuple([int(k)] + [None if r.get(n) is None else str(r.get(n)) for n in names[1:]]))
+    return spark.createDataFrame(rows, schema)
+
+
 def check_requests(requests: DataFrame, model: ClickModel) -> None:
     """M7/M8: the request frame must carry every loaded feature."""
     if not isinstance(requests, DataFrame):

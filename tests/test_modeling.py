@@ -117,3 +117,15 @@ def test_clean_encode_idempotent_query(spark):
     r = E.queries()["e8_clean_encode_twice"](spark, "/root/testdata/sf0.001").first().asDict()
     n = r.pop("rows")
     assert n > 0 and all(v == n for v in r.values())
+
+
+def test_request_payload_shapes(spark, m1):
+    model, _ = m1
+    recs = [{"gender": "F", "campaign_id": "7", "traffic_partner_id": "p1", "traffic_source_id": "3",
+             "os_name": "iOS", "age": "42", "hour": 5, "household_income": "NA", "position": 2}]
+    for payload in (recs, {"instances": recs}):
+        df = scoring.requests_frame(spark, payload, MODEL1)
+        out = scoring.score(model, df).collect()
+        assert len(out) == 1 and 0.0 < out[0].model_ctr < 1.0 and out[0].position == 2
+    with pytest.raises(TypeError):
+        scoring.requests_frame(spark, "not a payload", MODEL1)
