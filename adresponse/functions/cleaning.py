@@ -16,6 +16,10 @@ everything stays inside whole-stage codegen; no Python UDF is involved.
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -32,13 +36,33 @@ from ..config import (
 POLICIES = ("train", "lookup", "serve")
 
 # Decimal text as a float parser reads it: sign, digits with single
-# underscores between them, optional fraction and exponent, outer blanks.
+# underscores between them, optional fraction and exponent, outer blanks
+# (Unicode whitespace, hence the (?U) flag).  Digits are ASCII here because
+# every Unicode decimal digit is first translated to its ASCII value.
 NUMBER_PATTERN = (
-    r"^\s*[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
+    r"(?U)^\s*[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
     r"([eE][+-]?[0-9]+(_[0-9]+)*)?\s*$"
 )
-INFINITY_PATTERN = r"^\s*[+-]?(inf|infinity)\s*$"
+INFINITY_PATTERN = r"(?U)^\s*[+-]?(inf|infinity)\s*$"
 DIGITS_PATTERN = r"^[0-9]+$"
+OUTER_SPACE = r"(?U)^\s+|\s+$"
+
+
+@functools.lru_cache(maxsize=1)
+def decimal_digits() -> tuple[str, str]:
+    """All non-ASCII Unicode decimal digits and their ASCII values (built from unicodedata)."""
+    src, dst = [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.decimal(ch)))
+    return "".join(src), "".join(dst)
+
+
+def ascii_digits(c: Column) -> Column:
+    src, dst = decimal_digits()
+    return F.translate(c, src, dst)
 
 
 def _check(policy: str) -> None:
@@ -73,11 +97,12 @@ def clean_gender(c: Column, policy: str = "train") -> Column:
 
 def parse_number_text(c: Column) -> Column:
     """Text -> double the way a float parser reads it; markers and junk -> NULL."""
-    t = F.trim(c)
+    a = ascii_digits(c)
+    t = F.regexp_replace(a, OUTER_SPACE, "")
     return (
         F.when(_missing_text(c), F.lit(None).cast("double"))
-        .when(c.rlike(NUMBER_PATTERN), F.regexp_replace(t, "_", "").try_cast("double"))
-        .when(F.lower(c).rlike(INFINITY_PATTERN), t.try_cast("double"))
+        .when(a.rlike(NUMBER_PATTERN), F.regexp_replace(t, "_", "").try_cast("double"))
+        .when(F.lower(a).rlike(INFINITY_PATTERN), t.try_cast("double"))
     )
 
 
@@ -99,9 +124,14 @@ def clean_number(c: Column, dtype, policy: str = "serve") -> Column:
 
 
 def clean_traffic_source(c: Column, dtype) -> Column:
-    """Numbers cast to double; text only when all characters are digits."""
+    """Numbers cast to double; text only when all characters are decimal digits.
+
+    Non-decimal numeric characters (fractions, numerals) make the original
+    fail outright; here they give NULL.
+    """
     if isinstance(dtype, StringType):
-        out = F.when(c.rlike(DIGITS_PATTERN), c.try_cast("double"))
+        a = ascii_digits(c)
+        out = F.when(a.rlike(DIGITS_PATTERN), a.try_cast("double"))
     elif isinstance(dtype, NumericType):
         out = c.cast("double")
     else:
