@@ -46,6 +46,7 @@ NUMBER_PATTERN = (
 INFINITY_PATTERN = r"(?U)^\s*[+-]?(inf|infinity)\s*$"
 DIGITS_PATTERN = r"^[0-9]+$"
 OUTER_SPACE = r"(?U)^\s+|\s+$"
+PLAIN_DECIMAL = r"^-?[0-9]*\.?[0-9]*$"
 
 
 @functools.lru_cache(maxsize=1)
@@ -61,8 +62,9 @@ def decimal_digits() -> tuple[str, str]:
 
 
 def ascii_digits(c: Column) -> Column:
+    """Unicode decimal digits -> ASCII; ASCII-only text (same char and byte length) skips the table."""
     src, dst = decimal_digits()
-    return F.translate(c, src, dst)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, src, dst))
 
 
 def _check(policy: str) -> None:
@@ -96,11 +98,17 @@ def clean_gender(c: Column, policy: str = "train") -> Column:
 
 
 def parse_number_text(c: Column) -> Column:
-    """Text -> double the way a float parser reads it; markers and junk -> NULL."""
+    """Text -> double the way a float parser reads it; markers and junk -> NULL.
+
+    Plain ``-?digits.digits`` text (nearly all rows) goes straight to the
+    cast, where Spark and a float parser agree; only other text pays for the
+    Unicode digit/whitespace handling and the full pattern.
+    """
     a = ascii_digits(c)
     t = F.regexp_replace(a, OUTER_SPACE, "")
     return (
         F.when(_missing_text(c), F.lit(None).cast("double"))
+        .when(c.rlike(PLAIN_DECIMAL), c.try_cast("double"))
         .when(a.rlike(NUMBER_PATTERN), F.regexp_replace(t, "_", "").try_cast("double"))
         .when(F.lower(a).rlike(INFINITY_PATTERN), t.try_cast("double"))
     )
