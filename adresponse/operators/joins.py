@@ -20,8 +20,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+# A side stored in more files than this is not counted at all (metadata check).
+DEFAULT_BROADCAST_FILES = 512
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_files: int = DEFAULT_BROADCAST_FILES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A side spread over many files is declared large from its file list alone
+    (no job); otherwise a bounded count reads at most ``max_rows + 1`` rows.
+    """
+    if len(df.inputFiles()) > max_files:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -95,3 +95,13 @@ def test_fixture_views_schema(spark):
     assert dict(imp.dtypes)["campdata_flowimpressionposition"] == "int"
     cf = tables.campaign_features(spark, SF0001)
     assert cf.count() == 90 and cf.select("campaign_id").distinct().count() == 90
+
+
+def test_broadcast_check_is_bounded(spark):
+    from adresponse.operators import joins
+
+    camp = tables.campaign_features(spark, SF001)
+    assert joins.is_small(camp, max_rows=90) and not joins.is_small(camp, max_rows=89)
+    assert not joins.is_small(camp, max_files=0)  # decided from the file list alone
+    plan = joins.broadcast_if_small(camp)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan.lower()
