@@ -58,7 +58,7 @@ def left_join_spread_nulls(
     jk = "__jk"
     lk = F.col(left_key)
     probe = left.withColumn(
-        jk, F.coalesce(lk, F.concat(F.lit("\u0000null:"), F.col(spread_by).cast("string")))
+        jk, F.coalesce(lk, F.concat(F.lit("~null:"), F.col(spread_by).cast("string")))
     )
     cond = (probe[jk] == right[right_key]) & probe[left_key].isNotNull()
     return probe.join(right, cond, "left").drop(jk)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import MODEL1, MODEL2, IngestSpec, ModelSpec, WINDOW_DAYS
 from ..operators import ingest, runlog, sampling
+from ..session import apply_scale_settings
 from . import modeling, scoring, tuning
 
 
@@ -30,9 +31,16 @@ def _run_id(prefix: str) -> str:
 
 
 def ingest_job(spark: SparkSession, impressions, identity, training_table: str, runlog_table: str,
-               as_of=None, spec: IngestSpec = IngestSpec(), run_id: str | None = None) -> DataFrame:
-    """K1-K5: append new training rows and log the audit to the run log."""
+               as_of=None, spec: IngestSpec = IngestSpec(), run_id: str | None = None,
+               input_bytes: int | None = None) -> DataFrame:
+    """K1-K5: append new training rows and log the audit to the run log.
+
+    ``input_bytes`` (the day's impressions + identity) sizes file splits and
+    shuffle partitions for the run; without it the session's settings stay.
+    """
     run_id = run_id or _run_id("ingest")
+    if input_bytes:
+        apply_scale_settings(spark, input_bytes)
     schema = training_table.rsplit(".", 1)[0] if "." in training_table else None
     if schema:
         ingest.ensure_schema(spark, schema)
@@ -69,9 +77,11 @@ def tune_job(spark: SparkSession, training_table: str, runlog_table: str, spec:
 
 def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, model_path: str,
                 spec: ModelSpec = MODEL1, campaigns=None, as_of=None, params=None,
-                run_id: str | None = None) -> modeling.ClickModel:
+                run_id: str | None = None, input_bytes: int | None = None) -> modeling.ClickModel:
     """M1/M2/M4/K6/K9: fit with tuned (or default) values, evaluate, log, save."""
     run_id = run_id or _run_id("train")
+    if input_bytes:
+        apply_scale_settings(spark, input_bytes)
     if params is None:
         params = (
             runlog.tuned_params(spark.table(runlog_table), spec.name)

@@ -54,3 +54,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run that reads ``input_bytes`` on ``total_cores`` task slots.
+
+    File splits and shuffle partitions aim at ``target_partition_bytes`` each
+    (fits an executor core's memory with room for sort/aggregation buffers);
+    the shuffle starts with enough partitions for that size, rounded up to
+    whole waves of the cluster, and AQE coalesces small ones and splits
+    skewed ones at run time.
+    """
+    waves = max(1, -(-input_bytes // (target_partition_bytes * max(1, total_cores))))
+    partitions = max(total_cores, waves * total_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, total_cores: int | None = None) -> dict:
+    """Set ``scale_settings`` on a running session (all are runtime SQL settings)."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = scale_settings(input_bytes, cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -69,3 +69,13 @@ def test_hot_key_split_by_aqe_and_exact(spark):
         final = got._jdf.queryExecution().executedPlan().toString()
     assert tuple(row) == tuple(expected)
     assert "skew=true" in final
+
+
+def test_scale_settings_size_partitions():
+    from adresponse.session import scale_settings
+
+    tb100 = 100 * 1024**4
+    s = scale_settings(tb100, total_cores=8000)
+    parts = int(s["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and tb100 / parts <= 256 * 1024**2
+    assert int(scale_settings(10 * 1024**2, total_cores=8)["spark.sql.shuffle.partitions"]) == 8
