@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..config import (
     AUGMENT_FRACTION,
@@ -18,7 +17,6 @@ from ..config import (
     MODEL1,
     MODEL2,
     WINDOW_DAYS,
-    IngestSpec,
 )
 from ..functions import cleaning as C
 from ..operators import encoding, features, ingest, runlog, sampling

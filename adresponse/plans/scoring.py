@@ -17,9 +17,6 @@ from ..functions.hashing import below
 from ..operators.features import cast_features, lookup_features
 from .modeling import ClickModel, positive_probability
 
-OUTPUT = ("campaign_id", "position", "model_ctr", "model_version")
-
-
 def request_schema(spec, key: str = "event_id") -> str:
     """Declared request contract: key plus the loaded features, all nullable.
 

@@ -13,7 +13,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
