@@ -105,3 +105,14 @@ def test_broadcast_check_is_bounded(spark):
     assert not joins.is_small(camp, max_files=0)  # decided from the file list alone
     plan = joins.broadcast_if_small(camp)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_window_bound_pushed_for_run_time_as_of(spark):
+    """With a run-time as_of (literal or now()) the bound itself reaches the parquet reader."""
+    import datetime as dt
+
+    for as_of in (dt.datetime(2024, 1, 30), None):
+        df = ingest.training_rows(tables.impressions(spark, SF001), tables.identity(spark, SF001), as_of)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = [ln for ln in plan.splitlines() if "events.parquet" in ln][0]
+        assert "GreaterThan(ts," in scan
