@@ -68,12 +68,19 @@ def prepare(training: DataFrame, spec: ModelSpec, campaigns: DataFrame | None =
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
 
-    The prepared frame feeds the dictionary fit, the feature assembly and the
-    evaluation; without this the scan + identity join + augmentation would
-    run three times.  A reliable checkpoint (not a local one) survives the
+    The prepared frame feeds the dictionary fit, the feature assembly, the
+    boosting passes and the evaluation; without this the scan + identity
+    join + augmentation would run again for each.  A reliable checkpoint (not a local one) survives the
     loss of the executors that computed it.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    # Boosting makes dozens of passes over this frame; with fewer partitions
+    # than task slots (small inputs, a single file split) spread it once by
+    # key.  Cluster-sized inputs already have more partitions and skip this.
+    slots = spark.sparkContext.defaultParallelism
+    if KEY in df.columns and df.rdd.getNumPartitions() < slots:
+        df = df.repartition(slots, KEY)
     return df.checkpoint(eager=True)
 
 
