@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MODEL1, MODEL2, IngestSpec, ModelSpec, WINDOW_DAYS
-from ..operators import ingest, runlog, sampling
+from ..operators import ingest, joins, runlog, sampling
 from ..session import apply_scale_settings
 from . import modeling, scoring, tuning
 
@@ -26,6 +26,15 @@ def _table(spark: SparkSession, t) -> DataFrame:
     return spark.table(t) if isinstance(t, str) else t
 
 
+def _campaigns(spark: SparkSession, campaigns, spec: ModelSpec):
+    """The campaign feature table of a lookup model, its key checked unique."""
+    if not spec.lookup_features or campaigns is None:
+        return None
+    df = _table(spark, campaigns)
+    joins.assert_unique_key(df, "campaign_id")
+    return df
+
+
 def _run_id(prefix: str) -> str:
     return _dt.datetime.now().strftime(f"{prefix}-%Y%m%d%H%M%S%f")
 
@@ -63,9 +72,7 @@ def tune_job(spark: SparkSession, training_table: str, runlog_table: str, spec:
              campaigns=None, as_of=None, n_evals: int = 2, parallelism: int = 4, seed: int = 0) -> DataFrame:
     """M3: random search; the best values go to the run log under ``<model>_hyperparams``."""
     training = modeling.load_window(spark.table(training_table), as_of, WINDOW_DAYS)
-    prepared = modeling.materialize(
-        modeling.prepare(training, spec, _table(spark, campaigns) if campaigns is not None else None)
-    )
+    prepared = modeling.materialize(modeling.prepare(training, spec, _campaigns(spark, campaigns, spec)))
     trials = tuning.search(spark, prepared, spec, n_evals, parallelism, seed)
     best = tuning.best(trials)
     runlog.append_metrics(
@@ -89,9 +96,8 @@ def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, mod
             else None
         )
     training = modeling.load_window(spark.table(training_table), as_of, WINDOW_DAYS)
-    prepared = modeling.materialize(
-        modeling.prepare(training, spec, _table(spark, campaigns) if campaigns is not None else None)
-    )
+    lookup = _campaigns(spark, campaigns, spec)
+    prepared = modeling.materialize(modeling.prepare(training, spec, lookup))
     model = modeling.fit(prepared, spec, params, run_id)
     evaluation = modeling.evaluate(model, prepared)
     runlog.append_metrics(spark, runlog_table, runlog.metric_rows(spark, run_id, spec.name, modeling.metrics(model, evaluation)))
@@ -106,6 +112,6 @@ def score_job(spark: SparkSession, requests, model1_path: str, model2_path: str,
     """M10 + K8: route each request to one model, score, append to the inference log."""
     m1 = modeling.load(spark, model1_path, MODEL1)
     m2 = modeling.load(spark, model2_path, MODEL2)
-    scored = scoring.score_routed(_table(spark, requests), m1, m2, _table(spark, campaigns), pct_model1)
+    scored = scoring.score_routed(_table(spark, requests), m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1)
     scoring.append_inference_log(spark, scored, inference_table)
     return spark.table(inference_table)

@@ -116,3 +116,14 @@ def test_window_bound_pushed_for_run_time_as_of(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         scan = [ln for ln in plan.splitlines() if "events.parquet" in ln][0]
         assert "GreaterThan(ts," in scan
+
+
+def test_duplicate_feature_keys_rejected(spark):
+    import pytest
+
+    from adresponse.operators import joins
+
+    camp = tables.campaign_features(spark, SF0001)
+    joins.assert_unique_key(camp, "campaign_id")
+    with pytest.raises(ValueError):
+        joins.assert_unique_key(camp.unionByName(camp.limit(1)), "campaign_id")
