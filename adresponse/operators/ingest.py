@@ -50,7 +50,8 @@ def partner_ok(excluded: str, col: str = "trafsrc_trafficpartnerid") -> Column:
 
 
 def filter_impressions(impressions: DataFrame, as_of, spec: IngestSpec = IngestSpec()) -> DataFrame:
-    return impressions.where(
+    """F1-F3; a day-partitioned impressions table is also pruned to the window's days."""
+    return recent(impressions, as_of, spec.window_days).where(
         in_window(as_of, spec.window_days)
         & position_ok(spec.max_position)
         & partner_ok(spec.excluded_partner)
@@ -101,9 +102,10 @@ PARTITION_COLUMN = "event_date"
 def recent(table: DataFrame, as_of, days: int) -> DataFrame:
     """Only the day partitions that can hold rows newer than the window floor.
 
-    A no-op on unpartitioned frames.  On the day-partitioned training table
-    the predicate on ``event_date`` prunes whole partitions at the scan, so
-    neither the high-water search nor the training load reads old history.
+    A no-op on unpartitioned frames.  On a day-partitioned table (the
+    training table, or impressions stored by day) the predicate on
+    ``event_date`` prunes whole partitions at the scan, so neither the
+    ingest, the high-water search nor the training load reads old history.
     """
     if PARTITION_COLUMN not in table.columns:
         return table

@@ -127,3 +127,15 @@ def test_duplicate_feature_keys_rejected(spark):
     joins.assert_unique_key(camp, "campaign_id")
     with pytest.raises(ValueError):
         joins.assert_unique_key(camp.unionByName(camp.limit(1)), "campaign_id")
+
+
+def test_day_partitioned_impressions_are_pruned(spark, scratch):
+    imp = tables.impressions(spark, SF001).withColumn("event_date", F.to_date("timestamp"))
+    imp.write.partitionBy("event_date").parquet(f"{scratch}/imp")
+    part = spark.read.parquet(f"{scratch}/imp")
+    as_of = part.agg(F.max("timestamp")).first()[0]
+    rows = ingest.training_rows(part, tables.identity(spark, SF001), as_of)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "PartitionFilters" in ln and "event_date" in ln][0]
+    assert "PartitionFilters: [isnotnull(event_date" in scan
+    assert rows.count() == 3424
