@@ -22,6 +22,7 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 # A side stored in more files than this is not counted at all (metadata check).
 DEFAULT_BROADCAST_FILES = 512
+_SMALL: dict = {}
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -31,9 +32,14 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     A side spread over many files is declared large from its file list alone
     (no job); otherwise a bounded count reads at most ``max_rows + 1`` rows.
     """
-    if len(df.inputFiles()) > max_files:
+    files = df.inputFiles()
+    if len(files) > max_files:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    # same plan over the same files holds the same rows: count once per session
+    key = (df.semanticHash(), tuple(sorted(files)), max_rows)
+    if key not in _SMALL:
+        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _SMALL[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
