@@ -43,3 +43,28 @@ def test_workflow(spark, scratch):
     log = jobs.score_job(spark, "ml.training", f"{scratch}/m1", f"{scratch}/m2", "src.campaigns", "ml.inference_log")
     assert log.count() == 340
     assert set(log.columns) >= {"event_id", "campaign_id", "position", "model_ctr", "model_version", "served_model", "scored_at"}
+
+
+def test_command_line(spark, scratch, capsys):
+    from adresponse.__main__ import main
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS cli")
+    for name, df in (
+        ("cli.impressions", tables.impressions(spark, SF)),
+        ("cli.identity", tables.identity(spark, SF)),
+        ("cli.campaigns", tables.campaign_features(spark, SF)),
+    ):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        df.write.saveAsTable(name)
+    for t in ("cli.training", "cli.run_log", "cli.inference"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    as_of = str(spark.table("cli.impressions").agg(F.max("timestamp")).first()[0])
+    main(["ingest", "--impressions", "cli.impressions", "--identity", "cli.identity",
+          "--training", "cli.training", "--runlog", "cli.run_log", "--as-of", as_of])
+    assert '"rows_inserted": 340' in capsys.readouterr().out
+    for model, extra in (("MODEL1", []), ("MODEL2", ["--campaigns", "cli.campaigns"])):
+        main(["retrain", "--training", "cli.training", "--runlog", "cli.run_log",
+              "--model-path", f"{scratch}/{model}", "--model", model, "--as-of", as_of, *extra])
+    main(["score", "--requests", "cli.training", "--model1-path", f"{scratch}/MODEL1",
+          "--model2-path", f"{scratch}/MODEL2", "--campaigns", "cli.campaigns", "--inference", "cli.inference"])
+    assert '"inference_rows": 340' in capsys.readouterr().out
