@@ -419,8 +419,12 @@ def e2_int_to_double(spark, sf_dir):
     return features.int_to_double_plan(prepared.where(~F.col("is_test")), _M1_FEATS)
 
 
+def _sql_name(f: str) -> str:
+    return '"position"' if f == "position" else f
+
+
 _E4_JOIN = "".join(
-    f"\nLEFT JOIN m1_dict d{k} ON d{k}.feature = '{f}' AND d{k}.category = CAST(t.{'\"position\"' if f == 'position' else f} AS VARCHAR)"
+    f"\nLEFT JOIN m1_dict d{k} ON d{k}.feature = '{f}' AND d{k}.category = CAST(t.{_sql_name(f)} AS VARCHAR)"
     for k, f in enumerate(MODEL1.categorical)
 )
 _E4_SIZES = """
@@ -464,8 +468,9 @@ def e4_encode_unseen(spark, sf_dir):
     """Test rows that fall in the shared unseen/NULL index, per feature."""
     typed = _m1_prepared(spark, sf_dir)
     d = encoding.fit_dictionary(typed.where(~F.col("is_test")), MODEL1.categorical, MODEL1.numeric_order)
-    sizes = {f: len(lbl) for f, lbl in zip(MODEL1.categorical, encoding.dictionary_labels(d, MODEL1.categorical))}
-    enc = encoding.indexer_from_dictionary(d, MODEL1.categorical).transform(typed.where(F.col("is_test")))
+    indexer = encoding.indexer_from_dictionary(d, MODEL1.categorical)
+    sizes = {f: len(lbl) for f, lbl in zip(MODEL1.categorical, encoding.indexer_labels(indexer))}
+    enc = indexer.transform(typed.where(F.col("is_test")))
     agg = enc.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(f + "_idx") == float(sizes[f])).alias(f) for f in MODEL1.categorical],
