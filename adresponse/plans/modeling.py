@@ -33,7 +33,7 @@ from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dicti
 from ..operators.features import cast_features, lookup_features, select_loaded
 from ..operators.ingest import in_window, recent
 from ..operators.sampling import augment_nulls, is_test
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, default_parallelism
 from .stages import FeatureCaster, MissingFill, RowCleaner
 
 EPS = 1e-15
@@ -78,8 +78,12 @@ def materialize(df: DataFrame) -> DataFrame:
     # Boosting makes dozens of passes over this frame; with fewer partitions
     # than task slots (small inputs, a single file split) spread it once by
     # key.  Cluster-sized inputs already have more partitions and skip this.
-    slots = spark.sparkContext.defaultParallelism
-    if KEY in df.columns and df.rdd.getNumPartitions() < slots:
+    slots = default_parallelism(spark)
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view on remote sessions; keep the input layout
+        parts = slots
+    if KEY in df.columns and parts < slots:
         df = df.repartition(slots, KEY)
     return df.checkpoint(eager=True)
 

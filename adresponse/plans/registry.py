@@ -652,9 +652,16 @@ def m9_route(spark, sf_dir):
 _MODELS: dict = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # remote session
+        return f"session-{id(spark)}"
+
+
 def fitted(spark: SparkSession, sf_dir: str, spec) -> modeling.ClickModel:
     """Fit once per (session, data, model) and reuse across the model queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, spec.name)
+    key = (_session_key(spark), sf_dir, spec.name)
     if key not in _MODELS:
         i = _in(spark, sf_dir)
         prepared = modeling.materialize(
@@ -667,7 +674,7 @@ def fitted(spark: SparkSession, sf_dir: str, spec) -> modeling.ClickModel:
 def prepared_for(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
     """The materialized training frame the cached model was fitted on."""
     fitted(spark, sf_dir, spec)
-    return _MODELS[(spark.sparkContext.applicationId, sf_dir, spec.name)][1]
+    return _MODELS[(_session_key(spark), sf_dir, spec.name)][1]
 
 
 @query("e8_clean_encode_twice")

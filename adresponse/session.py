@@ -47,7 +47,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts; a scratch folder only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="adresponse-ckpt-")
@@ -78,8 +81,16 @@ def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: i
 
 def apply_scale_settings(spark: SparkSession, input_bytes: int, total_cores: int | None = None) -> dict:
     """Set ``scale_settings`` on a running session (all are runtime SQL settings)."""
-    cores = total_cores or spark.sparkContext.defaultParallelism
+    cores = total_cores or default_parallelism(spark)
     conf = scale_settings(input_bytes, cores)
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (falls back to the shuffle setting on remote sessions)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
