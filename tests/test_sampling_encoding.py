@@ -98,3 +98,21 @@ def test_category_cap_keeps_most_frequent(spark):
     idx = encoding.indexer_from_dictionary(d, ["c"])
     test = spark.createDataFrame([("c",), ("a",)], "c string")
     assert [r["c_idx"] for r in idx.transform(test).collect()] == [2.0, 0.0]
+
+
+def test_int_columns_with_nulls_become_double(spark):
+    from adresponse.config import MODEL1
+    from adresponse.operators import features
+    from adresponse.plans import modeling
+
+    prepared = modeling.prepare(_training(spark), MODEL1).where(~F.col("is_test"))
+    cols = ["hour", "position", "traffic_source_id", "age", "gender"]
+    out = features.promote_ints_with_nulls(prepared, cols)
+    types = dict(out.dtypes)
+    assert types["hour"] == "int"  # never NULL
+    assert types["position"] == types["traffic_source_id"] == types["age"] == "double"
+    assert types["gender"] == "string"
+    same = out.select(*[F.col(c).cast("string") for c in cols]).exceptAll(
+        prepared.select(*[F.col(c).cast("double").cast("string") if c != "gender" and c != "hour" else F.col(c).cast("string") for c in cols])
+    )
+    assert same.count() == 0
