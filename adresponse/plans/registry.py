@@ -776,3 +776,21 @@ def m2_tuned_params(spark, sf_dir):
                              _dt.datetime(2024, 2, 1))
     p = runlog.tuned_params(log, MODEL1.name)
     return spark.createDataFrame([tuple(p.as_dict().values())], list(p.as_dict().keys()))
+
+
+_E7_SQL = O.with_ctes(
+    body=f"""SELECT event_id, {O.gender_sql('gender', 'serve')} AS gender, campaign_id, traffic_partner_id,
+       CAST(traffic_source_id AS DOUBLE) AS traffic_source_id, {O.os_sql('os_name', 'serve')} AS os_name,
+       {O.number_typed_sql('age')} AS age, CAST(hour AS INTEGER) AS hour,
+       {O.number_typed_sql('household_income')} AS household_income, CAST("position" AS INTEGER) AS "position"
+FROM training""",
+)
+
+
+@query("e7_serve_cast", _E7_SQL)
+def e7_serve_cast(spark, sf_dir):
+    """Serving rows cleaned (serve policy) and cast to model 1's feature types."""
+    from .stages import FeatureCaster
+
+    served = C.clean_frame(_in(spark, sf_dir).training(), "serve")
+    return FeatureCaster(modeling.model_types(MODEL1)).transform(served).select("event_id", *MODEL1.features)
