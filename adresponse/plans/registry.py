@@ -794,3 +794,21 @@ def e7_serve_cast(spark, sf_dir):
 
     served = C.clean_frame(_in(spark, sf_dir).training(), "serve")
     return FeatureCaster(modeling.model_types(MODEL1)).transform(served).select("event_id", *MODEL1.features)
+
+
+_M1_FRAME_COLS = ["event_id", "variant", *MODEL1.features, "click", "is_test"]
+_M2_FRAME_COLS = ["event_id", "variant", *MODEL2.features, "click", "is_test"]
+
+
+@query("e1_model1_frame", O.with_ctes(
+    _M1_CLEAN, _M1_AUG, _M1_TYPED, body="SELECT " + ", ".join(_sql_name(c) for c in _M1_FRAME_COLS) + " FROM m1_typed"))
+def e1_model1_frame(spark, sf_dir):
+    """Model 1's training frame: clean -> augment -> split flag -> feature types."""
+    return _m1_prepared(spark, sf_dir).select(*_M1_FRAME_COLS)
+
+
+@query("e1_model2_frame", O.with_ctes(
+    _M2_TEXT, _M2_AUG, _M2_CLEAN, body="SELECT " + ", ".join(_sql_name(c) for c in _M2_FRAME_COLS) + " FROM m2_clean"))
+def e1_model2_frame(spark, sf_dir):
+    """Model 2's training frame: text cast -> lookup -> augment -> split flag -> clean -> types."""
+    return _m2_prepared(spark, sf_dir).select(*_M2_FRAME_COLS)
