@@ -46,13 +46,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts; a scratch folder only when unset."""
+    """Shared folder for lineage cuts, read from the session.
+
+    Only a local-mode session (tests, bench) without one gets a scratch
+    folder; a cluster session without ``spark.checkpoint.dir`` is an error.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: the server owns the folder
         return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot read a folder local to the driver
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="adresponse-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
