@@ -677,12 +677,15 @@ def prepared_for(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
     return _MODELS[(_session_key(spark), sf_dir, spec.name)][1]
 
 
-@query("e8_clean_encode_twice")
+@query("e8_clean_encode_twice", O.with_ctes(
+    _M1_CLEAN, _M1_AUG,
+    body="SELECT count(*) AS rows, " + ", ".join(f"count(*) AS {f}" for f in MODEL1.categorical) + " FROM m1_aug"))
 def e8_clean_encode_twice(spark, sf_dir):
     """Cleaning + encoding applied twice equals once (model 1), per feature.
 
     The second pass runs on the first pass's output row by row, so the
-    comparison needs no join and no shuffle.
+    comparison needs no join and no shuffle.  The oracle states the property:
+    every augmented row agrees in every feature.
     """
     m = fitted(spark, sf_dir, MODEL1)
     stages = m.pipeline.stages[:3]
