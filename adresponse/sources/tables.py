@@ -115,3 +115,15 @@ def latest_event_time(spark: SparkSession, sf_dir: str | None) -> Column:
     Production passes the run time instead (``F.localtimestamp()``).
     """
     return impressions(spark, sf_dir).select(F.max("timestamp")).scalar()
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Write a dimension bucketed (and sorted) by its join key.
+
+    A join on ``key`` then reads this side already partitioned: only the
+    other side is shuffled, so a daily ingest no longer moves the whole
+    identity table.  Trade-off: AQE splits skewed partitions only when both
+    sides are shuffled, so with a bucketed side a hot key is not split (NULL
+    keys are still spread).  Rewrite when the dimension changes.
+    """
+    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

@@ -79,3 +79,19 @@ def test_scale_settings_size_partitions():
     parts = int(s["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and tb100 / parts <= 256 * 1024**2
     assert int(scale_settings(10 * 1024**2, total_cores=8)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_bucketed_identity_is_not_shuffled(spark):
+    from adresponse.sources.tables import save_bucketed
+
+    spark.sql("DROP TABLE IF EXISTS default.identity_bucketed")
+    save_bucketed(tables.identity(spark, SF), "default.identity_bucketed", "sha256_email_address", 8)
+    ident = spark.table("default.identity_bucketed")
+    imp = tables.impressions(spark, SF)
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        j = ingest.join_identity(imp, ident)
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        n = j.count()
+    assert plan.count("Exchange hashpartitioning") == 1  # the impressions side only
+    assert "Exchange hashpartitioning(__jk" in plan
+    assert n == imp.count()
