@@ -15,7 +15,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from .config import MODEL1, MODEL2
+from .config import MODEL1, MODEL2, IngestSpec
 from .plans import jobs
 from .session import checkpoint_dir
 
@@ -30,6 +30,7 @@ def main(argv=None) -> None:
         ing.add_argument(a, required=True)
     ing.add_argument("--as-of")
     ing.add_argument("--input-bytes", type=int)
+    ing.add_argument("--excluded-partner", default=IngestSpec().excluded_partner)
     tune = sub.add_parser("tune")
     for a in ("--training", "--runlog"):
         tune.add_argument(a, required=True)
@@ -55,7 +56,8 @@ def main(argv=None) -> None:
     checkpoint_dir(spark)
     if args.step == "ingest":
         out = jobs.ingest_job(spark, args.impressions, args.identity, args.training, args.runlog,
-                              args.as_of, input_bytes=args.input_bytes)
+                              args.as_of, IngestSpec(excluded_partner=args.excluded_partner),
+                              input_bytes=args.input_bytes)
         print(json.dumps(out.first().asDict(), default=str))
     elif args.step == "tune":
         trials = jobs.tune_job(spark, args.training, args.runlog, SPECS[args.model], args.campaigns,

@@ -25,6 +25,8 @@ MISSING_NUMBER = -1
 # Training window and ingest filters.
 WINDOW_DAYS = 22
 MAX_POSITION = 4
+# Traffic partner whose impressions never enter the training table.
+EXCLUDED_PARTNER = "1ac29301-78ac-46c6-a79d-0632ad980e3a"
 # Augmentation: fraction of rows copied per blanked column, and the columns.
 AUGMENT_FRACTION = 0.05
 AUGMENT_COLUMNS = ("campaign_id", "traffic_source_id", "traffic_partner_id")
@@ -170,7 +172,7 @@ class IngestSpec:
 
     window_days: int = WINDOW_DAYS
     max_position: int = MAX_POSITION
-    excluded_partner: str = "p4"
+    excluded_partner: str = EXCLUDED_PARTNER
     dedup_identity: bool = False
 
 

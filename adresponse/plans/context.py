@@ -12,6 +12,10 @@ from ..operators.ingest import training_rows, window_floor
 from ..sources import tables
 
 
+# Ingest filters of the fixture views (their partner ids are p0..p4).
+FIXTURE_SPEC = IngestSpec(excluded_partner=tables.FIXTURE_EXCLUDED_PARTNER)
+
+
 @dataclass
 class Inputs:
     spark: SparkSession
@@ -29,7 +33,7 @@ class Inputs:
     def as_of(self) -> Column:
         return tables.latest_event_time(self.spark, self.sf_dir)
 
-    def training(self, fanout: bool = False, spec: IngestSpec = IngestSpec()) -> DataFrame:
+    def training(self, fanout: bool = False, spec: IngestSpec = FIXTURE_SPEC) -> DataFrame:
         return training_rows(self.impressions(), self.identity(fanout), self.as_of(), spec)
 
     def target_before(self, days_back: int = 5) -> DataFrame:

@@ -22,7 +22,7 @@ from ..functions import cleaning as C
 from ..operators import encoding, features, ingest, runlog, sampling
 from . import modeling, scoring, tuning
 from . import oracle as O
-from .context import Inputs
+from .context import FIXTURE_SPEC, Inputs
 
 RUN_ID = "run-0001"
 ROUTE_PCT_MODEL1 = 50.0
@@ -94,7 +94,7 @@ WHERE a."timestamp" > (SELECT floor_ts FROM as_of)
 @query("p3_gender_fallback", O.with_ctes(body=_FILTERED_JOIN))
 def p3_gender_fallback(spark, sf_dir):
     i = _in(spark, sf_dir)
-    imp = ingest.filter_impressions(i.impressions(), i.as_of())
+    imp = ingest.filter_impressions(i.impressions(), i.as_of(), FIXTURE_SPEC)
     j = ingest.join_identity(imp, i.identity())
     return j.select(
         "event_id", "profile_gender", F.col("gender").alias("identity_gender"),
@@ -171,7 +171,7 @@ def f2_position_cap(spark, sf_dir):
     body="""SELECT event_id, trafsrc_trafficpartnerid AS traffic_partner_id FROM impressions
 WHERE trafsrc_trafficpartnerid <> 'p4'"""))
 def f3_partner_excluded(spark, sf_dir):
-    return _in(spark, sf_dir).impressions().where(ingest.partner_ok("p4")).select(
+    return _in(spark, sf_dir).impressions().where(ingest.partner_ok(FIXTURE_SPEC.excluded_partner)).select(
         "event_id", F.col("trafsrc_trafficpartnerid").alias("traffic_partner_id")
     )
 

@@ -36,6 +36,8 @@ def _case(key: Column, mapping: dict) -> Column:
 GENDER_BY_USER_MOD7 = {0: "F", 1: "female", 2: "Male", 3: "m", 4: "NA", 5: ""}
 OS_BY_USER_MOD8 = {0: "Android", 1: "iOS", 2: "Windows", 3: "Mac", 4: "Linux", 5: "", 6: "null"}
 CAMPAIGN_FEATURE_MAX_KEY = 90
+# The fixture's stand-in for the excluded traffic partner.
+FIXTURE_EXCLUDED_PARTNER = "p4"
 
 
 def impressions(spark: SparkSession, sf_dir: str | None) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from adresponse.config import IngestSpec
 from adresponse.operators import ingest
-from adresponse.plans.context import Inputs
+from adresponse.plans.context import FIXTURE_SPEC, Inputs
 from adresponse.sources import tables
 
 SF0001 = "/root/testdata/sf0.001"
@@ -28,7 +28,7 @@ def test_training_rows_summary(spark):
 def test_fanout_keeps_duplicates(spark):
     i = Inputs(spark, SF001)
     assert i.training(fanout=True).count() == 3479
-    assert i.training(fanout=True, spec=IngestSpec(dedup_identity=True)).count() == 3424
+    assert i.training(fanout=True, spec=IngestSpec(excluded_partner="p4", dedup_identity=True)).count() == 3424
 
 
 def test_null_keys_never_match(spark):
@@ -112,7 +112,7 @@ def test_window_bound_pushed_for_run_time_as_of(spark):
     import datetime as dt
 
     for as_of in (dt.datetime(2024, 1, 30), None):
-        df = ingest.training_rows(tables.impressions(spark, SF001), tables.identity(spark, SF001), as_of)
+        df = ingest.training_rows(tables.impressions(spark, SF001), tables.identity(spark, SF001), as_of, FIXTURE_SPEC)
         plan = df._jdf.queryExecution().executedPlan().toString()
         scan = [ln for ln in plan.splitlines() if "events.parquet" in ln][0]
         assert "GreaterThan(ts," in scan
@@ -134,7 +134,7 @@ def test_day_partitioned_impressions_are_pruned(spark, scratch):
     imp.write.partitionBy("event_date").parquet(f"{scratch}/imp")
     part = spark.read.parquet(f"{scratch}/imp")
     as_of = part.agg(F.max("timestamp")).first()[0]
-    rows = ingest.training_rows(part, tables.identity(spark, SF001), as_of)
+    rows = ingest.training_rows(part, tables.identity(spark, SF001), as_of, FIXTURE_SPEC)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     scan = [ln for ln in plan.splitlines() if "PartitionFilters" in ln and "event_date" in ln][0]
     assert "PartitionFilters: [isnotnull(event_date" in scan

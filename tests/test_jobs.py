@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from adresponse.config import MODEL1, MODEL2
 from adresponse.operators import runlog
 from adresponse.plans import jobs
+from adresponse.plans.context import FIXTURE_SPEC
 from adresponse.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -23,9 +24,11 @@ def test_workflow(spark, scratch):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
     as_of = spark.table("src.impressions").agg(F.max("timestamp")).first()[0]
 
-    a1 = jobs.ingest_job(spark, "src.impressions", "src.identity", "ml.training", "ml.run_log", as_of).first()
+    a1 = jobs.ingest_job(spark, "src.impressions", "src.identity", "ml.training", "ml.run_log", as_of,
+                         FIXTURE_SPEC).first()
     assert a1.rows_inserted == 340
-    a2 = jobs.ingest_job(spark, "src.impressions", "src.identity", "ml.training", "ml.run_log", as_of).first()
+    a2 = jobs.ingest_job(spark, "src.impressions", "src.identity", "ml.training", "ml.run_log", as_of,
+                         FIXTURE_SPEC).first()
     assert a2.rows_inserted == 0 and a2.rows_before == 340
 
     trials = jobs.tune_job(spark, "ml.training", "ml.run_log", MODEL1, as_of=as_of, n_evals=2, parallelism=2)
@@ -60,7 +63,7 @@ def test_command_line(spark, scratch, capsys):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
     as_of = str(spark.table("cli.impressions").agg(F.max("timestamp")).first()[0])
     main(["ingest", "--impressions", "cli.impressions", "--identity", "cli.identity",
-          "--training", "cli.training", "--runlog", "cli.run_log", "--as-of", as_of])
+          "--training", "cli.training", "--runlog", "cli.run_log", "--as-of", as_of, "--excluded-partner", "p4"])
     assert '"rows_inserted": 340' in capsys.readouterr().out
     for model, extra in (("MODEL1", []), ("MODEL2", ["--campaigns", "cli.campaigns"])):
         main(["retrain", "--training", "cli.training", "--runlog", "cli.run_log",

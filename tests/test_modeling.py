@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adresponse.config import MODEL1, MODEL2, BoostParams
 from adresponse.operators import ingest, runlog
 from adresponse.plans import modeling, scoring, tuning
+from adresponse.plans.context import FIXTURE_SPEC
 from adresponse.sources import tables
 
 SF001 = "/root/testdata/sf0.01"
@@ -21,7 +22,7 @@ def learnable_training(spark, sf_dir=SF001):
     ev = ev.withColumn("event_type", F.when(click, F.lit("click")).otherwise(F.lit("purchase")))
     imp = tables.impressions_from_events(ev)
     as_of = imp.select(F.max("timestamp")).scalar()
-    return ingest.training_rows(imp, tables.identity(spark, sf_dir), as_of)
+    return ingest.training_rows(imp, tables.identity(spark, sf_dir), as_of, FIXTURE_SPEC)
 
 
 @pytest.fixture(scope="module")

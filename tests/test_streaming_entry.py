@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from adresponse.plans.context import FIXTURE_SPEC
 from adresponse.sources import tables
 from adresponse.streaming import ingest_stream
 
@@ -20,11 +21,11 @@ def test_available_now_ingest_is_exact_and_rerunnable(spark, scratch):
     stream = tables.impressions_from_events(ingest_stream.file_stream(spark, SF0001, events.schema, "events.parquet"))
     ident = tables.identity(spark, SF0001)
     spark.sql("DROP TABLE IF EXISTS default.training_stream")
-    q = ingest_stream.start_ingest(spark, stream, ident, "default.training_stream", f"{scratch}/ck1", as_of)
+    q = ingest_stream.start_ingest(spark, stream, ident, "default.training_stream", f"{scratch}/ck1", as_of, FIXTURE_SPEC)
     q.awaitTermination()
     assert ingest_stream.rows_in_table(spark, "default.training_stream") == 340
     # a fresh checkpoint replays every file; the high-water mark keeps it exact
-    q = ingest_stream.start_ingest(spark, stream, ident, "default.training_stream", f"{scratch}/ck2", as_of)
+    q = ingest_stream.start_ingest(spark, stream, ident, "default.training_stream", f"{scratch}/ck2", as_of, FIXTURE_SPEC)
     q.awaitTermination()
     assert ingest_stream.rows_in_table(spark, "default.training_stream") == 340
 
@@ -81,12 +82,12 @@ def test_streaming_routed_scoring_exactly_once(spark, scratch):
     as_of = events.agg(F.max("ts")).first()[0]
     ident = tables.identity(spark, SF0001)
     camp = tables.campaign_features(spark, SF0001)
-    batch_rows = ingest.training_rows(tables.impressions(spark, SF0001), ident, as_of)
+    batch_rows = ingest.training_rows(tables.impressions(spark, SF0001), ident, as_of, FIXTURE_SPEC)
     m1 = modeling.fit(modeling.prepare(batch_rows, MODEL1), MODEL1, small, run_id="s1")
     m2 = modeling.fit(modeling.prepare(batch_rows, MODEL2, camp), MODEL2, small, run_id="s2")
 
     stream = tables.impressions_from_events(ingest_stream.file_stream(spark, SF0001, events.schema, "events.parquet"))
-    requests = ingest.training_rows(stream, ident, as_of)
+    requests = ingest.training_rows(stream, ident, as_of, FIXTURE_SPEC)
     spark.sql("DROP TABLE IF EXISTS default.inference_stream")
     for ck in ("ck1", "ck2"):  # the second run replays batch 0 from a fresh checkpoint
         q = score_stream.start_scoring(spark, requests, m1, m2, camp, "default.inference_stream", f"{scratch}/{ck}")
