@@ -44,7 +44,7 @@ def test_every_sql_query_is_registered():
 FAST = [
     "p_train_projection", "f4_incremental", "k5_audit", "j1_fanout", "j2_campaign_lookup", "a4_logloss",
     "a5_categories", "a5_categories_model2", "e4_encode", "r2_null_augment", "r4_example_rows",
-    "c11_clean_lookup", "a7_latest_params", "m9_route",
+    "c11_clean_lookup", "a7_latest_params", "m9_route", "e7_serve_cast", "e1_model1_frame", "e1_model2_frame",
 ]
 
 
