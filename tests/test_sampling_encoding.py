@@ -116,3 +116,13 @@ def test_int_columns_with_nulls_become_double(spark):
         prepared.select(*[F.col(c).cast("double").cast("string") if c != "gender" and c != "hour" else F.col(c).cast("string") for c in cols])
     )
     assert same.count() == 0
+
+
+def test_hex_draw_equals_numeric_draw(spark):
+    from adresponse.functions.hashing import TWO32, below, unit
+
+    df = spark.range(20000).withColumnRenamed("id", "event_id")
+    for frac in (0.0, 0.05, 0.8, 0.999, 1.0):
+        a = df.where(below("event_id", 7, frac)).count()
+        b = df.where(unit("event_id", 7) < int(round(frac * TWO32))).count()
+        assert a == b
