@@ -44,7 +44,7 @@ NUMBER_PATTERN = (
     r"([eE][+-]?[0-9]+(_[0-9]+)*)?\s*$"
 )
 INFINITY_PATTERN = r"(?U)^\s*[+-]?(inf|infinity)\s*$"
-DIGITS_PATTERN = r"^[0-9]+$"
+DIGITS_PATTERN = r"^[0-9]+\z"  # \z: "$" would also accept a trailing newline
 OUTER_SPACE = r"(?U)^\s+|\s+$"
 PLAIN_DECIMAL = r"^-?[0-9]*\.?[0-9]*$"
 

@@ -46,6 +46,10 @@ def test_curated_number_text(spark):
     _cmp(spark, CURATED + [None], lambda c: C.parse_number_text(c), py_number)
 
 
+def test_curated_source_text(spark):
+    _cmp(spark, ["78\n", "0\r", "12", "١٢", " 1", "1 ", "", None], lambda c: C.clean_traffic_source(c, C.StringType()), py_source)
+
+
 @settings(max_examples=40, deadline=None, derandomize=True)
 @given(st.lists(TEXT, min_size=1, max_size=60))
 def test_number_text_matches_python_float(spark, values):
@@ -53,7 +57,7 @@ def test_number_text_matches_python_float(spark, values):
 
 
 @settings(max_examples=20, deadline=None, derandomize=True)
-@given(st.lists(st.text(alphabet="0123456789-.a \u0663\uff15", max_size=5), min_size=1, max_size=40))
+@given(st.lists(st.text(alphabet="0123456789-.a \n\r\u0663\uff15", max_size=5), min_size=1, max_size=40))
 def test_source_id_text_matches_isnumeric(spark, values):
     _cmp(spark, values, lambda c: C.clean_traffic_source(c, C.StringType()), py_source)
 
