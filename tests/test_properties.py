@@ -67,3 +67,39 @@ def test_sql_checked_queries_have_no_python_udf(spark):
     for name in E.oracle_sql():
         plan = qs[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def py_os(v, policy):
+    known = ("Android", "iOS", "Windows", "Mac")
+    if policy == "train":
+        return v if v in known else "Other"
+    if policy == "lookup":
+        return None if v is None else (v if v in known else "Other")
+    if v is None or v in MARKERS:
+        return ""
+    return v if v in known else "Other"
+
+
+def py_gender(v, policy):
+    if policy == "serve" and (v is None or v in MARKERS):
+        return ""
+    if v is None:
+        return None
+    g = v.lower()
+    out = "F" if g in ("f", "female") else "M" if g in ("m", "male") else None
+    return "" if policy == "serve" and out is None else out
+
+
+PIECES = ["f", "F", "female", "FEMALE", "m", "Male", "MALE", "NA", "na", "null", "", " ", "ios", "iOS",
+          "Android", "android", "Mac", "Windows", "İ", "ß", "Ｆ", "e", "l"]
+
+
+@settings(max_examples=15, deadline=None, derandomize=True)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=2).map("".join) | st.none(), min_size=1, max_size=60))
+def test_os_gender_match_rules(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    for policy in ("train", "lookup", "serve"):
+        rows = df.select(C.clean_os(F.col("x"), policy).alias("o"), C.clean_gender(F.col("x"), policy).alias("g")).collect()
+        for v, r in zip(values, rows):
+            assert r.o == py_os(v, policy), (policy, v)
+            assert r.g == py_gender(v, policy), (policy, v)
