@@ -39,14 +39,18 @@ POLICIES = ("train", "lookup", "serve")
 # underscores between them, optional fraction and exponent, outer blanks
 # (Unicode whitespace, hence the (?U) flag).  Digits are ASCII here because
 # every Unicode decimal digit is first translated to its ASCII value.
+# Whitespace a float parser strips: Unicode White_Space, which is what \s
+# means under (?U).  (str.isspace() also counts U+001C..U+001F; float() does
+# not strip those, and neither does this pattern.)
+WS = r"\s"
 NUMBER_PATTERN = (
-    r"(?U)^\s*[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
-    r"([eE][+-]?[0-9]+(_[0-9]+)*)?\s*$"
+    rf"(?U)^{WS}*[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
+    rf"([eE][+-]?[0-9]+(_[0-9]+)*)?{WS}*\z"
 )
-INFINITY_PATTERN = r"(?U)^\s*[+-]?(inf|infinity)\s*$"
+INFINITY_PATTERN = rf"(?U)^{WS}*[+-]?(inf|infinity){WS}*\z"
 DIGITS_PATTERN = r"^[0-9]+\z"  # \z: "$" would also accept a trailing newline
-OUTER_SPACE = r"(?U)^\s+|\s+$"
-PLAIN_DECIMAL = r"^-?[0-9]*\.?[0-9]*$"
+OUTER_SPACE = rf"(?U)^{WS}+|{WS}+\z"
+PLAIN_DECIMAL = r"^-?[0-9]*\.?[0-9]*\z"
 
 
 @functools.lru_cache(maxsize=1)

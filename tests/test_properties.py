@@ -29,9 +29,11 @@ def py_source(s):
     return float(s) if s.isdecimal() else None
 
 
-TEXT = st.text(alphabet="0123456789._-+eE iInNfFaAtTyY\t\u00a0\u2003\u0663\u0967\uff15", min_size=0, max_size=9)
+TEXT = st.text(alphabet="0123456789._-+eE iInNfFaAtTyY\t\n\x0b\x1c\x85\u00a0\u2003\u3000\u0663\u0967\uff15",
+               min_size=0, max_size=9)
 CURATED = ["1_000", "1__0", "_1", "1_", "1.e5", ".e5", "+.5", "-0", "1e400", " 7 ", "inf", "-Infinity",
-           "nan", "NaN", "12d", "0x10", "1e", "e1", "--1", "1.2.3", "١٢", "  ", "00012", "1_0.5_5e1_0"]
+           "nan", "NaN", "12d", "0x10", "1e", "e1", "--1", "1.2.3", "١٢", "  ", "00012", "1_0.5_5e1_0",
+           "0\x85", "78\n", "\x1c6", "6\x1f", "\u30007\u3000", "\x0b5"]
 
 
 def _cmp(spark, values, spark_fn, py_fn):
