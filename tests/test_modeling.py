@@ -130,3 +130,19 @@ def test_request_payload_shapes(spark, m1):
         assert len(out) == 1 and 0.0 < out[0].model_ctr < 1.0 and out[0].position == 2
     with pytest.raises(TypeError):
         scoring.requests_frame(spark, "not a payload", MODEL1)
+
+
+def test_model2_scores_record_payload(spark):
+    camp = tables.campaign_features(spark, "/root/testdata/sf0.001")
+    t = learnable_training(spark, "/root/testdata/sf0.001")
+    m2 = modeling.fit(modeling.prepare(t, MODEL2, camp), MODEL2, SMALL, run_id="p2")
+    recs = [
+        {"event_id": 1, "gender": "female", "campaign_id": "7", "traffic_partner_id": "p1", "traffic_source_id": "3",
+         "os_name": "iOS", "age": "42", "hour": "5", "household_income": "NA", "position": "2"},
+        {"event_id": 2, "gender": None, "campaign_id": "95", "traffic_partner_id": None, "traffic_source_id": None,
+         "os_name": None, "age": "-1", "hour": None, "household_income": None, "position": None},
+    ]
+    out = scoring.score(m2, scoring.requests_frame(spark, {"instances": recs}, MODEL2), camp).orderBy("event_id").collect()
+    assert [r.event_id for r in out] == [1, 2]
+    assert all(0.0 < r.model_ctr < 1.0 for r in out)
+    assert out[0].position == "2" and out[0].model_version == "adflow_click_MODEL2 - p2"
