@@ -139,3 +139,15 @@ def test_day_partitioned_impressions_are_pruned(spark, scratch):
     scan = [ln for ln in plan.splitlines() if "PartitionFilters" in ln and "event_date" in ln][0]
     assert "PartitionFilters: [isnotnull(event_date" in scan
     assert rows.count() == 3424
+
+
+def test_rows_at_the_high_water_mark_are_not_appended(spark):
+    """F4 is strict: a new row sharing the target's newest timestamp is skipped (original semantics)."""
+    i = Inputs(spark, SF001)
+    target = i.target_before(5)
+    top = target.orderBy(F.col("timestamp").desc()).limit(1)
+    twin = top.withColumn("event_id", F.col("event_id") + 10**12)  # same timestamp, new row
+    rows = i.training().unionByName(twin)
+    fresh = ingest.new_rows(rows, target, i.as_of(), 22)
+    assert fresh.count() == 776
+    assert fresh.where(F.col("event_id") >= 10**12).count() == 0
