@@ -9,7 +9,10 @@ inference log.
 
 Exactly once: every micro-batch writes only its own ``batch_id`` partition
 with dynamic partition overwrite, so a batch that is replayed after a failure
-replaces its earlier output instead of duplicating it.
+replaces its earlier output instead of duplicating it.  The price is one
+partition per micro-batch; choose a trigger interval that keeps batches
+large, and compact old batch partitions into daily files in a separate job
+once their batches are committed.
 """
 
 from __future__ import annotations
