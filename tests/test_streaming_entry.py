@@ -96,3 +96,27 @@ def test_streaming_routed_scoring_exactly_once(spark, scratch):
     assert log.count() == 340  # replayed batch replaced, not duplicated
     assert log.where(F.col("model_ctr").isNull()).count() == 0
     assert {r.served_model for r in log.select("served_model").distinct().collect()} == {"MODEL1", "MODEL2"}
+
+
+def test_streaming_ingest_picks_up_only_new_files(spark, scratch):
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    as_of = events.agg(F.max("ts")).first()[0]
+    cut = events.selectExpr("percentile_approx(ts, 0.6)").first()[0]
+    land = f"{scratch}/landing"
+    events.where(F.col("ts") <= cut).write.parquet(f"{land}/drop1")
+    ident = tables.identity(spark, SF0001)
+    table = "default.training_drops"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def run():
+        stream = tables.impressions_from_events(
+            spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(land)
+        )
+        q = ingest_stream.start_ingest(spark, stream, ident, table, f"{scratch}/ck", as_of, FIXTURE_SPEC)
+        q.awaitTermination()
+        return ingest_stream.rows_in_table(spark, table)
+
+    first = run()
+    events.where(F.col("ts") > cut).write.parquet(f"{land}/drop2")
+    second = run()
+    assert 0 < first < second == 340  # same rows as the one-shot ingest
