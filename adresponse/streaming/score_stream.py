@@ -7,8 +7,8 @@ pipelines and the campaign lookup (a stream-static join) are stateless per
 row, so each micro-batch is scored on the executors and appended to the
 inference log.
 
-Exactly once: every micro-batch writes only its own ``batch_id`` partition
-with dynamic partition overwrite, so a batch that is replayed after a failure
+Exactly once: every micro-batch overwrites only its own ``batch_id``
+partition (a static partition insert), so a batch that is replayed after a failure
 replaces its earlier output instead of duplicating it.  The price is one
 partition per micro-batch; choose a trigger interval that keeps batches
 large, and compact old batch partitions into daily files in a separate job
@@ -39,16 +39,21 @@ def start_scoring(
     """Start the scoring stream; returns the ``StreamingQuery``."""
     scored = scoring.score_routed(requests_stream, model1, model2, campaigns, pct_model1, key)
 
+    view = "adresponse_scored_batch"
+
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        out = scoring.inference_log(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        if not spark.catalog.tableExists(table):
-            out.limit(0).write.format("parquet").partitionBy("batch_id").saveAsTable(table)
-        cols = spark.table(table).columns
-        (
-            out.select(*cols)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(table, overwrite=True)
-        )
+        session = batch.sparkSession
+        out = scoring.inference_log(batch)
+        if not session.catalog.tableExists(table):
+            (
+                out.withColumn("batch_id", F.lit(0).cast("long")).limit(0)
+                .write.format("parquet").partitionBy("batch_id").saveAsTable(table)
+            )
+        cols = [c for c in session.table(table).columns if c != "batch_id"]
+        out.select(*cols).createOrReplaceTempView(view)
+        # a static partition spec replaces exactly this batch's partition,
+        # whatever the session's partition overwrite mode is
+        session.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {view}")
 
     writer = scored.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -120,3 +120,40 @@ def test_streaming_ingest_picks_up_only_new_files(spark, scratch):
     events.where(F.col("ts") > cut).write.parquet(f"{land}/drop2")
     second = run()
     assert 0 < first < second == 340  # same rows as the one-shot ingest
+
+
+def test_streaming_scoring_over_two_drops(spark, scratch):
+    from adresponse.config import MODEL1, MODEL2, BoostParams
+    from adresponse.operators import ingest
+    from adresponse.plans import modeling
+    from adresponse.streaming import score_stream
+
+    small = BoostParams(n_estimators=2, max_depth=2)
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    as_of = events.agg(F.max("ts")).first()[0]
+    ident = tables.identity(spark, SF0001)
+    camp = tables.campaign_features(spark, SF0001)
+    rows = ingest.training_rows(tables.impressions(spark, SF0001), ident, as_of, FIXTURE_SPEC)
+    m1 = modeling.fit(modeling.prepare(rows, MODEL1), MODEL1, small, run_id="d1")
+    m2 = modeling.fit(modeling.prepare(rows, MODEL2, camp), MODEL2, small, run_id="d2")
+    cut = events.selectExpr("percentile_approx(ts, 0.5)").first()[0]
+    land = f"{scratch}/requests"
+    events.where(F.col("ts") <= cut).write.parquet(f"{land}/drop1")
+    table = "default.inference_drops"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def run():
+        stream = tables.impressions_from_events(
+            spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(land)
+        )
+        requests = ingest.training_rows(stream, ident, as_of, FIXTURE_SPEC)
+        q = score_stream.start_scoring(spark, requests, m1, m2, camp, table, f"{scratch}/ck")
+        q.awaitTermination()
+        return spark.table(table)
+
+    first = run().count()
+    events.where(F.col("ts") > cut).write.parquet(f"{land}/drop2")
+    log = run()
+    assert 0 < first < log.count() == 340
+    assert log.select("event_id").distinct().count() == 340
+    assert log.select("batch_id").distinct().count() == 2
