@@ -68,6 +68,11 @@ def test_command_line(spark, scratch, capsys):
     for model, extra in (("MODEL1", []), ("MODEL2", ["--campaigns", "cli.campaigns"])):
         main(["retrain", "--training", "cli.training", "--runlog", "cli.run_log",
               "--model-path", f"{scratch}/{model}", "--model", model, "--as-of", as_of, *extra])
+    # a second (daily) retrain replaces the saved model in place
+    main(["retrain", "--training", "cli.training", "--runlog", "cli.run_log",
+          "--model-path", f"{scratch}/MODEL1", "--model", "MODEL1", "--as-of", as_of])
     main(["score", "--requests", "cli.training", "--model1-path", f"{scratch}/MODEL1",
           "--model2-path", f"{scratch}/MODEL2", "--campaigns", "cli.campaigns", "--inference", "cli.inference"])
     assert '"inference_rows": 340' in capsys.readouterr().out
+    examples = spark.read.json(f"{scratch}/MODEL1/input_example")
+    assert examples.count() == 5
