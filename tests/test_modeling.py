@@ -124,7 +124,9 @@ def test_request_payload_shapes(spark, m1):
     model, _ = m1
     recs = [{"gender": "F", "campaign_id": "7", "traffic_partner_id": "p1", "traffic_source_id": "3",
              "os_name": "iOS", "age": "42", "hour": 5, "household_income": "NA", "position": 2}]
-    for payload in (recs, {"instances": recs}):
+    import pandas as pd
+
+    for payload in (recs, {"instances": recs}, pd.DataFrame(recs)):
         df = scoring.requests_frame(spark, payload, MODEL1)
         out = scoring.score(model, df).collect()
         assert len(out) == 1 and 0.0 < out[0].model_ctr < 1.0 and out[0].position == 2
