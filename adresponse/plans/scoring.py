@@ -49,10 +49,15 @@ def requests_frame(spark, payload, spec, key: str = "event_id") -> DataFrame:
         raise TypeError("Invalid model input: expected a DataFrame, a list of records or {'instances': [...]}")
     schema = request_schema(spec, key)
     names = [c.split(" ")[0] for c in schema.split(", ")]
+    def text(v):
+        if v is None or (isinstance(v, float) and v != v):  # None and NaN are missing
+            return None
+        return str(v)
+
     rows = []
     for i, r in enumerate(payload):
         k = r.get(key, i)
-        rows.append(tuple([int(k)] + [None if r.get(n) is None else str(r.get(n)) for n in names[1:]]))
+        rows.append(tuple([int(k)] + [text(r.get(n)) for n in names[1:]]))
     return spark.createDataFrame(rows, schema)
 
 

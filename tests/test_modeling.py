@@ -132,6 +132,9 @@ def test_request_payload_shapes(spark, m1):
         assert len(out) == 1 and 0.0 < out[0].model_ctr < 1.0 and out[0].position == 2
     with pytest.raises(TypeError):
         scoring.requests_frame(spark, "not a payload", MODEL1)
+    gaps = pd.DataFrame([{**recs[0], "age": None}, {**recs[0], "age": 7}])  # numeric column: the gap is NaN
+    assert gaps["age"].isna().tolist() == [True, False]
+    assert [r.age for r in scoring.requests_frame(spark, gaps, MODEL1).collect()] == [None, "7.0"]
 
 
 def test_model2_scores_record_payload(spark):
