@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from .config import MODEL1, MODEL2, IngestSpec
 from .plans import jobs
-from .session import checkpoint_dir
+from .session import SCALE_CONF, checkpoint_dir
 
 SPECS = {"MODEL1": MODEL1, "MODEL2": MODEL2}
 
@@ -53,6 +53,9 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"adresponse-{args.step}").getOrCreate()
+    # UTC session clock (event times are naive UTC), AQE and its skew join
+    for k, v in SCALE_CONF.items():
+        spark.conf.set(k, v)
     checkpoint_dir(spark)
     if args.step == "ingest":
         out = jobs.ingest_job(spark, args.impressions, args.identity, args.training, args.runlog,
