@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adresponse.llm import chat, quality, urlmodel
+from adresponse.llm import chat, packing, pii, quality, urlmodel
 from adresponse.llm.store import table
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_all(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -20,6 +25,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality, op5_url_filter, op7_chat)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pii, op4_quality, op5_url_filter, op7_chat, op9_packing)}
 
 ORACLE: dict[str, str] = {}
