@@ -10,10 +10,12 @@ longer than the capacity:
 2. few sizes: the covering linear program over configurations (which sizes
    share a sequence) is solved by column generation with a knapsack for each
    new configuration, and whole multiples of it are used;
-3. substitution: real pieces take the places by rank within their group,
-   which leaves each sequence its true gap;
+3. substitution: real pieces take the places by rank within their group, but
+   for the smallest place of each configuration, which leaves each sequence
+   its true gap;
 4. best fit: the pieces left over and the small ones, longest first, go into
-   the smallest gap that holds them, or open a new sequence.
+   the smallest gap that holds them, or open a new sequence (so no place is
+   lost to rounding).
 
 A plan says for runs of equal pieces (a length, and a range of ranks among
 that length's pieces) which sequences and offset they get.  Ranks are counted
@@ -42,8 +44,8 @@ from adresponse.llm import text, tokens
 from adresponse.llm.store import keep, own_columns
 
 CAPACITY = 2048
-SMALL = 1 / 8
-GROUPS = 48
+SMALL = 1 / 3
+GROUPS = 96
 END = 0
 
 
@@ -85,24 +87,19 @@ def _configurations(sizes: list[int], demand: np.ndarray, capacity: int) -> tupl
         used, price = inverse @ demand, inverse.sum(axis=0)
         # the most valuable configuration at these prices: an unbounded knapsack
         value, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        size, worth = np.array(sizes), np.maximum(price, 0)
-        for c in range(min(sizes), capacity + 1):
-            fits = np.flatnonzero(size <= c)
-            v = value[c - size[fits]] + worth[fits]
-            best = int(v.argmax())
-            if v[best] > value[c - 1] + 1e-12:
-                value[c], last[c] = v[best], fits[best]
-            else:
-                value[c], last[c] = value[c - 1], -1
+        for i in np.argsort(-price / sizes):
+            for _ in range(capacity // sizes[i]):  # so often it fits
+                more = value[: -sizes[i]] + price[i]
+                better = more > value[sizes[i] :] + 1e-12
+                if not better.any():
+                    break
+                value[sizes[i] :][better], last[sizes[i] :][better] = more[better], i
         if value[capacity] <= 1 + 1e-7:
             break
         column, c = np.zeros(k), capacity
-        while c > 0:
-            if last[c] < 0:
-                c -= 1
-            else:
-                column[last[c]] += 1
-                c -= sizes[last[c]]
+        while last[c] >= 0:
+            column[last[c]] += 1
+            c -= sizes[last[c]]
         step = inverse @ column
         if not (step > 1e-9).any():
             break
@@ -133,7 +130,7 @@ class Plan:
         lengths = np.arange(capacity - 1, small, -1)
         upto = np.cumsum(count[lengths])
         total = int(upto[-1]) if len(upto) else 0
-        rest = [(m, 0, int(count[m])) for m in range(1, small + 1) if count[m]]
+        rest = [(m, 0, int(count[m])) for m in range(1, min(small, capacity - 1) + 1) if count[m]]
         if not total:
             return rest
 
@@ -160,6 +157,7 @@ class Plan:
             n, slots = int(x + 1e-6), []
             for g in np.flatnonzero(column > 0.5):
                 slots += [g] * int(round(column[g]))
+            slots = slots[:-1] or slots  # the smallest place stays open for a best fit
             for g, times in {g: slots.count(g) for g in slots}.items():
                 n = min(n, (by_size[sizes[g]][1] - at[g]) // times)
             if n <= 0:
