@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adresponse.llm import chat, packing, pii, quality, urlmodel
+from adresponse.llm import ann, chat, ngramlm, packing, pii, quality, rangecoder, urlmodel
 from adresponse.llm.store import table
 
 
@@ -21,14 +21,27 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlmodel.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramlm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = rangecoder.write_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return rangecoder.read_documents(file)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_quality, op5_url_filter, op7_chat, op9_packing)}
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pii, op4_quality, op5_url_filter, op6_lm_score, op7_chat, op8_token_file, op9_packing, op10_nearest)}
 
 ORACLE: dict[str, str] = {}

@@ -14,12 +14,12 @@ import os
 import re
 import sys
 import types
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 
-CACHED = 250_000  # pieces a worker remembers
+CACHED = 400_000  # pieces a worker remembers
 JOINED = 100  # words encoded in one string
 TRAIL = ".,;:!?"
 
@@ -44,9 +44,6 @@ class Encoder:
         self.edge = np.zeros(size, dtype=bool)  # ids that end a word, or begin one
         for t, i in vocab.items():
             self.edge[i] = t.endswith("</w>") if self.kind == "word" else t.startswith("Ġ")
-        self._forget()
-
-    def _forget(self) -> None:
         self.slot: dict[str, int] = {"": 0}  # piece -> place in begin and n; the first is the end id
         self.begin, self.n = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
         self.flat = np.zeros(1, dtype=np.uint32)
@@ -101,12 +98,18 @@ class Encoder:
         self.begin, self.flat = np.cumsum(self.n) - self.n, flat
 
     def _slots(self, distinct: list[str]) -> np.ndarray:
-        if len(self.slot) > CACHED:
-            self._forget()
         if new := [x for x in distinct if x not in self.slot]:
             self._learn(new)
         return np.fromiter(map(self.slot.__getitem__, distinct), dtype=np.int64, count=len(distinct))
 
+    def _trim(self) -> None:
+        """Forget the newest pieces beyond the bound; the frequent ones came first."""
+        if len(self.slot) > CACHED:
+            for x in list(islice(reversed(self.slot), len(self.slot) - CACHED)):
+                del self.slot[x]
+            self.begin, self.n = self.begin[:CACHED], self.n[:CACHED]
+            self.flat = self.flat[: self.begin[-1] + self.n[-1]].copy()
+
     def _split(self, text: str) -> list[str] | None:
         """Pieces that the tokenizer treats apart; None: not sure."""
         if self.kind == "word":
@@ -137,6 +140,7 @@ class Encoder:
         begin, each = self.begin[slots], self.n[slots]
         total = np.cumsum(each)
         out = self.flat[np.arange(int(total[-1]) if len(total) else 0) + np.repeat(begin - (total - each), each)]
+        self._trim()
         counts = np.add.reduceat(each, np.cumsum(per_text) - per_text) if len(texts) else per_text
         if plain:
             parts = np.split(out, np.cumsum(counts)[:-1])
