@@ -5,14 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adresponse.llm import ann, chat, ngramlm, packing, pii, quality, rangecoder, urlmodel
+from adresponse.llm import ann, chat, decontam, neardup, ngramlm, packing, pii, quality, rangecoder, urlmodel
 from adresponse.llm.store import table
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find_groups(table(spark, sf_dir, "documents"), k=3, share=(85, 100))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_all(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +50,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_quality, op5_url_filter, op6_lm_score, op7_chat, op8_token_file, op9_packing, op10_nearest)}
+QUERIES = {f.__name__: f for f in (op1_near_dup, op2_pii, op3_decontaminate, op4_quality, op5_url_filter, op6_lm_score, op7_chat, op8_token_file, op9_packing, op10_nearest)}
 
 ORACLE: dict[str, str] = {}
