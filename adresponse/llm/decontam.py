@@ -81,7 +81,7 @@ class Block:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
-        words, counts = text.word_hashes([t for _, t in items])
+        words, counts = _words([t for _, t in items])
         self.words = np.split(words, np.cumsum(counts)[:-1]) if len(items) else []
         seeds = [seeds_of(w) for w in self.words]
         self.item = np.repeat(np.arange(len(items)), [len(s) for s in seeds])
@@ -121,9 +121,14 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_SEEDS) -> Iterator[Block]:
         yield Block(part)
 
 
+def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Words in any case and with any punctuation, so that a reset copy is still a copy."""
+    return text.word_hashes([(t or "").lower() for t in texts], letters=True)
+
+
 def _word_texts(texts: list) -> Iterator[np.ndarray]:
     for s in text.groups(texts):
-        words, counts = text.word_hashes(texts[s])
+        words, counts = _words(texts[s])
         yield from np.split(words, np.cumsum(counts)[:-1])
 
 

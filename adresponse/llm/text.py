@@ -48,9 +48,15 @@ def tables():
     return _T[0]
 
 
-def spans(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes of all texts, word starts and ends, and word count of each text."""
+def spans(texts: list[str | None], letters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of all texts, word starts and ends, and word count of each text.
+
+    With ``letters``, ASCII punctuation parts words as white space does.
+    """
     _, _, _, lower, space = tables()
+    if letters:
+        space = space.copy()
+        space[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     buf = lower[np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)]
     gap = space[buf]
@@ -63,10 +69,10 @@ def spans(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return buf, starts, ends, np.diff(upto, prepend=0)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None], letters: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of all texts in order, and the word count of each text."""
     per_byte, up, down, _, _ = tables()
-    buf, starts, ends, counts = spans(texts)
+    buf, starts, ends, counts = spans(texts, letters)
     out = np.empty(len(starts), dtype=U)
     i = 0
     with np.errstate(over="ignore"):

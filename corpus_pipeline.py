@@ -7,9 +7,10 @@ stage's documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adresponse.llm import quality
+from adresponse.llm import decontam, neardup, packing, pii, quality
 from adresponse.llm.store import keep, table
 
 
@@ -18,9 +19,35 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality", quality_stage)]
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, similarity 0.8)."""
+    return neardup.keep_one(docs, k=5, share=(4, 5))
 
-#: The classifier, the alignment and the packing are beyond SQL; tests hold them against plain versions.
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data masked."""
+    return pii.mask_all(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in training sequences of 2048 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_dup", near_dup_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
+]
+
+#: The classifier, the alignment and the packing are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
