@@ -93,13 +93,14 @@ class EliasFano:
         # numbers before bucket b: the one-bits before its first place, which follows the zero of b - 1
         at = np.where(top > 0, self._start(np.maximum(top - 1, 0)), 0)
         end = self._start(top)
-        live = np.flatnonzero(at < end)
-        while len(live):
-            here = self.low[at[live]]
-            same = here == low[live]
-            out[live[same]] = at[live[same]]
-            at[live] += 1
-            live = live[(here < low[live]) & (at[live] < end[live])]
+        last = end - 1
+        while (live := np.flatnonzero(at < last)).size:  # halve each range: a frequent word's successors crowd a bucket
+            middle = (at[live] + last[live]) >> 1
+            less = self.low[middle] < low[live]
+            at[live[less]], last[live[~less]] = middle[less] + 1, middle[~less]
+        there = np.flatnonzero(at < end)
+        there = there[self.low[at[there]] == low[there]]
+        out[there] = at[there]
         return out
 
     def arrays(self) -> list[np.ndarray]:
