@@ -186,11 +186,6 @@ class BoostParams:
     subsample: float = DEFAULT_HYPERPARAMS["subsample"]
     colsample_bytree: float = DEFAULT_HYPERPARAMS["colsample_bytree"]
     early_stopping_rounds: int = DEFAULT_HYPERPARAMS["early_stopping_rounds"]
-    # Spark stops at the first tree whose relative improvement on the
-    # validation side is below this; a small value stops on the plateau,
-    # which is what the original's patience of several rounds amounts to
-    # (Spark's own default of 0.01 stops after a handful of small-step trees).
-    validation_tol: float = 1e-4
     seed: int = 42
     extra: dict = field(default_factory=dict)
 
@@ -199,10 +194,10 @@ class BoostParams:
         if not d:
             return cls()
         known = {k: d[k] for k in cls.__dataclass_fields__ if k in d and k != "extra"}
-        for k in ("n_estimators", "max_depth", "early_stopping_rounds"):
+        for k in ("n_estimators", "max_depth", "early_stopping_rounds", "seed"):
             if k in known:
                 known[k] = int(round(float(known[k])))
-        for k in ("learning_rate", "subsample", "colsample_bytree", "validation_tol"):
+        for k in ("learning_rate", "subsample", "colsample_bytree"):
             if k in known:
                 known[k] = float(known[k])
         return cls(**known)
@@ -215,4 +210,5 @@ class BoostParams:
             "subsample": self.subsample,
             "colsample_bytree": self.colsample_bytree,
             "early_stopping_rounds": self.early_stopping_rounds,
+            "seed": self.seed,
         }

@@ -123,11 +123,14 @@ def clean_number(c: Column, dtype, policy: str = "serve") -> Column:
 
     Typed numbers: the marker -1 becomes NULL.  Text (model 2 casts its input
     to text first): markers become NULL and numbers are parsed, so ``"-1"``
-    is -1.0.  NaN is NULL throughout.
+    is -1.0; under ``lookup`` a number that is already parsed stays as it is,
+    so that cleaning twice is cleaning once.  NaN is NULL throughout.
     """
     _check(policy)
     if isinstance(dtype, StringType):
         out = parse_number_text(c)
+    elif isinstance(dtype, NumericType) and policy == "lookup":
+        out = c.cast("double")
     elif isinstance(dtype, NumericType):
         out = F.when(c == F.lit(MISSING_NUMBER), F.lit(None).cast("double")).otherwise(c.cast("double"))
     else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..config import LOOKUP_FEATURES, ModelSpec
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .joins import assert_unique_key
 
 
 def cast_features(df: DataFrame, types: dict) -> DataFrame:
@@ -42,17 +42,17 @@ def lookup_features(
     features: DataFrame,
     key: str = "campaign_id",
     names=LOOKUP_FEATURES,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join the feature table (unique key) onto the rows.
+    """Left join the feature table onto the rows.
 
-    The feature table is a dimension; it is broadcast only after a bounded
-    count proves it small, else AQE plans the join.  The key column of the
-    rows keeps its type; the feature key is cast to it.
+    A key that the table holds twice would multiply rows, so it is an error
+    (one aggregate over the table).  AQE picks the join from real sizes.  The
+    key column of the rows keeps its type; the feature key is cast to it.
     """
     kt = df.schema[key].dataType
     right = features.select(F.col(key).cast(kt).alias(key), *names)
-    return df.join(broadcast_if_small(right, max_broadcast_rows), on=key, how="left")
+    assert_unique_key(right, key)
+    return df.join(right, on=key, how="left")
 
 
 def null_presence(df: DataFrame, columns) -> DataFrame:

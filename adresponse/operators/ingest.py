@@ -26,7 +26,10 @@ def as_column(as_of) -> Column:
         return as_of
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
-    return F.lit(as_of).cast("timestamp_ntz")
+    if as_of.tzinfo:  # event times are UTC without a zone
+        as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    # as text: a datetime literal would pass through the driver's time zone
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def window_floor(as_of, days: int) -> Column:
@@ -49,9 +52,18 @@ def partner_ok(excluded: str, col: str = "trafsrc_trafficpartnerid") -> Column:
     return F.col(col) != F.lit(excluded)
 
 
-def filter_impressions(impressions: DataFrame, as_of, spec: IngestSpec = IngestSpec()) -> DataFrame:
-    """F1-F3; a day-partitioned impressions table is also pruned to the window's days."""
-    return recent(impressions, as_of, spec.window_days).where(
+def filter_impressions(impressions: DataFrame, as_of, spec: IngestSpec = IngestSpec(), newer_than=None) -> DataFrame:
+    """F1-F3; a day-partitioned impressions table is also pruned to the window's days.
+
+    ``newer_than`` (an append's high-water mark) prunes to the days from it on.
+    """
+    rows = recent(impressions, as_of, spec.window_days)
+    if newer_than is not None:
+        mark = as_column(newer_than)
+        rows = rows.where(F.col("timestamp") > mark)
+        if PARTITION_COLUMN in rows.columns:
+            rows = rows.where(F.col(PARTITION_COLUMN) >= F.to_date(mark))
+    return rows.where(
         in_window(as_of, spec.window_days)
         & position_ok(spec.max_position)
         & partner_ok(spec.excluded_partner)
@@ -78,19 +90,44 @@ def project_training(joined: DataFrame) -> DataFrame:
 
 def join_identity(impressions: DataFrame, identity: DataFrame, dedup: bool = False) -> DataFrame:
     """Left join on the hashed e-mail; duplicate identity keys fan out."""
-    ident = identity.select("sha256_email_address", "gender", "exact_age", "est_household_income")
-    if dedup:
-        ident = ident.dropDuplicates(["sha256_email_address"])
+    values = ("gender", "exact_age", "est_household_income")
+    ident = identity.select("sha256_email_address", *values)
+    if dedup:  # the smallest row of a key, so that every run keeps the same one
+        ident = ident.groupBy("sha256_email_address").agg(F.min(F.struct(*values)).alias("v"))
+        ident = ident.select("sha256_email_address", "v.*")
     return left_join_spread_nulls(
         impressions, ident, "profile_emailsha256", "sha256_email_address", spread_by="event_id"
     )
 
 
+def with_event_id(impressions: DataFrame) -> DataFrame:
+    """Impressions with a key: a hash of all their columns where the source has none."""
+    if "event_id" in impressions.columns:
+        return impressions
+    return impressions.withColumn("event_id", F.xxhash64(*[F.col(f"`{c}`") for c in impressions.columns]))
+
+
 def training_rows(
-    impressions: DataFrame, identity: DataFrame, as_of=None, spec: IngestSpec = IngestSpec()
+    impressions: DataFrame, identity: DataFrame, as_of=None, spec: IngestSpec = IngestSpec(), newer_than=None
 ) -> DataFrame:
     """The training-row query (flagship): filter -> identity join -> projection."""
-    return project_training(join_identity(filter_impressions(impressions, as_of, spec), identity, spec.dedup_identity))
+    rows = filter_impressions(with_event_id(impressions), as_of, spec, newer_than)
+    return project_training(join_identity(rows, identity, spec.dedup_identity))
+
+
+def query_text(spec: IngestSpec = IngestSpec(), newer_than=None) -> str:
+    """The training-row query as SQL text, for the audit (K5)."""
+    mark = "" if newer_than is None else f" AND a.timestamp > TIMESTAMP_NTZ '{newer_than}'"
+    return (
+        "SELECT a.event_id, a.timestamp, COALESCE(a.click, 0) AS click, COALESCE(a.profile_gender, b.gender) AS gender,"
+        " a.campdata_campaignid AS campaign_id, a.trafsrc_sourceid AS traffic_source_id,"
+        " a.trafsrc_trafficpartnerid AS traffic_partner_id, a.device_osname AS os_name, b.exact_age AS age,"
+        " b.est_household_income AS household_income, a.campdata_flowimpressionposition AS position,"
+        " hour(a.timestamp) AS hour FROM impressions a LEFT JOIN identity b"
+        f" ON a.profile_emailsha256 = b.sha256_email_address WHERE a.timestamp > now() - INTERVAL {spec.window_days} DAYS"
+        f" AND (a.campdata_flowimpressionposition <= {spec.max_position} OR a.campdata_flowimpressionposition IS NULL)"
+        f" AND a.trafsrc_trafficpartnerid <> '{spec.excluded_partner}'{mark}"
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -116,10 +153,18 @@ def high_water(target: DataFrame, as_of, days: int, ts: str = "timestamp") -> Co
     """``COALESCE(MAX(ts), as_of - days)`` of the target, as a scalar subquery.
 
     Rows below the floor cannot change which rows are new (new rows must
-    also pass ``ts > floor``), so the maximum is taken over recent
-    partitions only; the set of appended rows is the same.
+    also pass ``ts > floor``), so only recent partitions count; of a
+    day-partitioned table only the newest day is read for its times.
     """
-    return F.coalesce(recent(target, as_of, days).select(F.max(ts)).scalar(), window_floor(as_of, days))
+    return F.coalesce(max_time(recent(target, as_of, days), ts).scalar(), window_floor(as_of, days))
+
+
+def max_time(target: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """A2: the latest time of a table, as one row."""
+    if PARTITION_COLUMN in target.columns:
+        newest = target.select(F.max(PARTITION_COLUMN)).scalar()
+        target = target.where(F.col(PARTITION_COLUMN) == newest)
+    return target.select(F.max(ts).alias("max_ts"))
 
 
 def new_rows(rows: DataFrame, target: DataFrame, as_of, days: int) -> DataFrame:
@@ -127,33 +172,13 @@ def new_rows(rows: DataFrame, target: DataFrame, as_of, days: int) -> DataFrame:
     return rows.where(in_window(as_of, days) & (F.col("timestamp") > high_water(target, as_of, days)))
 
 
-def high_water_frame(target: DataFrame, as_of, days: int) -> DataFrame:
-    return target.select(
-        F.coalesce(F.max("timestamp"), window_floor(as_of, days)).alias("high_water")
-    )
-
-
-def audit_frame(before: DataFrame, inserted: DataFrame, description: str) -> DataFrame:
-    """K5 as a one-row DataFrame: rows before, inserted, after, and what ran."""
-    n_inserted = inserted.select(F.count(F.lit(1))).scalar()
-    return (
-        before.agg(F.count(F.lit(1)).alias("rows_before"))
-        .withColumn("rows_inserted", n_inserted)
-        .select(
-            "rows_before",
-            (F.col("rows_before") + F.col("rows_inserted")).alias("rows_after"),
-            "rows_inserted",
-            F.lit(description).alias("data_query"),
-        )
-    )
-
-
 def ensure_schema(spark: SparkSession, schema: str) -> None:
     """K1."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
 
 
-def ensure_table(spark: SparkSession, table: str, like: DataFrame, partition_by: str | None = "event_date") -> bool:
+def ensure_table(spark: SparkSession, table: str, like: DataFrame, partition_by: str | None = "event_date",
+                 path: str | None = None) -> bool:
     """K2 + K3: create an empty table with the query's schema when absent.
 
     The table is partitioned by event date so the 22-day window prunes whole
@@ -161,10 +186,12 @@ def ensure_table(spark: SparkSession, table: str, like: DataFrame, partition_by:
     """
     if spark.catalog.tableExists(table):
         return False
-    empty = _with_partition(like, partition_by).limit(0)
+    empty = spark.createDataFrame([], _with_partition(like, partition_by).schema)
     w = empty.write.format("parquet")
     if partition_by:
         w = w.partitionBy(partition_by)
+    if path:  # an external table
+        w = w.option("path", path)
     w.saveAsTable(table)
     return True
 
@@ -175,21 +202,36 @@ def _with_partition(df: DataFrame, partition_by: str | None) -> DataFrame:
     return df
 
 
+def frozen_mark(spark: SparkSession, target: DataFrame, as_of=None, days: int = 22) -> _dt.datetime:
+    """The high-water mark as a value, read once for a whole run."""
+    return spark.range(1).select(high_water(target, as_of, days).alias("mark")).first()["mark"]
+
+
+def append_rows(fresh: DataFrame, table: str, partition_by: str | None = PARTITION_COLUMN) -> None:
+    """One distributed append; each day's rows go to as many files as their size asks for (AQE splits large days)."""
+    spark = fresh.sparkSession
+    fresh = _with_partition(fresh, partition_by).select(*spark.table(table).columns)
+    if partition_by:
+        fresh = fresh.hint("rebalance", partition_by)
+    fresh.write.insertInto(table)
+    spark.catalog.refreshTable(table)
+
+
 def append_new(spark: SparkSession, rows: DataFrame, table: str, as_of=None, days: int = 22,
-               partition_by: str | None = "event_date") -> DataFrame:
+               partition_by: str | None = PARTITION_COLUMN, description: str | None = None, mark=None) -> DataFrame:
     """K4 + K5: append the rows newer than the table's high-water mark; return the audit row.
 
-    Counts are two small aggregates (parquet footers answer the plain COUNT);
-    the insert is one distributed write.  A rerun inserts 0 rows.
+    ``mark`` is a mark already read for this run.  Counts are two small
+    aggregates (parquet footers answer the plain COUNT); the insert is one
+    distributed write.  A rerun inserts 0 rows.
     """
     created = ensure_table(spark, table, rows, partition_by)
     target = spark.table(table)
     before = target.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    fresh = _with_partition(new_rows(rows, target, as_of, days), partition_by)
-    fresh.select(*spark.table(table).columns).write.insertInto(table)
-    spark.catalog.refreshTable(table)
+    mark = frozen_mark(spark, target, as_of, days) if mark is None else mark
+    append_rows(rows.where(in_window(as_of, days) & (F.col("timestamp") > as_column(mark))), table, partition_by)
     after = spark.table(table).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     return spark.createDataFrame(
-        [(int(before), int(after), int(after - before), f"append into {table}", bool(created))],
+        [(int(before), int(after), int(after - before), description or f"append into {table}", bool(created))],
         "rows_before long, rows_after long, rows_inserted long, data_query string, created boolean",
     )

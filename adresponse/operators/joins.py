@@ -1,4 +1,4 @@
-"""Join helpers (J1, J2) written for skewed keys and bounded broadcasts.
+"""Join helpers (J1, J2) written for skewed keys.
 
 * ``left_join_spread_nulls``: a left equi-join whose probe side may hold many
   NULL keys (anonymous impressions).  NULL keys can never match, but a plain
@@ -6,9 +6,9 @@
   never-matching stand-in key so they spread over all partitions; the extra
   ``isNotNull`` term keeps the result exact.  A hot non-NULL key is split by
   AQE's skew-join (left side of a left outer join is splittable).
-* ``broadcast_if_small``: broadcast a side only after a bounded count proves
-  it holds at most ``max_rows`` rows; otherwise the plain join is kept and
-  AQE chooses at run time from real shuffle sizes.
+* ``assert_unique_key``: a dimension that is looked up may hold a key once.
+
+No side is broadcast by hint: AQE chooses at run time from real sizes.
 """
 
 from __future__ import annotations
@@ -16,39 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a side we accept to broadcast (a dimension of ~100 B rows -> ~200 MB).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-# A side stored in more files than this is not counted at all (metadata check).
-DEFAULT_BROADCAST_FILES = 512
-_SMALL: dict = {}
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-             max_files: int = DEFAULT_BROADCAST_FILES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A side spread over many files is declared large from its file list alone
-    (no job); otherwise a bounded count reads at most ``max_rows + 1`` rows.
-    """
-    files = df.inputFiles()
-    if len(files) > max_files:
-        return False
-    # same plan over the same files holds the same rows: count once per session
-    key = (df.semanticHash(), tuple(sorted(files)), max_rows)
-    if key not in _SMALL:
-        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _SMALL[key]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def assert_unique_key(df: DataFrame, key: str) -> None:
     """Feature tables must be keyed uniquely (one distributed aggregate)."""
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
+    dup = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError(f"feature table key {key!r} is not unique")
 

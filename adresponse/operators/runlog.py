@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from ..config import BoostParams
 
+TUNE_RUN = "tune-"  # run ids of the hyper-parameter search begin so; no other run's may
 RUNLOG_SCHEMA = "run_id string, model string, key string, value string, end_time timestamp_ntz"
 
 
 def metric_rows(spark: SparkSession, run_id: str, model: str, values: dict, end_time=None) -> DataFrame:
     """One row per logged key (params as JSON text)."""
-    end_time = end_time or _dt.datetime.now()
+    end_time = end_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rows = [
         (run_id, model, k, v if isinstance(v, str) else json.dumps(v, sort_keys=True), end_time)
         for k, v in values.items()
@@ -54,9 +55,14 @@ def latest_run(runlog: DataFrame) -> DataFrame:
 
 
 def tuned_params(runlog: DataFrame, model: str) -> BoostParams:
-    """M2: latest tuned hyper-parameters of ``model``, else the defaults."""
+    """M2: latest tuned hyper-parameters of ``model``, else the defaults.
+
+    Training runs log the values they used under the same key; only search
+    runs count here.
+    """
     key = f"{model}_hyperparams"
-    row = latest_values(runlog.where(F.col("model") == model), [key]).first()
+    tuned = runlog.where((F.col("model") == model) & F.col("run_id").startswith(TUNE_RUN))
+    row = latest_values(tuned, [key]).first()
     if row is None or row["value"] is None:
         return BoostParams()
     return BoostParams.from_dict(json.loads(row["value"]))

@@ -53,8 +53,12 @@ def ingest_job(spark: SparkSession, impressions, identity, training_table: str,
     schema = training_table.rsplit(".", 1)[0] if "." in training_table else None
     if schema:
         ingest.ensure_schema(spark, schema)
-    rows = ingest.training_rows(_table(spark, impressions), _table(spark, identity), as_of, spec)
-    audit = ingest.append_new(spark, rows, training_table, as_of, spec.window_days)
+    as_of = as_of if as_of is not None else _dt.datetime.now(_dt.timezone.utc)  # one time for the whole run
+    sides = _table(spark, impressions), _table(spark, identity)
+    ingest.ensure_table(spark, training_table, ingest.training_rows(*sides, as_of, spec))
+    mark = ingest.frozen_mark(spark, spark.table(training_table), as_of, spec.window_days)
+    rows = ingest.training_rows(*sides, as_of, spec, newer_than=mark)
+    audit = ingest.append_new(spark, rows, training_table, as_of, spec.window_days, description=ingest.query_text(spec, mark), mark=mark)
     a = audit.first()
     runlog.append_metrics(
         spark,
@@ -77,7 +81,7 @@ def tune_job(spark: SparkSession, training_table: str, runlog_table: str, spec:
     best = tuning.best(trials)
     runlog.append_metrics(
         spark, runlog_table,
-        runlog.metric_rows(spark, _run_id("tune"), spec.name, {f"{spec.name}_hyperparams": best.as_dict()}),
+        runlog.metric_rows(spark, _run_id(runlog.TUNE_RUN.rstrip("-")), spec.name, {f"{spec.name}_hyperparams": best.as_dict()}),
     )
     return trials
 
@@ -87,6 +91,8 @@ def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, mod
                 run_id: str | None = None, input_bytes: int | None = None) -> modeling.ClickModel:
     """M1/M2/M4/K6/K9: fit with tuned (or default) values, evaluate, log, save."""
     run_id = run_id or _run_id("train")
+    if run_id.startswith(runlog.TUNE_RUN):
+        raise ValueError(f"a training run's id may not begin with {runlog.TUNE_RUN!r}")
     if input_bytes:
         apply_scale_settings(spark, input_bytes)
     if params is None:
@@ -97,7 +103,7 @@ def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, mod
         )
     training = modeling.load_window(spark.table(training_table), as_of, WINDOW_DAYS)
     lookup = _campaigns(spark, campaigns, spec)
-    prepared = modeling.materialize(modeling.prepare(training, spec, lookup))
+    prepared = modeling.materialize(modeling.prepare(training, spec, lookup), modeling.layout(input_bytes))
     model = modeling.fit(prepared, spec, params, run_id)
     evaluation = modeling.evaluate(model, prepared)
     runlog.append_metrics(spark, runlog_table, runlog.metric_rows(spark, run_id, spec.name, modeling.metrics(model, evaluation)))
@@ -112,6 +118,6 @@ def score_job(spark: SparkSession, requests, model1_path: str, model2_path: str,
     """M10 + K8: route each request to one model, score, append to the inference log."""
     m1 = modeling.load(spark, model1_path, MODEL1)
     m2 = modeling.load(spark, model2_path, MODEL2)
-    scored = scoring.score_routed(_table(spark, requests), m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1)
+    scored = scoring.score_routed(_table(spark, requests), m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1, capture=True)
     scoring.append_inference_log(spark, scored, inference_table)
     return spark.table(inference_table)

@@ -6,7 +6,7 @@ dictionary and the fitted trees):
     training rows --load window--> prepare (model 1: clean; model 2: cast to
     text + campaign lookup) --> augment (blanked copies) --> is_test flag
     --> cleaner -> caster -> dictionary (fit on train side only) -> missing
-    fill -> assembler --> GBTClassifier with the test side as validation set.
+    fill -> assembler --> GBTClassifier, stopped by the test side's loss.
 
 The fitted ``PipelineModel`` holds every stage, so scoring applies exactly
 the training-time cleaning and encoding.
@@ -33,7 +33,7 @@ from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dicti
 from ..operators.features import cast_features, lookup_features, select_loaded
 from ..operators.ingest import in_window, recent
 from ..operators.sampling import augment_nulls, is_test
-from ..session import checkpoint_dir, default_parallelism
+from ..session import checkpoint_dir
 from .stages import FeatureCaster, MissingFill, RowCleaner
 
 EPS = 1e-15
@@ -65,29 +65,30 @@ def prepare(training: DataFrame, spec: ModelSpec, campaigns: DataFrame | None =
     return df.withColumn("is_test", is_test(KEY))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partitions: int = 8) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
 
     The prepared frame feeds the dictionary fit, the feature assembly, the
     boosting passes and the evaluation; without this the scan + identity
     join + augmentation would run again for each.  A reliable checkpoint (not a local one) survives the
     loss of the executors that computed it.
+
+    Boosting samples rows by their place, so the layout - ``partitions`` by
+    key, sorted - depends on the data alone and not on the cluster; a job
+    takes the count from its input's size.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    # Boosting makes dozens of passes over this frame; with fewer partitions
-    # than task slots (small inputs, a single file split) spread it once by
-    # key.  Cluster-sized inputs already have more partitions and skip this.
-    slots = default_parallelism(spark)
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view on remote sessions; keep the input layout
-        parts = slots
-    if KEY in df.columns and parts < slots:
-        df = df.repartition(slots, KEY)
+    checkpoint_dir(df.sparkSession)
+    order = [c for c in (KEY, "variant") if c in df.columns]
+    if KEY in df.columns:
+        df = df.repartition(partitions, KEY).sortWithinPartitions(*order)
     return df.checkpoint(eager=True)
 
 
+def layout(input_bytes: int | None, per_partition: int = 128 << 20) -> int:
+    """Partitions of a prepared frame, from the size of its input."""
+    return max(8, -(-(input_bytes or 0) // per_partition))
+
+
 def request_signature(spec: ModelSpec) -> str:
     """M7: the request contract (loaded features and their types)."""
     loaded = {f: t for f, t in spec.feature_types.items() if f not in spec.lookup_features}
@@ -140,13 +141,13 @@ class ClickModel:
         return len(self.pipeline.stages[-1].trees)
 
 
-def feature_stages(prepared: DataFrame, spec: ModelSpec, max_categories: int | None = None) -> tuple[list, int]:
+def feature_stages(prepared: DataFrame, spec: ModelSpec) -> tuple[list, int]:
     """Cleaner, caster, dictionary (train side only), fill, assembler; and maxBins."""
     cleaner = RowCleaner(spec.clean_policy)
     caster = FeatureCaster(model_types(spec))
     staged = caster.transform(cleaner.transform(prepared))
     dictionary = fit_dictionary(
-        staged.where(~F.col("is_test")), spec.categorical, spec.numeric_order, max_categories
+        staged.where(~F.col("is_test")), spec.categorical, spec.numeric_order
     )
     indexer = indexer_from_dictionary(dictionary, spec.categorical)
     filler = MissingFill(list(spec.numeric))
@@ -160,18 +161,16 @@ def feature_stages(prepared: DataFrame, spec: ModelSpec, max_categories: int | N
     return [cleaner, caster, indexer, filler, assembler], max(32, widest + 1)
 
 
-def booster(spec: ModelSpec, params: BoostParams, max_bins: int) -> GBTClassifier:
-    """M1: GBTClassifier with the test side as validation set (early stopping)."""
+def booster(spec: ModelSpec, params: BoostParams, max_bins: int, rounds: int | None = None) -> GBTClassifier:
+    """M1: GBTClassifier with the given settings and number of trees."""
     return GBTClassifier(
         labelCol=spec.label,
         featuresCol="features",
-        maxIter=int(params.n_estimators),
+        maxIter=int(rounds or params.n_estimators),
         maxDepth=int(params.max_depth),
         stepSize=float(params.learning_rate),
         subsamplingRate=float(params.subsample),
         featureSubsetStrategy=str(float(params.colsample_bytree)),
-        validationIndicatorCol="is_test",
-        validationTol=float(params.validation_tol),
         maxBins=int(max_bins),
         seed=int(params.seed),
         lossType="logistic",
@@ -179,20 +178,53 @@ def booster(spec: ModelSpec, params: BoostParams, max_bins: int) -> GBTClassifie
     )
 
 
+def stopping_point(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Trees up to the lowest loss, and whether ``patience`` more trees brought no lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def boost(feats: DataFrame, spec: ModelSpec, params: BoostParams, max_bins: int):
+    """M1: boost on the train side until the test side's loss has not fallen for
+    ``early_stopping_rounds`` trees; the model keeps the trees up to the lowest loss.
+
+    Trees depend only on the seed and the trees before them, so a longer fit
+    begins with the shorter one's trees: the number of rounds is doubled until
+    the stopping point lies inside, and the final model is fitted to it.
+    """
+    train, test = feats.where(~F.col("is_test")), feats.where(F.col("is_test"))
+    patience = max(1, int(params.early_stopping_rounds))
+    rounds = min(int(params.n_estimators), max(16, patience + 1))
+    if test.isEmpty():
+        return booster(spec, params, max_bins).fit(train)
+    while True:
+        model = booster(spec, params, max_bins, rounds).fit(train)
+        best, stopped = stopping_point(model.evaluateEachIteration(test), patience)
+        if stopped or rounds >= params.n_estimators:
+            break
+        rounds = min(int(params.n_estimators), 2 * rounds)
+    return model if best == rounds else booster(spec, params, max_bins, best).fit(train)
+
+
 def assembled(prepared: DataFrame, stages: list, spec: ModelSpec) -> DataFrame:
     return PipelineModel(stages=stages).transform(prepared).select("features", spec.label, "is_test")
 
 
 def fit(prepared: DataFrame, spec: ModelSpec, params: BoostParams | None = None,
-        run_id: str | None = None, max_categories: int | None = None) -> ClickModel:
+        run_id: str | None = None) -> ClickModel:
     """Fit one click model; only the assembled features are kept in memory."""
     params = params or BoostParams()
     run_id = run_id or _dt.datetime.now().strftime("run-%Y%m%d%H%M%S")
-    stages, max_bins = feature_stages(prepared, spec, max_categories)
+    stages, max_bins = feature_stages(prepared, spec)
     feats = assembled(prepared, stages, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         t0 = time.time()
-        gbt_model = booster(spec, params, max_bins).fit(feats)
+        gbt_model = boost(feats, spec, params, max_bins)
         secs = time.time() - t0
     finally:
         feats.unpersist()

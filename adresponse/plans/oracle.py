@@ -68,7 +68,7 @@ identity AS (
 CAMPAIGNS = """
 campaign_features AS (
   SELECT CAST(p_partkey AS VARCHAR) AS campaign_id, p_type AS vertical, p_brand AS subvertical
-  FROM part WHERE p_partkey < 90)"""
+  FROM part WHERE p_partkey % 10 <> 9)"""
 
 AS_OF = """
 as_of AS (SELECT max(ts) AS as_of, max(ts) - INTERVAL {days} DAY AS floor_ts FROM events)""".format(

@@ -7,6 +7,8 @@ state; model fitting and scoring are checked by row count and by pytest.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +18,16 @@ from ..config import (
     MAX_POSITION,
     MODEL1,
     MODEL2,
+    SEARCH_EVALS,
+    SEARCH_SPACE,
+    VERSION_PREFIX,
     WINDOW_DAYS,
+    BoostParams,
+    IngestSpec,
 )
 from ..functions import cleaning as C
 from ..operators import encoding, features, ingest, runlog, sampling
+from ..session import checkpoint_dir
 from . import modeling, scoring, tuning
 from . import oracle as O
 from .context import FIXTURE_SPEC, Inputs
@@ -63,10 +71,12 @@ def p_train_projection(spark, sf_dir) -> DataFrame:
     return _in(spark, sf_dir).training()
 
 
-@query("s3_window_load", O.with_ctes(body='SELECT * FROM training WHERE "timestamp" > (SELECT floor_ts FROM as_of)'))
+@query("s3_window_load", O.with_ctes(body="SELECT * FROM training"))
 def s3_window_load(spark, sf_dir):
+    """The load's own window over training rows of all days."""
     i = _in(spark, sf_dir)
-    return modeling.load_window(i.training(), i.as_of())
+    every = IngestSpec(window_days=36500, excluded_partner=FIXTURE_SPEC.excluded_partner)
+    return modeling.load_window(i.training(spec=every), i.as_of())
 
 
 @query("s4_campaign_scan", O.with_ctes(body="SELECT campaign_id, vertical, subvertical FROM campaign_features"))
@@ -145,9 +155,9 @@ def p9_null_column(spark, sf_dir):
 
 @query("p12_version_tag", O.with_ctes(
     body=f"""SELECT event_id, campaign_id, "position",
-       'adflow_click_MODEL1 - {RUN_ID}' AS model_version FROM training"""))
+       '{VERSION_PREFIX}MODEL1 - {RUN_ID}' AS model_version FROM training"""))
 def p12_version_tag(spark, sf_dir):
-    tag = f"adflow_click_{MODEL1.name} - {RUN_ID}"
+    tag = modeling.ClickModel(MODEL1, None, BoostParams(), RUN_ID).version_tag
     return _in(spark, sf_dir).training().select("event_id", "campaign_id", "position", F.lit(tag).alias("model_version"))
 
 
@@ -190,7 +200,27 @@ def f4_incremental(spark, sf_dir):
 @query("j4_high_water", O.with_ctes(_TARGET, body=f"SELECT {_HW} AS high_water"))
 def j4_high_water(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return ingest.high_water_frame(i.target_before(5), i.as_of(), WINDOW_DAYS)
+    return spark.range(1).select(ingest.high_water(i.target_before(5), i.as_of(), WINDOW_DAYS).alias("high_water"))
+
+
+def _appended(spark, sf_dir) -> tuple[DataFrame, str]:
+    """A table of the rows up to five days ago, then appended to: the audit row and where the table lies."""
+    i = _in(spark, sf_dir)
+    name = f"adresponse_append_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    ingest.ensure_table(spark, name, i.training(), path=path)
+    ingest.append_rows(i.target_before(5), name)
+    audit = ingest.append_new(spark, i.training(), name, i.as_of(), WINDOW_DAYS, description=AUDIT_TEXT)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return audit, path
+
+
+@query("k4_append", O.with_ctes(_TARGET, body=f"""
+SELECT *, CAST("timestamp" AS DATE) AS event_date FROM target
+UNION ALL SELECT *, CAST("timestamp" AS DATE) FROM training WHERE "timestamp" > {_HW}"""))
+def k4_append(spark, sf_dir):
+    """The table that the append really wrote."""
+    return spark.read.parquet(_appended(spark, sf_dir)[1])
 
 
 @query("k5_audit", O.with_ctes(_TARGET, body=f"""
@@ -199,10 +229,7 @@ SELECT (SELECT count(*) FROM target) AS rows_before,
        (SELECT count(*) FROM training WHERE "timestamp" > {_HW}) AS rows_inserted,
        '{AUDIT_TEXT}' AS data_query"""))
 def k5_audit(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    target = i.target_before(5)
-    fresh = ingest.new_rows(i.training(), target, i.as_of(), WINDOW_DAYS)
-    return ingest.audit_frame(target, fresh, AUDIT_TEXT)
+    return _appended(spark, sf_dir)[0].drop("created")
 
 
 @query("j1_identity_left", O.with_ctes(body="""
@@ -250,8 +277,8 @@ def a1_row_count(spark, sf_dir):
     body='SELECT COALESCE(max("timestamp"), (SELECT floor_ts FROM as_of)) AS max_ts FROM training'))
 def a2_max_ts(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return i.training().select(
-        F.coalesce(F.max("timestamp"), ingest.window_floor(i.as_of(), WINDOW_DAYS)).alias("max_ts")
+    return ingest.max_time(i.training()).select(
+        F.coalesce("max_ts", ingest.window_floor(i.as_of(), WINDOW_DAYS)).alias("max_ts")
     )
 
 
@@ -647,7 +674,7 @@ def m9_route(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# model fitting, evaluation, scoring (rows-only checks; pytest covers quality)
+# model fitting, evaluation, scoring (their properties as SQL; pytest covers quality)
 # ---------------------------------------------------------------------------
 _MODELS: dict = {}
 
@@ -701,47 +728,99 @@ def e8_clean_encode_twice(spark, sf_dir):
     )
 
 
-@query("m1_fit_summary")
+def _fit_sql(model: str, frame: str, *ctes: str) -> str:
+    """What a good fit's summary says, from the training frame alone."""
+    return O.with_ctes(*ctes, body=f"""
+SELECT '{model}' AS model, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, count(*) AS rows,
+       TRUE AS loss_is_finite, CASE WHEN NOT any_value(is_test) THEN TRUE END AS not_above_constant
+FROM {frame} GROUP BY is_test""")
+
+
+def _fit_check(spark, sf_dir, spec) -> DataFrame:
+    """Rows of each split; whether the loss is finite and, on the train side, at or below that of the constant rate."""
+    m, prepared = fitted(spark, sf_dir, spec), prepared_for(spark, sf_dir, spec)
+    label = F.col(spec.label)
+    rate = prepared.where(~F.col("is_test")).agg(F.avg(label).alias("r")).select("r").scalar()
+    constant = prepared.groupBy(modeling.split_name().alias("split")).agg(F.avg(modeling.log_loss(label, rate)).alias("constant"))
+    summary = modeling.fit_summary(m, modeling.evaluate(m, prepared)).join(constant, "split")
+    finite = F.col("log_loss").isNotNull() & ~F.isnan("log_loss") & (F.col("log_loss") < float("inf"))
+    return summary.select(
+        "model", "split", "rows", finite.alias("loss_is_finite"),
+        F.when(F.col("split") == "train", F.col("log_loss") <= F.col("constant") + 1e-6).alias("not_above_constant"),
+    )
+
+
+@query("m1_fit_summary", _fit_sql("MODEL1", "m1_aug", _M1_CLEAN, _M1_AUG))
 def m1_fit_summary(spark, sf_dir):
-    m = fitted(spark, sf_dir, MODEL1)
-    return modeling.fit_summary(m, modeling.evaluate(m, prepared_for(spark, sf_dir, MODEL1)))
+    return _fit_check(spark, sf_dir, MODEL1)
 
 
-@query("m4_eval")
+@query("m4_eval", _fit_sql("MODEL2", "m2_clean", _M2_TEXT, _M2_AUG, _M2_CLEAN))
 def m4_eval(spark, sf_dir):
-    m = fitted(spark, sf_dir, MODEL2)
-    return modeling.fit_summary(m, modeling.evaluate(m, prepared_for(spark, sf_dir, MODEL2)))
+    return _fit_check(spark, sf_dir, MODEL2)
 
 
-@query("m3_search")
-def m3_search(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    prepared = modeling.prepare(i.training(), MODEL1)
+def _trials(spark, sf_dir) -> DataFrame:
+    prepared = modeling.materialize(modeling.prepare(_in(spark, sf_dir).training(), MODEL1))
     return tuning.search(spark, prepared, MODEL1)
 
 
-@query("m5_score")
+@query("m3_search", O.with_ctes(body=f"""
+SELECT CAST(range AS INTEGER) AS trial, (SELECT count(*) FROM training) > 0 AS in_range, TRUE AS loss_is_finite
+FROM range({SEARCH_EVALS})"""))
+def m3_search(spark, sf_dir):
+    """Trials of the search: values within their ranges, a finite loss."""
+    inside = F.lit(True)
+    for name, (low, high, _) in SEARCH_SPACE.items():
+        inside = inside & F.col(name).between(low - 0.5 if name.endswith("rounds") else low - 1e-9, high + 0.5)
+    return _trials(spark, sf_dir).select("trial", inside.alias("in_range"), (F.col("test_log_loss") < float("inf")).alias("loss_is_finite"))
+
+
+def _scored(scored: DataFrame) -> DataFrame:
+    """Scores as a property that SQL can state: a probability strictly between 0 and 1."""
+    return scored.withColumn("is_probability", (F.col("model_ctr") > 0) & (F.col("model_ctr") < 1)).drop("model_ctr")
+
+
+def _score_sql(model: str, text: bool = False) -> str:
+    cast = (lambda c: f"CAST({c} AS VARCHAR)") if text else (lambda c: c)
+    return f"""SELECT event_id, {cast("campaign_id")} AS campaign_id, {cast('"position"')} AS "position",
+       '{VERSION_PREFIX}{model} - {RUN_ID}' AS model_version, TRUE AS is_probability FROM training"""
+
+
+@query("m5_score", O.with_ctes(body=_score_sql("MODEL1")))
 def m5_score(spark, sf_dir):
-    return scoring.score(fitted(spark, sf_dir, MODEL1), _in(spark, sf_dir).training())
+    return _scored(scoring.score(fitted(spark, sf_dir, MODEL1), _in(spark, sf_dir).training()))
 
 
-@query("m6_score_lookup")
+@query("m6_score_lookup", O.with_ctes(body=_score_sql("MODEL2", text=True)))
 def m6_score_lookup(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return scoring.score(fitted(spark, sf_dir, MODEL2), i.training(), i.campaigns())
+    return _scored(scoring.score(fitted(spark, sf_dir, MODEL2), i.training(), i.campaigns()))
 
 
-@query("m10_score_routed")
-def m10_score_routed(spark, sf_dir):
+def _routed(spark, sf_dir, capture: bool = False) -> DataFrame:
     i = _in(spark, sf_dir)
-    return scoring.score_routed(
-        i.training(), fitted(spark, sf_dir, MODEL1), fitted(spark, sf_dir, MODEL2), i.campaigns(), ROUTE_PCT_MODEL1
-    )
+    models = fitted(spark, sf_dir, MODEL1), fitted(spark, sf_dir, MODEL2)
+    return scoring.score_routed(i.training(), *models, i.campaigns(), ROUTE_PCT_MODEL1, capture=capture)
+
+
+_ROUTED_SQL = f"""
+SELECT event_id, campaign_id, "position", '{VERSION_PREFIX}' || served_model || ' - {RUN_ID}' AS model_version,
+       served_model, TRUE AS is_probability
+FROM (SELECT *, {O.route_sql('event_id', ROUTE_PCT_MODEL1)} AS served_model FROM training)"""
+
+
+@query("m10_score_routed", O.with_ctes(body=_ROUTED_SQL))
+def m10_score_routed(spark, sf_dir):
+    return _scored(_routed(spark, sf_dir))
 
 
-@query("k8_inference_log")
+@query("k8_inference_log", O.with_ctes(body=f"SELECT *, TRUE AS has_request, TRUE AS is_stamped FROM ({_ROUTED_SQL})"))
 def k8_inference_log(spark, sf_dir):
-    return scoring.inference_log(m10_score_routed(spark, sf_dir))
+    """The log's rows; each holds its request, by key, and a stamp."""
+    log = scoring.inference_log(_scored(_routed(spark, sf_dir, capture=True)))
+    own = F.get_json_object("request", "$.event_id") == F.col("event_id").cast("string")
+    return log.select("*", own.alias("has_request"), F.col("scored_at").isNotNull().alias("is_stamped")).drop("request", "scored_at")
 
 
 # ---------------------------------------------------------------------------
@@ -773,9 +852,8 @@ def m2_tuned_params(spark, sf_dir):
     """M2: the search logs its best values; retraining reads the latest back (defaults if none)."""
     import datetime as _dt
 
-    trials = m3_search(spark, sf_dir)
-    best = tuning.best(trials)
-    log = runlog.metric_rows(spark, RUN_ID, MODEL1.name, {f"{MODEL1.name}_hyperparams": best.as_dict()},
+    best = tuning.best(_trials(spark, sf_dir))
+    log = runlog.metric_rows(spark, f"{runlog.TUNE_RUN}{RUN_ID}", MODEL1.name, {f"{MODEL1.name}_hyperparams": best.as_dict()},
                              _dt.datetime(2024, 2, 1))
     p = runlog.tuned_params(log, MODEL1.name)
     return spark.createDataFrame([tuple(p.as_dict().values())], list(p.as_dict().keys()))

@@ -2,63 +2,84 @@
 
 Scoring is map-only: the fitted pipeline adds column expressions and a tree
 ensemble evaluation per row; the only join is the campaign lookup of model 2
-(broadcast after a bounded size check).  Routing assigns each request to a
+(its key checked unique).  Routing assigns each request to a
 model by a hash of its key, so each request is scored exactly once.
 """
 
 from __future__ import annotations
 
+import pandas as pd
+from pandas import NA
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
-from ..config import ROUTE_SEED
+from ..config import MISSING_NUMBER, ROUTE_SEED
 from ..functions.cleaning import clean_frame
 from ..functions.hashing import below
 from ..operators.features import cast_features, lookup_features
 from .modeling import ClickModel, positive_probability
 
-def request_schema(spec, key: str = "event_id") -> str:
-    """Declared request contract: key plus the loaded features, all nullable.
+MARKED_NUMBERS = ("age", "household_income")  # features whose number -1 means missing
 
-    Model 1 takes its features as text (the serving cleaners parse numbers
-    and markers); model 2 declares every feature as text.
+
+def _missing(v) -> bool:
+    return v is None or v is NA or (isinstance(v, float) and v != v)
+
+
+def _as_text(v) -> str | None:
+    if _missing(v):
+        return None
+    return str(v)
+
+
+def _typed(values: list, declared: str, marker: bool) -> tuple[list, str]:
+    """One feature's values and their Spark type.
+
+    Features declared as text are text.  Others keep the type they come with:
+    numbers are doubles (the cleaners then treat them as numbers), text stays
+    text.  Where both come in one column, numbers are written as text, whole
+    ones without a fraction, and the marker -1 as missing.
     """
-    loaded = [f for f in spec.features if f not in spec.lookup_features]
-    return ", ".join([f"{key} bigint"] + [f"{f} string" for f in loaded])
+    values = [v.item() if hasattr(v, "item") else v for v in values]
+    texts = any(isinstance(v, str) for v in values)
+    if declared == "string":
+        return [_as_text(v) for v in values], "string"
+    if not texts:
+        return [None if _missing(v) else float(v) for v in values], "double"
+
+    def written(v):
+        if _missing(v) or isinstance(v, str):
+            return _as_text(v) if isinstance(v, str) else None
+        if marker and v == MISSING_NUMBER:
+            return None
+        return str(int(v)) if float(v).is_integer() else str(float(v))
+
+    return [written(v) for v in values], "string"
 
 
 def requests_frame(spark, payload, spec, key: str = "event_id") -> DataFrame:
-    """M8: a request payload as a DataFrame with the declared schema.
+    """M8: a request payload as a DataFrame, typed by its values.
 
     Accepts a DataFrame (returned as is), a pandas DataFrame, a list of
-    records, or ``{"instances": [...]}``; any other shape is rejected.
-    Values are kept as text so markers like ``"NA"`` reach the cleaners.
+    records, or ``{"instances": [...]}``; any other shape is rejected.  A
+    feature that no record has is a column of missing values.
     """
     if isinstance(payload, DataFrame):
         return payload
     if isinstance(payload, dict) and "instances" in payload:
         payload = payload["instances"]
-    try:
-        import pandas as pd
-
-        if isinstance(payload, pd.DataFrame):
-            payload = payload.to_dict("records")
-    except ImportError:  # pandas is optional here
-        pass
+    if isinstance(payload, pd.DataFrame):
+        payload = payload.to_dict("records")
     if not isinstance(payload, list) or not all(isinstance(r, dict) for r in payload):
         raise TypeError("Invalid model input: expected a DataFrame, a list of records or {'instances': [...]}")
-    schema = request_schema(spec, key)
-    names = [c.split(" ")[0] for c in schema.split(", ")]
-    def text(v):
-        if v is None or (isinstance(v, float) and v != v):  # None and NaN are missing
-            return None
-        return str(v)
-
-    rows = []
-    for i, r in enumerate(payload):
-        k = r.get(key, i)
-        rows.append(tuple([int(k)] + [text(r.get(n)) for n in names[1:]]))
-    return spark.createDataFrame(rows, schema)
+    columns, schema = [[int(r.get(key, i)) for i, r in enumerate(payload)]], [f"{key} bigint"]
+    for f in spec.features:
+        if f not in spec.lookup_features:
+            values, kind = _typed([r.get(f) for r in payload], spec.feature_types[f], f in MARKED_NUMBERS)
+            columns.append(values)
+            schema.append(f"{f} {kind}")
+    return spark.createDataFrame(list(zip(*columns)), ", ".join(schema))
 
 
 def check_requests(requests: DataFrame, model: ClickModel) -> None:
@@ -69,14 +90,20 @@ def check_requests(requests: DataFrame, model: ClickModel) -> None:
     missing = [f for f in need if f not in requests.columns]
     if missing:
         raise ValueError(f"requests lack features {missing}")
+    wrong = [f for f in need if not isinstance(requests.schema[f].dataType, (NumericType, StringType))]
+    if wrong:
+        raise ValueError(f"requests hold neither numbers nor text in {wrong}")
 
 
 def score(model: ClickModel, requests: DataFrame, campaigns: DataFrame | None = None,
-          keys=("event_id",)) -> DataFrame:
-    """M5 (no lookup) / M6 (with lookup): ``keys + campaign_id, position, model_ctr, model_version``."""
+          keys=("event_id",), capture: bool = False) -> DataFrame:
+    """M5 (no lookup) / M6 (with lookup): ``keys + campaign_id, position, model_ctr, model_version``.
+
+    ``capture`` adds the request as it came, as JSON (K8).
+    """
     check_requests(requests, model)
     spec = model.spec
-    df = requests
+    df = requests.withColumn("request", F.to_json(F.struct(*requests.columns))) if capture else requests
     if spec.lookup_features:
         loaded = {f: t for f, t in spec.feature_types.items() if f not in spec.lookup_features}
         df = lookup_features(cast_features(df, loaded), campaigns, names=spec.lookup_features)
@@ -90,6 +117,7 @@ def score(model: ClickModel, requests: DataFrame, campaigns: DataFrame | None =
         "position",
         positive_probability().alias("model_ctr"),
         F.lit(model.version_tag).alias("model_version"),
+        *(["request"] if capture else []),
     )
 
 
@@ -102,11 +130,11 @@ def route(requests: DataFrame, pct_model1: float, key: str = "event_id", seed: i
 
 
 def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, campaigns: DataFrame,
-                 pct_model1: float = 50.0, key: str = "event_id") -> DataFrame:
+                 pct_model1: float = 50.0, key: str = "event_id", capture: bool = False) -> DataFrame:
     """Route, score each share with its model, one result."""
     routed = route(requests, pct_model1, key)
-    s1 = score(model1, routed.where(F.col("served_model") == "MODEL1"), keys=(key,))
-    s2 = score(model2, routed.where(F.col("served_model") == "MODEL2"), campaigns, keys=(key,))
+    s1 = score(model1, routed.where(F.col("served_model") == "MODEL1"), keys=(key,), capture=capture)
+    s2 = score(model2, routed.where(F.col("served_model") == "MODEL2"), campaigns, keys=(key,), capture=capture)
     s2 = s2.withColumn("position", F.col("position").try_cast("int"))
     return (
         s1.withColumn("served_model", F.lit("MODEL1"))
@@ -114,9 +142,9 @@ def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, ca
     )
 
 
-def inference_log(scored: DataFrame, requests: DataFrame | None = None, key: str = "event_id") -> DataFrame:
-    """K8: scored rows stamped with the scoring time (append to a log table)."""
-    return scored.withColumn("scored_at", F.localtimestamp())
+def inference_log(scored: DataFrame) -> DataFrame:
+    """K8: scored rows stamped with the scoring time in UTC (append to a log table)."""
+    return scored.withColumn("scored_at", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
 
 
 def append_inference_log(spark, scored: DataFrame, table: str) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SEARCH_EVALS, SEARCH_PARALLELISM, SEARCH_SPACE, BoostParams, ModelSpec
-from .modeling import assembled, booster, feature_stages, log_loss, positive_probability
+from .modeling import assembled, boost, feature_stages, log_loss, positive_probability
 
 
 def draw(n: int, seed: int = 0, space: dict = SEARCH_SPACE) -> list[BoostParams]:
@@ -46,7 +46,7 @@ def search(spark: SparkSession, prepared: DataFrame, spec: ModelSpec, n_evals: i
 
     def run(i_params):
         i, params = i_params
-        m = booster(spec, params, max_bins).fit(feats)
+        m = boost(feats, spec, params, max_bins)
         loss = (
             m.transform(test)
             .agg(F.avg(log_loss(F.col(spec.label), positive_probability())).alias("l"))

@@ -3,9 +3,11 @@
 The batch job appends rows newer than the target's high-water mark.  The
 streaming form reads new impression files as they land, joins the static
 identity dimension (stream-static left join), and appends each micro-batch
-through ``foreachBatch`` with the same high-water filter.  The checkpoint
-records which files were processed; the high-water filter makes a replayed
-batch insert nothing twice, so a restarted or retried job stays exact.
+through ``foreachBatch``.  The high-water mark is read once, when a run
+starts, and kept beside the checkpoint until the run has ended, so how files
+fall into micro-batches - and a restart within the run - changes nothing:
+files of one run may overlap in time.  Rows whose key the target already has
+since the mark are left out, so a replayed batch inserts nothing twice.
 
 ``trigger(availableNow=True)`` processes everything present and stops, which
 is how a scheduled ingest task runs it.
@@ -17,7 +19,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestSpec
-from ..operators.ingest import _with_partition, ensure_table, new_rows, training_rows
+from ..operators.ingest import append_rows, as_column, ensure_table, frozen_mark, in_window, recent, training_rows
+
+KEY = "event_id"
+
+
+def _mark_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-mark"
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def run_mark(spark: SparkSession, table: str, checkpoint: str, as_of, days: int):
+    """The mark of the run that is under way, or of the one that starts now."""
+    files, place = _folder(spark, _mark_path(checkpoint))
+    if not files.exists(place):
+        mark = frozen_mark(spark, spark.table(table), as_of, days)
+        spark.createDataFrame([(str(mark),)], "mark string").coalesce(1).write.json(_mark_path(checkpoint))
+    return spark.read.schema("mark string").json(_mark_path(checkpoint)).first()["mark"]
+
+
+def end_run(spark: SparkSession, checkpoint: str) -> None:
+    """Forget the mark of a run that has ended well; the next run reads a new one."""
+    files, place = _folder(spark, _mark_path(checkpoint))
+    files.delete(place, True)
+
+
+def run_ingest(spark: SparkSession, impressions_stream: DataFrame, identity: DataFrame, table: str, checkpoint: str,
+               as_of, spec: IngestSpec = IngestSpec(), partition_by: str | None = "event_date") -> None:
+    """One whole run over all files that are there."""
+    start_ingest(spark, impressions_stream, identity, table, checkpoint, as_of, spec, partition_by).awaitTermination()
+    end_run(spark, checkpoint)
 
 
 def start_ingest(
@@ -31,15 +66,18 @@ def start_ingest(
     partition_by: str | None = "event_date",
     available_now: bool = True,
 ):
-    """Start the streaming append; returns the ``StreamingQuery``."""
+    """Start the streaming append; returns the ``StreamingQuery``.
+
+    Call ``end_run`` when a run has ended (``run_ingest`` does both).
+    """
     rows = training_rows(impressions_stream, identity, as_of, spec)
+    ensure_table(spark, table, rows, partition_by)
+    mark = as_column(run_mark(spark, table, checkpoint, as_of, spec.window_days))
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        ensure_table(spark, table, batch, partition_by)
-        target = spark.table(table)
-        fresh = _with_partition(new_rows(batch, target, as_of, spec.window_days), partition_by)
-        fresh.select(*target.columns).write.insertInto(table)
-        spark.catalog.refreshTable(table)
+        there = recent(spark.table(table), as_of, spec.window_days).where(F.col("timestamp") > mark).select(KEY)
+        fresh = batch.where(in_window(as_of, spec.window_days) & (F.col("timestamp") > mark))
+        append_rows(fresh.join(there, KEY, "left_anti"), table, partition_by)
 
     writer = rows.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -37,7 +37,7 @@ def start_scoring(
     available_now: bool = True,
 ):
     """Start the scoring stream; returns the ``StreamingQuery``."""
-    scored = scoring.score_routed(requests_stream, model1, model2, campaigns, pct_model1, key)
+    scored = scoring.score_routed(requests_stream, model1, model2, campaigns, pct_model1, key, capture=True)
 
     view = "adresponse_scored_batch"
 

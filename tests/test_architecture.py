@@ -5,7 +5,7 @@ import re
 
 LIB = pathlib.Path(__file__).resolve().parent.parent / "adresponse"
 # the optional training-data folder has its own tests and rules
-FILES = [p for p in FILES if "llm" not in p.relative_to(LIB).parts]
+FILES = [p for p in LIB.rglob("*.py") if "llm" not in p.relative_to(LIB).parts]
 
 FORBIDDEN = {
     r"\blocalCheckpoint\b": "lineage must be cut with a reliable checkpoint",

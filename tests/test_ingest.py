@@ -94,17 +94,8 @@ def test_fixture_views_schema(spark):
     imp = tables.impressions(spark, SF0001)
     assert dict(imp.dtypes)["campdata_flowimpressionposition"] == "int"
     cf = tables.campaign_features(spark, SF0001)
-    assert cf.count() == 90 and cf.select("campaign_id").distinct().count() == 90
-
-
-def test_broadcast_check_is_bounded(spark):
-    from adresponse.operators import joins
-
-    camp = tables.campaign_features(spark, SF001)
-    assert joins.is_small(camp, max_rows=90) and not joins.is_small(camp, max_rows=89)
-    assert not joins.is_small(camp, max_files=0)  # decided from the file list alone
-    plan = joins.broadcast_if_small(camp)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan.lower()
+    n = spark.read.parquet(f"{SF0001}/part.parquet").where("p_partkey % 10 != 9").count()
+    assert cf.count() == n and cf.select("campaign_id").distinct().count() == n
 
 
 def test_window_bound_pushed_for_run_time_as_of(spark):
@@ -121,12 +112,15 @@ def test_window_bound_pushed_for_run_time_as_of(spark):
 def test_duplicate_feature_keys_rejected(spark):
     import pytest
 
-    from adresponse.operators import joins
+    from adresponse.operators import features, joins
 
     camp = tables.campaign_features(spark, SF0001)
     joins.assert_unique_key(camp, "campaign_id")
+    twice = camp.unionByName(camp.limit(1))
     with pytest.raises(ValueError):
-        joins.assert_unique_key(camp.unionByName(camp.limit(1)), "campaign_id")
+        joins.assert_unique_key(twice, "campaign_id")
+    with pytest.raises(ValueError):  # on every path that looks features up
+        features.lookup_features(spark.createDataFrame([("1",)], "campaign_id string"), twice)
 
 
 def test_day_partitioned_impressions_are_pruned(spark, scratch):
@@ -151,3 +145,53 @@ def test_rows_at_the_high_water_mark_are_not_appended(spark):
     fresh = ingest.new_rows(rows, target, i.as_of(), 22)
     assert fresh.count() == 776
     assert fresh.where(F.col("event_id") >= 10**12).count() == 0
+
+
+def test_as_of_means_the_same_in_every_time_zone(spark):
+    """A naive time is UTC whatever the driver's zone; an aware one is converted."""
+    import datetime as dt
+    import os
+    import time
+
+    naive, aware = "2024-01-31T00:00:00", dt.datetime(2024, 1, 31, 2, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        for as_of in (naive, dt.datetime.fromisoformat(naive), aware):
+            row = spark.range(1).select(ingest.as_column(as_of).cast("string").alias("t")).first()
+            assert row.t == "2024-01-31 00:00:00"
+    finally:
+        os.environ.pop("TZ") if old is None else os.environ.update(TZ=old)
+        time.tzset()
+
+
+def test_impressions_without_a_key_get_one(spark):
+    i = Inputs(spark, SF0001)
+    rows = ingest.training_rows(i.impressions().drop("event_id"), i.identity(), i.as_of(), FIXTURE_SPEC)
+    assert rows.count() == 340 and rows.select("event_id").distinct().count() > 300
+
+
+def test_dedup_identity_keeps_the_smallest_row(spark):
+    ident = spark.createDataFrame([("a", "M", 30, 1.0), ("a", "F", 40, 2.0)], "sha256_email_address string, gender string, exact_age int, est_household_income double")
+    imp = spark.createDataFrame([(1, "a")], "event_id long, profile_emailsha256 string")
+    assert [(r.gender, r.exact_age) for r in ingest.join_identity(imp, ident, dedup=True).collect()] == [("F", 40)]
+
+
+def test_append_reads_only_new_days_and_writes_few_files(spark, scratch):
+    imp = tables.impressions(spark, SF001).withColumn("event_date", F.to_date("timestamp"))
+    imp.write.partitionBy("event_date").parquet(f"{scratch}/imp-days")
+    part = spark.read.parquet(f"{scratch}/imp-days")
+    as_of = part.agg(F.max("timestamp")).first()[0]
+    mark = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
+    rows = ingest.training_rows(part, tables.identity(spark, SF001), as_of, FIXTURE_SPEC, newer_than=mark)
+    days = {f.split("event_date=")[1][:10] for f in rows.select("timestamp").inputFiles() if "event_date=" in f}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "PartitionFilters" in ln and "event_date" in ln][0]
+    assert str(mark.date()) in scan or "event_date" in scan
+    assert rows.where(F.col("timestamp") <= mark).count() == 0 and days
+    spark.sql("DROP TABLE IF EXISTS default.training_files")
+    whole = ingest.training_rows(part, tables.identity(spark, SF001), as_of, FIXTURE_SPEC)
+    ingest.append_new(spark, whole, "default.training_files", as_of)
+    n_days = spark.table("default.training_files").select("event_date").distinct().count()
+    assert len(spark.table("default.training_files").inputFiles()) <= 2 * n_days

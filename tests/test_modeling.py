@@ -104,12 +104,15 @@ def test_run_log_latest_params(spark):
     import datetime as dt
 
     t0 = dt.datetime(2024, 1, 1)
-    old = runlog.metric_rows(spark, "r1", "MODEL1", {"MODEL1_hyperparams": {"max_depth": 5}}, t0)
-    new = runlog.metric_rows(spark, "r2", "MODEL1", {"MODEL1_hyperparams": {"max_depth": 7}}, t0 + dt.timedelta(days=1))
+    old = runlog.metric_rows(spark, "tune-1", "MODEL1", {"MODEL1_hyperparams": {"max_depth": 5}}, t0)
+    new = runlog.metric_rows(spark, "tune-2", "MODEL1", {"MODEL1_hyperparams": {"max_depth": 7}}, t0 + dt.timedelta(days=1))
     log = old.unionByName(new)
     assert runlog.tuned_params(log, "MODEL1").max_depth == 7
+    # a later training run with explicit values isn't a search
+    trained = runlog.metric_rows(spark, "train-3", "MODEL1", {"MODEL1_hyperparams": {"max_depth": 3}}, t0 + dt.timedelta(days=2))
+    assert runlog.tuned_params(log.unionByName(trained), "MODEL1").max_depth == 7
     assert runlog.tuned_params(log.limit(0), "MODEL1") == BoostParams()
-    assert {r.run_id for r in runlog.latest_run(log).collect()} == {"r2"}
+    assert {r.run_id for r in runlog.latest_run(log).collect()} == {"tune-2"}
 
 
 def test_clean_encode_idempotent_query(spark):
@@ -134,7 +137,7 @@ def test_request_payload_shapes(spark, m1):
         scoring.requests_frame(spark, "not a payload", MODEL1)
     gaps = pd.DataFrame([{**recs[0], "age": None}, {**recs[0], "age": 7}])  # numeric column: the gap is NaN
     assert gaps["age"].isna().tolist() == [True, False]
-    assert [r.age for r in scoring.requests_frame(spark, gaps, MODEL1).collect()] == [None, "7.0"]
+    assert [r.age for r in scoring.requests_frame(spark, gaps, MODEL1).collect()] == [None, 7.0]
 
 
 def test_model2_scores_record_payload(spark):
@@ -151,3 +154,41 @@ def test_model2_scores_record_payload(spark):
     assert [r.event_id for r in out] == [1, 2]
     assert all(0.0 < r.model_ctr < 1.0 for r in out)
     assert out[0].position == "2" and out[0].model_version == "adflow_click_MODEL2 - p2"
+
+
+def test_typed_payloads_keep_their_values(spark):
+    """Numbers stay numbers: gaps, the marker -1, negative and fractional source ids."""
+    import pandas as pd
+
+    from adresponse.functions.cleaning import clean_frame
+
+    frame = pd.DataFrame({"traffic_source_id": [5.0, None, 1.5, -5.0], "hour": [3, None, 4, 5], "position": [2.0, None, 1, 1],
+                          "age": [-1, 30, None, 41], "household_income": ["NA", "1200.5", "-1", "x"]})
+    got = clean_frame(scoring.requests_frame(spark, frame, MODEL1), "serve").orderBy("event_id").collect()
+    assert [r.traffic_source_id for r in got] == [5.0, None, 1.5, -5.0]
+    assert [r.age for r in got] == [None, 30.0, None, 41.0]
+    assert [r.household_income for r in got] == [None, 1200.5, -1.0, None]
+    assert [r.hour for r in got] == [3.0, None, 4.0, 5.0]
+
+
+def test_wrong_request_types_are_rejected(spark, m1):
+    model, _ = m1
+    req = spark.createDataFrame([(1, None)], "event_id long, age date")
+    need = [f for f in MODEL1.features if f != "age"]
+    with pytest.raises(ValueError, match="age"):
+        scoring.score(model, req.withColumns({f: F.lit(None).cast("string") for f in need}))
+
+
+def test_patience_decides_where_boosting_stops():
+    losses = [5.0, 4.0, 4.5, 3.0, 3.5, 3.4, 3.3]
+    assert modeling.stopping_point(losses, 1) == (2, True)
+    assert modeling.stopping_point(losses, 2) == (4, True)
+    assert modeling.stopping_point(losses, 9) == (4, False)
+
+
+def test_lookup_cleaning_twice_is_once(spark):
+    from adresponse.functions.cleaning import clean_frame
+
+    rows = spark.createDataFrame([("-1", "-1"), ("42", "NA")], "age string, household_income string")
+    once = clean_frame(rows, "lookup")
+    assert clean_frame(once, "lookup").collect() == once.collect()

@@ -91,15 +91,6 @@ def test_absent_feature_warns_and_continues(spark):
     assert {r.feature for r in d.collect()} == {"c"}
 
 
-def test_category_cap_keeps_most_frequent(spark):
-    rows = [("a",)] * 3 + [("b",)] * 2 + [("c",)] * 2 + [("d",)]
-    d = encoding.fit_dictionary(spark.createDataFrame(rows, "c string"), ["c"], max_categories=2)
-    assert [r.category for r in d.orderBy("code").collect()] == ["a", "b"]
-    idx = encoding.indexer_from_dictionary(d, ["c"])
-    test = spark.createDataFrame([("c",), ("a",)], "c string")
-    assert [r["c_idx"] for r in idx.transform(test).collect()] == [2.0, 0.0]
-
-
 def test_int_columns_with_nulls_become_double(spark):
     from adresponse.config import MODEL1
     from adresponse.operators import features

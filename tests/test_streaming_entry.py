@@ -112,8 +112,7 @@ def test_streaming_ingest_picks_up_only_new_files(spark, scratch):
         stream = tables.impressions_from_events(
             spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(land)
         )
-        q = ingest_stream.start_ingest(spark, stream, ident, table, f"{scratch}/ck", as_of, FIXTURE_SPEC)
-        q.awaitTermination()
+        ingest_stream.run_ingest(spark, stream, ident, table, f"{scratch}/ck", as_of, FIXTURE_SPEC)
         return ingest_stream.rows_in_table(spark, table)
 
     first = run()
@@ -157,3 +156,18 @@ def test_streaming_scoring_over_two_drops(spark, scratch):
     assert 0 < first < log.count() == 340
     assert log.select("event_id").distinct().count() == 340
     assert log.select("batch_id").distinct().count() == 2
+
+
+@pytest.mark.parametrize("files", [1, 2, None])
+def test_streaming_ingest_of_overlapping_files_loses_nothing(spark, scratch, files):
+    """Two files whose times overlap give the batch ingest's rows however they fall into micro-batches."""
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    as_of = events.agg(F.max("ts")).first()[0]
+    for part in (0, 1):
+        events.where(F.col("event_id") % 2 == part).coalesce(1).write.parquet(f"{scratch}/land/d{part}")
+    reader = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true")
+    stream = tables.impressions_from_events((reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{scratch}/land"))
+    table = f"default.training_overlap_{files}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    ingest_stream.run_ingest(spark, stream, tables.identity(spark, SF0001), table, f"{scratch}/ck", as_of, FIXTURE_SPEC)
+    assert ingest_stream.rows_in_table(spark, table) == 340
