@@ -75,9 +75,10 @@ def start_ingest(
     mark = as_column(run_mark(spark, table, checkpoint, as_of, spec.window_days))
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        there = recent(spark.table(table), as_of, spec.window_days).where(F.col("timestamp") > mark).select(KEY)
+        there = recent(batch.sparkSession.table(table), as_of, spec.window_days).where(F.col("timestamp") > mark).select(KEY)
         fresh = batch.where(in_window(as_of, spec.window_days) & (F.col("timestamp") > mark))
         append_rows(fresh.join(there, KEY, "left_anti"), table, partition_by)
+        spark.catalog.refreshTable(table)  # the caller's session lists the table's files on its own
 
     writer = rows.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
