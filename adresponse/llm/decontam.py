@@ -168,7 +168,8 @@ def _in_block(documents: DataFrame, block: Block) -> DataFrame:
     rare = np.zeros(len(block.seed), dtype=bool)
     for k in range(len(block.ids)):
         rows = np.flatnonzero(block.item == k)
-        rare[rows[count[rows] <= np.quantile(count[rows], RARE)]] = True
+        if len(rows):
+            rare[rows[count[rows] <= np.quantile(count[rows], RARE)]] = True
 
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -201,7 +201,8 @@ class Forest:
                 yield pd.DataFrame({"node": b["node"], "shingles": [s.tobytes() for s in _sets(b["text"].tolist(), k)]})
 
         wanted = nodes.select("node").distinct()
-        return self.documents.join(wanted, self.documents["doc_id"] == wanted["node"]).select("node", "text").mapInPandas(made, "node long, shingles binary")
+        # the list of nodes grows with the corpus: never broadcast
+        return self.documents.hint("merge").join(wanted, self.documents["doc_id"] == wanted["node"]).select("node", "text").mapInPandas(made, "node long, shingles binary")
 
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough."""
@@ -218,8 +219,8 @@ class Forest:
                 out.append(down * both >= up * (len(s) + len(t) - both))
             return pd.Series(out, dtype=bool)
 
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")).hint("merge")
+        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")).hint("merge")
         near = F.octet_length("x") * up <= F.octet_length("y") * down
         near = near & (F.octet_length("y") * up <= F.octet_length("x") * down)
         return pairs.select("a", "b").join(left, "a").join(right, "b").where(near).where(alike("x", "y")).select("a", "b")
@@ -254,12 +255,21 @@ class Forest:
         order = F.array_sort(F.collect_list(F.struct("often", "shingle")))
         length = (F.col("n") - F.ceil(F.col("n") * p - 1e-9) + 1).cast("int")
         first = rows.join(often, "shingle").groupBy("node", "n").agg(order.alias("s"))
-        first = first.select("node", "n", F.explode(F.slice("s", F.lit(1), length)).alias("s")).select("node", "n", "s.shingle")
+        first = first.select("node", "n", F.posexplode(F.slice("s", F.lit(1), length)).alias("at", "s")).select("node", "n", "at", "s.shingle")
         first = keep(first.join(members, "node"), "run-prefixes")
-        one = first.where("other").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "shingle")
-        two = first.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "shingle")
+        one = first.where("other").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("i"), F.col("component").alias("ca"), "shingle")
+        two = first.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("j"), F.col("component").alias("cb"), F.col("shingle").alias("also"))
+        need = F.ceil((F.col("na") + F.col("nb")) * (p / (1 + p)) - 1e-9)  # shingles that a linked pair shares
+        after = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))  # at most so many from this place on
+        # the smaller set's place is among its first few: what both lack would be too much otherwise
+        short = lambda n: F.col(n) - F.ceil(F.col(n) * (2 * p / (1 + p)) - 1e-9) + 1
+        early = F.when(F.col("na") <= F.col("nb"), F.col("i") < short("na")).otherwise(F.col("j") < short("nb"))
         fits = (F.col("ca") != F.col("cb")) & (F.col("na") >= F.col("nb") * p - 1e-6) & (F.col("nb") >= F.col("na") * p - 1e-6)
-        return one.join(two, "shingle").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        fits = fits & early & (F.least("i", "j") + after >= need)
+        met = one.join(two, (F.col("shingle") == F.col("also")) & fits)
+        # the first shingle that a pair shares has none before it
+        pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(after).alias("after"), F.first(need).alias("need"))
+        return pairs.where("after >= need").select("a", "b")
 
     def groups(self) -> DataFrame:
         """(node, component) of every linked class."""
@@ -272,11 +282,9 @@ class Forest:
         best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = keep(self.linked(best, sets), "links1")
         groups = components(links)
-        more = keep(self.linked(self._apart(pairs.select("a", "b"), groups), sets), "links2")
-        links = links.unionByName(more)
-        groups = components(links)
-        rest = keep(self.linked(self._rest(runs, groups, sets), sets), "links3")
-        return components(links.unionByName(rest))
+        apart = self._apart(pairs.select("a", "b"), groups).unionByName(self._rest(runs, groups, sets)).distinct()
+        more = keep(self.linked(apart, sets), "links2")
+        return components(links.unionByName(more))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id and kept of every document."""
