@@ -5,8 +5,8 @@ remainder.  Lengths are whole numbers up to the capacity, so the plan needs
 only how many pieces there are of each length - a table that no corpus makes
 longer than the capacity:
 
-1. linear grouping: pieces longer than ``SMALL`` of the capacity, in falling
-   order, form ``GROUPS`` groups of equal count, each rounded up to its longest;
+1. linear grouping: pieces longer than a share of the capacity, in falling
+   order, form groups of equal count, each rounded up to its longest;
 2. few sizes: the covering linear program over configurations (which sizes
    share a sequence) is solved by column generation with a knapsack for each
    new configuration, and whole multiples of it are used;
@@ -44,8 +44,8 @@ from adresponse.llm import text, tokens
 from adresponse.llm.store import keep, own_columns
 
 CAPACITY = 2048
-SMALL = 1 / 3
-GROUPS = 96
+#: (small pieces' share of the capacity, groups): each is tried, the plan with the fewest sequences is used.
+SETTINGS = ((1 / 3, 96), (1 / 4, 96))
 END = 0
 
 
@@ -112,7 +112,7 @@ def _configurations(sizes: list[int], demand: np.ndarray, capacity: int) -> tupl
 class Plan:
     """Where runs of equal pieces go: rows of (length, first rank, count, first sequence, offset)."""
 
-    def __init__(self, count: np.ndarray, capacity: int = CAPACITY, small: float = SMALL, groups: int = GROUPS):
+    def __init__(self, count: np.ndarray, capacity: int = CAPACITY, small: float = SETTINGS[0][0], groups: int = SETTINGS[0][1]):
         self.capacity, self.sequences = capacity, 0
         self.rows: list[tuple[int, int, int, int, int]] = []
         self.open: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap -> runs of sequences (first, count)
@@ -224,7 +224,7 @@ class Plan:
         return self.table[row, 3] + rank - self.table[row, 1], self.table[row, 4]
 
 
-def pack(documents: DataFrame, tokenizer: str, end: int = END, capacity: int = CAPACITY, small: float = SMALL, groups: int = GROUPS) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str, end: int = END, capacity: int = CAPACITY, settings=SETTINGS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
     cut_up = keep(pieces(documents, tokenizer, end, capacity), "pieces")
     by_part = cut_up.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -233,7 +233,7 @@ def pack(documents: DataFrame, tokenizer: str, end: int = END, capacity: int = C
     count = np.zeros(capacity + 1, dtype=np.int64)
     for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect():  # a row for each length
         count[r.length] = r.n
-    plan = Plan(count, capacity, small, groups)
+    plan = min((Plan(count, capacity, *s) for s in settings), key=lambda p: p.sequences)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
