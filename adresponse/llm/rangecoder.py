@@ -9,8 +9,8 @@ ids).  How far the first two have been right lately picks a set of weights,
 which adapt by what comes; the coder writes which prediction held, and under
 order 0 the id by its cumulative frequency.
 
-The coder keeps 48-bit bounds and writes 16-bit words.  Blocks are coded side
-by side, one id of each at a time, as numpy columns.
+The coder keeps 64-bit bounds and writes 32-bit words, at most one for an id.
+Blocks are coded side by side, one id of each at a time, as numpy columns.
 
 A file part is one row (part, chunk, tokens, blob): parts in order of document
 ids, chunks of whole documents in order within a part.  The blob holds the
@@ -39,8 +39,7 @@ VOCAB = 1 << 16  # ids are below this
 SLOTS = 1024  # contexts of each order that a block remembers
 GAIN0 = 32  # what one occurrence adds to an id's frequency
 WEIGHTS = (2, 1, 3)  # of orders 2, 1 and 0 before anything came; one more for each time that one held
-TOP, WORD = 1 << 48, 16
-LOW32 = (1 << 32) - 1
+WORD, LOW32 = np.uint64(32), np.uint64((1 << 32) - 1)
 HIT = 1 << 20  # a context's entry: id + 1, and above this bit how often it has held (1 to 4)
 
 
@@ -50,8 +49,7 @@ class _Model:
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
         self.seen = [np.zeros(lanes * SLOTS, dtype=np.int32) for _ in range(2)]  # orders 1 and 2
-        self.weight = np.repeat(np.array(WEIGHTS, dtype=np.int32), lanes * 64)
-        self.states = lanes * 64
+        self.weight = np.tile(np.array(WEIGHTS, dtype=np.uint64), (lanes * 64, 1))
         self.rows, self.slots = self.lane * 64, self.lane * SLOTS
         self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
         self.n, self.total = 0, VOCAB
@@ -65,14 +63,14 @@ class _Model:
         one, two = [e >> 20 for e in self.entry]
         one[self.first == self.second] = 5
         self.state = self.rows[:m] + (two * 8 + one)
-        self.w2, self.w1, self.w0 = [self.weight.take(self.state + k * self.states) for k in range(3)]
+        self.w2, self.w1, self.w0 = self.weight.take(self.state, axis=0).T
 
     def learn(self, x: np.ndarray, held: np.ndarray) -> None:
         """Take in the ids that came and which prediction held (0: order 2, 1: order 1, 2: order 0)."""
         fresh = ((x + 1) | HIT).astype(np.int32)
         for s, i, e, p in zip(self.seen, self.at, self.entry, (self.first, self.second)):
             s[i] = np.where(p == x, e + HIT * (e < 4 * HIT), fresh)
-        self.weight[self.state + held * self.states] += 1
+        self.weight.ravel()[self.state * 3 + held] += np.uint64(1)
         self.before[: self.m] = self.last[: self.m]
         self.last[: self.m] = x
 
@@ -120,28 +118,23 @@ class _Model:
 
 def _settle(low: np.ndarray, width: np.ndarray) -> np.ndarray:
     """Blocks whose next word is settled; where bounds are close but not alike, the interval is cut at the word's end."""
-    alike = (low ^ (low + width - 1)) <= LOW32
+    alike = (low ^ (low + (width - np.uint64(1)))) <= LOW32
     close = width <= LOW32
     cut = close & ~alike
     if cut.any():
-        width[cut] = (1 << 32) - (low[cut] & LOW32)
-    return np.flatnonzero(alike | close)
+        width[cut] = LOW32 + np.uint64(1) - (low[cut] & LOW32)
+    return alike | close
 
 
 def _shift(low: np.ndarray, width: np.ndarray, go: np.ndarray) -> None:
-    low[go] = (low[go] << WORD) & (TOP - 1)
-    width[go] <<= WORD
+    np.copyto(low, low << WORD, where=go)
+    np.copyto(width, np.minimum(width, LOW32) << WORD, where=go)
 
 
-def _divide(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a / b).astype(np.int64)  # both below 2**48: the quotient's floor is exact
-
-
-def _narrow(low, width, held, w2, w1, w0, unit=None):
+def _narrow(low, width, held, w2, w1, w0, unit):
     """Bounds after the choice of a prediction."""
-    unit = _divide(width, w2 + w1 + w0) if unit is None else unit
-    begin, more = w2 * (held > 0) + w1 * (held > 1), np.where(held == 2, w0, np.where(held == 1, w1, w2))
-    return low + unit * begin, unit * more
+    low += unit * (w2 * (held > 0) + w1 * (held > 1))
+    np.multiply(unit, np.where(held == 2, w0, np.where(held == 1, w1, w2)), out=width)
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -159,15 +152,11 @@ def _encode(ids: np.ndarray) -> list[bytes]:
     table.ravel()[: len(ids)] = ids
     by_time = np.ascontiguousarray(table.T)
     model = _Model(lanes)
-    low, width = np.zeros(lanes, dtype=np.int64), np.full(lanes, TOP, dtype=np.int64)
-    words = np.zeros((lanes, 2 * BLOCK + 8), dtype="<u2")
-    size = np.zeros(lanes, dtype=np.int64)
-
-    def put(m: int) -> None:
-        while len(go := _settle(low[:m], width[:m])):
-            words[go, size[go]] = low[go] >> 32
-            size[go] += 1
-            _shift(low, width, go)
+    low, width = np.zeros(lanes, dtype=np.uint64), np.full(lanes, ~np.uint64(0))
+    room = BLOCK + 4
+    words = np.zeros(lanes * room, dtype="<u4")
+    begin = np.arange(lanes) * room
+    at = begin.copy()
 
     for t in range(BLOCK):
         m = lanes if t < len(ids) - (lanes - 1) * BLOCK else full
@@ -176,24 +165,28 @@ def _encode(ids: np.ndarray) -> list[bytes]:
         if t and t % EPOCH == 0:
             model.count(table[:, :t])
         if t % EPOCH == 0:
-            ahead = by_time[t : t + EPOCH]
-            start0, width0 = (v.reshape(ahead.shape) for v in model.interval(np.tile(model.lane, len(ahead)), ahead.ravel()))
+            ahead = table[:, t : t + EPOCH]  # block by block, so that a search stays within a block's rows
+            start0, width0 = (np.ascontiguousarray(v.reshape(ahead.shape).T).astype(np.uint64) for v in model.interval(np.repeat(model.lane, ahead.shape[1]), ahead.ravel()))
         x = by_time[t, :m]
         model.predict(m)
         held = 2 - (x == model.first)
         held[x == model.second] = 0
         w2, w1, w0 = model.w2, model.w1, model.w0
-        low[:m], width[:m] = _narrow(low[:m], width[:m], held, w2, w1, w0)
+        lo, wi = low[:m], width[:m]
+        _narrow(lo, wi, held, w2, w1, w0, wi // (w2 + w1 + w0))
         rest = np.flatnonzero(held == 2)
-        unit = width[rest] // model.total
-        low[rest] += unit * start0[t % EPOCH, rest]
-        width[rest] = unit * width0[t % EPOCH, rest]
-        put(m)
+        unit = wi[rest] // np.uint64(model.total)
+        lo[rest] += unit * start0[t % EPOCH, rest]
+        wi[rest] = unit * width0[t % EPOCH, rest]
+        go = _settle(lo, wi)
+        words[at[:m]] = lo >> WORD  # kept where the place moves on
+        at[:m] += go
+        _shift(lo, wi, go)
         model.learn(x, held)
-    for k in (32, 16, 0):
-        words[np.arange(lanes), size] = (low >> k) & 0xFFFF
-        size += 1
-    return [words[i, : size[i]].tobytes() for i in range(lanes)]
+    for k in (32, 0):
+        words[at] = (low >> np.uint64(k)) & LOW32
+        at += 1
+    return [words[b:e].tobytes() for b, e in zip(begin.tolist(), at.tolist())]
 
 
 def decode_blocks(blocks: list[bytes], n: int) -> np.ndarray:
@@ -204,21 +197,16 @@ def decode_blocks(blocks: list[bytes], n: int) -> np.ndarray:
 
 def _decode(blocks: list[bytes], n: int) -> np.ndarray:
     lanes, full = len(blocks), n // BLOCK
-    # past a block's end stand zeros
-    words = np.zeros((lanes, max(map(len, blocks)) // 2 + 8), dtype=np.int64)
+    room = max(map(len, blocks)) // 4 + 2  # past a block's end stand zeros
+    words = np.zeros((lanes, room), dtype=np.uint64)
     for i, b in enumerate(blocks):
-        words[i, : len(b) // 2] = np.frombuffer(b, dtype="<u2")
+        words[i, : len(b) // 4] = np.frombuffer(b, dtype="<u4")
+    words, at = words.ravel(), np.arange(lanes) * room
     model = _Model(lanes)
     table = np.zeros((lanes, BLOCK), dtype=np.int64)
-    low, width = np.zeros(lanes, dtype=np.int64), np.full(lanes, TOP, dtype=np.int64)
-    code = (words[:, 0] << 32) | (words[:, 1] << 16) | words[:, 2]
-    read = np.full(lanes, 3)
-
-    def take(m: int) -> None:
-        while len(go := _settle(low[:m], width[:m])):
-            code[go] = ((code[go] << WORD) & (TOP - 1)) | words[go, read[go]]
-            read[go] += 1
-            _shift(low, width, go)
+    low, width = np.zeros(lanes, dtype=np.uint64), np.full(lanes, ~np.uint64(0))
+    code = (words[at] << WORD) | words[at + 1]
+    at += 2
 
     for t in range(BLOCK):
         m = lanes if t < n - (lanes - 1) * BLOCK else full
@@ -228,18 +216,22 @@ def _decode(blocks: list[bytes], n: int) -> np.ndarray:
             model.count(table[:, :t])
         model.predict(m)
         w2, w1, w0 = model.w2, model.w1, model.w0
-        unit = _divide(width[:m], w2 + w1 + w0)
-        v = _divide(code[:m] - low[:m], unit)
+        lo, wi, co = low[:m], width[:m], code[:m]
+        unit = wi // (w2 + w1 + w0)
+        v = (co - lo) // unit
         held = (v >= w2).astype(np.int64) + (v >= w2 + w1)
-        low[:m], width[:m] = _narrow(low[:m], width[:m], held, w2, w1, w0, unit)
+        _narrow(lo, wi, held, w2, w1, w0, unit)
         x = np.where(held == 0, model.second, model.first).astype(np.int64)
         rest = np.flatnonzero(held == 2)
-        unit = width[rest] // model.total
-        v = np.minimum(_divide(code[rest] - low[rest], unit), model.total - 1)
+        unit = wi[rest] // np.uint64(model.total)
+        v = np.minimum((co[rest] - lo[rest]) // unit, np.uint64(model.total - 1)).astype(np.int64)
         x[rest], start0, width0 = model.find(rest, v)
-        low[rest] += unit * start0
-        width[rest] = unit * width0
-        take(m)
+        lo[rest] += unit * start0.astype(np.uint64)
+        wi[rest] = unit * width0.astype(np.uint64)
+        go = _settle(lo, wi)
+        np.copyto(co, (co << WORD) | words[at[:m]], where=go)
+        at[:m] += go
+        _shift(lo, wi, go)
         model.learn(x, held)
         table[:m, t] = x
     return table.ravel()[:n]
