@@ -323,4 +323,5 @@ def read_documents(file: DataFrame) -> DataFrame:
     sizes = sizes.withColumn("ahead", F.coalesce(F.sum("tokens").over(within), F.lit(0)))
     begins = sizes.join(parts, "part").select("part", "chunk", (F.col("before") + F.col("ahead")).alias("begin"))
     docs = file.select("part", "chunk", "blob").mapInPandas(rows, "part int, chunk int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    docs = keep(docs, "token-file-documents")  # the file is decoded once, however the join is planned
     return docs.join(begins, ["part", "chunk"]).select("doc_id", (F.col("begin") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
