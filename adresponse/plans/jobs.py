@@ -12,13 +12,14 @@ path (``spark.checkpoint.dir``'s file system or any other the caller gives).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MODEL1, MODEL2, IngestSpec, ModelSpec, WINDOW_DAYS
 from ..operators import ingest, joins, runlog, sampling
-from ..session import apply_scale_settings
+from ..session import apply_scale_settings, checkpoint_dir
 from . import modeling, scoring, tuning
 
 
@@ -118,6 +119,10 @@ def score_job(spark: SparkSession, requests, model1_path: str, model2_path: str,
     """M10 + K8: route each request to one model, score, append to the inference log."""
     m1 = modeling.load(spark, model1_path, MODEL1)
     m2 = modeling.load(spark, model2_path, MODEL2)
-    scored = scoring.score_routed(_table(spark, requests), m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1, capture=True)
+    staged = f"{checkpoint_dir(spark).rstrip('/')}/requests-{uuid.uuid4().hex}"
+    routed = scoring.stage_routed(_table(spark, requests), pct_model1, staged)
+    scored = scoring.score_routed(routed, m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1, capture=True)
     scoring.append_inference_log(spark, scored, inference_table)
+    place = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     return spark.table(inference_table)

@@ -103,7 +103,8 @@ def score(model: ClickModel, requests: DataFrame, campaigns: DataFrame | None =
     """
     check_requests(requests, model)
     spec = model.spec
-    df = requests.withColumn("request", F.to_json(F.struct(*requests.columns))) if capture else requests
+    as_sent = F.to_json(F.struct(*[c for c in requests.columns if c != "served_model"]))
+    df = requests.withColumn("request", as_sent) if capture else requests
     if spec.lookup_features:
         loaded = {f: t for f, t in spec.feature_types.items() if f not in spec.lookup_features}
         df = lookup_features(cast_features(df, loaded), campaigns, names=spec.lookup_features)
@@ -131,8 +132,8 @@ def route(requests: DataFrame, pct_model1: float, key: str = "event_id", seed: i
 
 def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, campaigns: DataFrame,
                  pct_model1: float = 50.0, key: str = "event_id", capture: bool = False) -> DataFrame:
-    """Route, score each share with its model, one result."""
-    routed = route(requests, pct_model1, key)
+    """Route (unless ``requests`` are routed), score each share with its model, one result."""
+    routed = requests if "served_model" in requests.columns else route(requests, pct_model1, key)
     s1 = score(model1, routed.where(F.col("served_model") == "MODEL1"), keys=(key,), capture=capture)
     s2 = score(model2, routed.where(F.col("served_model") == "MODEL2"), campaigns, keys=(key,), capture=capture)
     s2 = s2.withColumn("position", F.col("position").try_cast("int"))
@@ -142,6 +143,13 @@ def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, ca
     )
 
 
+def stage_routed(requests: DataFrame, pct_model1: float, path: str, key: str = "event_id") -> DataFrame:
+    """Requests routed once into a folder by model: whatever makes them runs once, and each
+    model reads its own share."""
+    route(requests, pct_model1, key).write.partitionBy("served_model").parquet(path)
+    return requests.sparkSession.read.parquet(path)
+
+
 def inference_log(scored: DataFrame) -> DataFrame:
     """K8: scored rows stamped with the scoring time in UTC (append to a log table)."""
     return scored.withColumn("scored_at", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
