@@ -9,8 +9,8 @@
    region by region, to the depth at which regions are small, and neighbours
    in the order - those with the longest common prefix - are compared across.
 3. Candidates whose signatures agree enough are verified on the full sets:
-   first each one's best, then, once these have joined groups, all that would
-   still join two groups.
+   first each one's best, then, as these join groups, the next ones that would
+   still join two groups, to the last.
 4. Runs that were too large to be compared in full, and runs that a partition
    ends in, get an exact pass: members outside their run's main group meet the
    others by a prefix filter over shingles, rarest first, which loses no pair.
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adresponse.llm import text
@@ -41,6 +41,7 @@ from adresponse.llm.store import drop, keep, own_columns
 
 TREES, LEVELS, SHALLOW = 16, 6, 3
 REGION, BESIDE = 32, 3
+ROUNDS = ((2, 4), (5, 12))  # places among each one's candidates that are verified together
 U = np.uint64
 
 
@@ -129,12 +130,19 @@ def _neighbours(part: pd.DataFrame, agree: int) -> tuple[np.ndarray, np.ndarray]
     return found, np.stack([ids, node[hot]], axis=1)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, steps: int | None = None) -> DataFrame:
     """(node, component) of every node of the links (a, b): the smallest node it is connected with.
 
-    Alternates large-star and small-star steps until every link is (node, smallest).
+    Alternates large-star and small-star steps until every link is (node,
+    smallest).  After only so many ``steps``, nodes of one label are connected
+    but a component may have several; a node's smallest label is given.
     """
 
+    def labels(edges: DataFrame) -> DataFrame:
+        tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
+        every = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
+        return every.groupBy("node").agg(F.min("component").alias("component"))
+
     def star(edges: DataFrame, least: DataFrame, both: bool) -> DataFrame:
         met = edges.join(least, "u")
         if both:
@@ -143,12 +151,11 @@ def components(links: DataFrame) -> DataFrame:
 
     edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "links")
     before = None
-    while True:
+    while steps is None or steps > 0:
+        steps = None if steps is None else steps - 1
         mark = edges.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h")).first()
         if tuple(mark) == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
+            break
         before = tuple(mark)
         two_way = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = star(two_way, two_way.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), True).where("u > v").distinct()
@@ -157,6 +164,7 @@ def components(links: DataFrame) -> DataFrame:
         old, edges = edges, keep(small, "small-star")
         drop(old)
         drop(large)
+    return labels(edges)
 
 
 class Forest:
@@ -277,13 +285,19 @@ class Forest:
         pairs, runs = keep(pairs, "pairs"), keep(runs, "hot-runs")
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(runs.select("node"))
         sets = keep(self.sets(ends), "sets")
+        # each one's candidates, best first: a few at a time, and only between groups
         two_way = pairs.select("a", "b", "agree").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
-        best = two_way.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
-        best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = keep(self.linked(best, sets), "links1")
-        groups = components(links)
-        apart = self._apart(pairs.select("a", "b"), groups).unionByName(self._rest(runs, groups, sets)).distinct()
-        more = keep(self.linked(apart, sets), "links2")
+        place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("agree"), "b"))
+        ranked = two_way.withColumn("place", place).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("place").alias("place"))
+        ranked = keep(ranked, "ranked")
+        links = keep(self.linked(ranked.where("place = 1"), sets), "links0")
+        for k, (low, high) in enumerate(ROUNDS, 1):
+            groups = keep(components(links, 2), "groups")
+            more = self.linked(self._apart(ranked.where(F.col("place").between(low, high)), groups), sets)
+            links = links.unionByName(keep(more, f"links{k}"))
+        groups = keep(components(links, 3), "groups")
+        apart = self._apart(ranked.where(F.col("place") > ROUNDS[-1][1]), groups).select("a", "b")
+        more = keep(self.linked(apart.unionByName(self._rest(runs, groups, sets)).distinct(), sets), "links")
         return components(links.unionByName(more))
 
     def result(self) -> DataFrame:

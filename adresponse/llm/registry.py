@@ -52,4 +52,37 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_near_dup, op2_pii, op3_decontaminate, op4_quality, op5_url_filter, op6_lm_score, op7_chat, op8_token_file, op9_packing, op10_nearest)}
 
-ORACLE: dict[str, str] = {}
+#: 3-word shingles, all pairs that share one, exact similarity, transitive closure.
+_OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+         WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, w.b FROM reach r JOIN ways w ON w.a = r.other),
+groups AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN groups USING (doc_id)"""
+
+#: The table holds no tool calls, so every row is a plain message (tests cover calls).
+_OP7_SQL = """
+SELECT conv_id, turn, role, 'message' AS part, CAST(0 AS INTEGER) AS item, CAST(NULL AS VARCHAR) AS call_id, turn AS order_turn,
+       CAST(0 AS INTEGER) AS order_part, CAST(NULL AS BOOLEAN) AS linked, '' AS error,
+       CAST(to_json({content: coalesce(text, ''), role: role}) AS VARCHAR) AS json
+FROM conversations"""
+
+ORACLE: dict[str, str] = {"op1_near_dup": _OP1_SQL, "op7_chat": _OP7_SQL}
