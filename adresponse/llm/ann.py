@@ -167,12 +167,12 @@ def nearest(embeddings: DataFrame, every: int = QUERY_EVERY, k: int = NEAREST, s
         for b in batches:
             if len(b):
                 v = unit(np.stack([np.asarray(v, dtype=float) for v in b["embedding"]]))
-                b["leaf"] = [tree.search(q, visits) for q in v]
-                yield b.explode("leaf").astype({"leaf": "int64"})
+                yield b.assign(leaves=[tree.search(q, visits) for q in v])
 
     placed = keep(rows.mapInPandas(assigned, f"vec_id long, embedding {array}, leaf long"), "ann-leaves")
     asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    asked = keep(asked.mapInPandas(visited, f"vec_id long, embedding {array}, leaf long"), "ann-visits")
+    asked = keep(asked.mapInPandas(visited, f"vec_id long, embedding {array}, leaves array<long>"), "ann-visits")
+    asked = asked.select("vec_id", "embedding", F.explode("leaves").alias("leaf"))  # a query's vector is repeated in the JVM only
     # blocks of each leaf: a row for each leaf, and the tree has as many as its sample allows
     have = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     want = {r.leaf: r.n for r in asked.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
