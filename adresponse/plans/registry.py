@@ -750,7 +750,7 @@ def _fit_check(spark, sf_dir, spec) -> DataFrame:
     )
 
 
-@query("m1_fit_summary", _fit_sql("MODEL1", "m1_aug", _M1_CLEAN, _M1_AUG))
+@query("m1_fit_summary", _fit_sql("MODEL1", "m1_typed", _M1_CLEAN, _M1_AUG, _M1_TYPED))
 def m1_fit_summary(spark, sf_dir):
     return _fit_check(spark, sf_dir, MODEL1)
 
