@@ -1,14 +1,14 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Items of the benchmark are cut into overlapping seeds of ``SEED`` words.  One
-scan of the documents notes which seeds occur where; a seed's rarity is the
-number of documents that hold it.  A passage of a document is joined to an
-item where seeds of that item's rarer half lie on nearly one diagonal; seeds
-that occur more often still count for the score, not for the join, unless an
-item has none rarer.  Each joined passage is aligned with the item by
-Smith-Waterman over words (``MATCH``, ``MISMATCH``, ``GAP``), which finds
-copies with words changed, left out or put in.  A document is contaminated by
-an item if the alignment keeps at least ``SHARE`` of the item's own score.
+scan of the documents finds the seeds; hits of one item that lie on nearly one
+diagonal make a passage, if they are of two seeds.  A passage goes on if it holds
+at least ``SHARE`` of the item's words in any order, without which no alignment
+can reach ``SHARE``; so this cut loses nothing.  Each such passage is aligned
+with the item by Smith-Waterman over words (``MATCH``, ``MISMATCH``, ``GAP``),
+which finds copies with words changed, left out or put in.  A document is
+contaminated by an item if the alignment keeps at least ``SHARE`` of the item's
+own score.
 
 The benchmark is taken in blocks of at most ``BLOCK_SEEDS`` seeds, so what each
 task holds of it is bounded whatever its size.
@@ -36,7 +36,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 SHARE = 0.5
 BLOCK_SEEDS = 1 << 20
 MARGIN = 0.25  # of an item's length: how far a passage reaches beyond it, and how far its diagonals may lie apart
-RARE = 0.5  # of an item's seeds
 TOGETHER = 256  # alignments at a time
 
 
@@ -135,45 +134,46 @@ def _word_texts(texts: list) -> Iterator[np.ndarray]:
 def _in_block(documents: DataFrame, block: Block) -> DataFrame:
     """doc_id, item_id, score and spans of contaminated documents, by the items of one block."""
 
+    slacks = np.array([max(4, int(MARGIN * len(w))) for w in block.words], dtype=np.int64)
+    lengths = np.array([len(w) for w in block.words], dtype=np.int64)
+    listed = [w.tolist() for w in block.words]
+
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Documents that hold seeds: for each item, the seeds' rows and the passage's words."""
+        """Passages that hold a seed of an item and enough of its words to reach ``SHARE``."""
         for b in batches:
+            out = []
             for i, words in zip(b["doc_id"], _word_texts(b["text"].tolist())):
                 at, row = block.hits(words)
                 if not len(at):
                     continue
                 item = block.item[row]
                 order = np.lexsort((at - block.place[row], item))
-                at, row, item, diagonal = at[order], row[order], item[order], (at - block.place[row])[order]
-                slack = np.array([max(4, int(MARGIN * len(w))) for w in block.words])[item]
+                row, item, diagonal = row[order], item[order], (at - block.place[row])[order]
+                slack = slacks[item]
                 # a passage: hits of one item whose diagonals follow each other closely
                 new = np.concatenate([[True], (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])])
                 begin = np.flatnonzero(new)
-                for s, e in zip(begin, np.append(begin[1:], len(at))):
-                    k = int(item[s])
-                    m = len(block.words[k])
-                    if len(np.unique(row[s:e])) < min(2, m - SEED + 1 if m >= SEED else 1):
+                seeds = [len(np.unique(r)) for r in np.split(row, begin[1:])]
+                ks, low, high = item[begin], diagonal[begin], diagonal[np.append(begin[1:], len(at)) - 1]
+                firsts = np.maximum(0, low - slacks[ks]).tolist()
+                lasts = np.minimum(len(words), high + lengths[ks] + slacks[ks]).tolist()
+                for k, first, last, n in zip(ks.tolist(), firsts, lasts, seeds):
+                    if n < min(2, lengths[k] - SEED + 1 if lengths[k] >= SEED else 1):
                         continue
-                    first = max(0, int(diagonal[s]) - slack[s])
-                    last = min(len(words), int(diagonal[e - 1]) + m + slack[s])
-                    yield pd.DataFrame({"doc_id": [i], "item": [k], "rows": [np.unique(row[s:e])], "first": [first], "passage": [words[first:last].astype("<u8").tobytes()]})
-
-    schema = "doc_id long, item int, rows array<long>, first long, passage binary"
-    found = keep(documents.mapInPandas(occurrences, schema), "seed-hits")
-    # documents that hold a seed; an item's rarer half joins (a row for each seed of the block, so bounded)
-    often = found.select("doc_id", F.explode("rows").alias("row")).groupBy("row").agg(F.count("*").alias("n"))
-    count = np.zeros(len(block.seed), dtype=np.int64)
-    for r in often.collect():
-        count[r["row"]] = r.n
-    rare = np.zeros(len(block.seed), dtype=bool)
-    for k in range(len(block.ids)):
-        rows = np.flatnonzero(block.item == k)
-        if len(rows):
-            rare[rows[count[rows] <= np.quantile(count[rows], RARE)]] = True
+                    # each score needs a word of the item in the passage, so fewer can't reach the share
+                    there = set(words[first:last].tolist())
+                    if sum(w in there for w in listed[k]) >= SHARE * len(listed[k]):
+                        out.append((i, k, first, words[first:last].astype("<u8").tobytes()))
+                if len(out) >= TOGETHER:
+                    yield pd.DataFrame(out, columns=["doc_id", "item", "first", "passage"])
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "item", "first", "passage"])
+
+    found = keep(documents.mapInPandas(occurrences, "doc_id long, item int, first long, passage binary"), "seed-hits")
 
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b[[bool(rare[np.asarray(r)].any()) for r in b["rows"]]]
             words = [np.frombuffer(p, dtype="<u8") for p in b["passage"]]
             order = np.argsort([len(w) for w in words], kind="stable")  # alike lengths together
             for s in range(0, len(order), TOGETHER):

@@ -199,6 +199,22 @@ def test_contamination_exact_and_edited(spark):
     assert [r.doc_id for r in decontam.keep_clean(docs, bench).orderBy("doc_id").collect()] == [3, 4]
 
 
+@pytest.mark.parametrize("full", [False, True])
+@pytest.mark.parametrize("n,changed", [(37, 6), (30, 5), (37, 9), (37, 11)])
+def test_edited_copies_reach_the_alignment(spark, n, changed, full):
+    """Copies with 15 to 30 % of the words changed, alone or beside a full copy."""
+    item = [f"q{i}" for i in range(n)]
+    edited = list(item)
+    for j in range(changed):
+        edited[(2 * j + 1) * n // (2 * changed)] = f"new{j}"
+    docs = [(1, ["a", "b"] + edited + ["c", "d"]), (2, ["z"] * 50)] + [(3, item)] * full
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontam.contaminated(docs, bench).collect()}
+    assert set(got) == ({1, 3} if full else {1})
+    assert got[1] == smith_waterman(item, edited) / (decontam.MATCH * n)
+
+
 def smith_waterman(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
