@@ -2,7 +2,7 @@
 
 Items of the benchmark are cut into overlapping seeds of ``SEED`` words.  One
 scan of the documents finds the seeds; hits of one item that lie on nearly one
-diagonal make a passage, if they are of two seeds.  A passage goes on if it holds
+diagonal make a passage, and one hit is enough.  A passage goes on if it holds
 at least ``SHARE`` of the item's words in any order, without which no alignment
 can reach ``SHARE``; so this cut loses nothing.  Each such passage is aligned
 with the item by Smith-Waterman over words (``MATCH``, ``MISMATCH``, ``GAP``),
@@ -148,18 +148,15 @@ def _in_block(documents: DataFrame, block: Block) -> DataFrame:
                     continue
                 item = block.item[row]
                 order = np.lexsort((at - block.place[row], item))
-                row, item, diagonal = row[order], item[order], (at - block.place[row])[order]
+                item, diagonal = item[order], (at - block.place[row])[order]
                 slack = slacks[item]
                 # a passage: hits of one item whose diagonals follow each other closely
                 new = np.concatenate([[True], (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])])
                 begin = np.flatnonzero(new)
-                seeds = [len(np.unique(r)) for r in np.split(row, begin[1:])]
                 ks, low, high = item[begin], diagonal[begin], diagonal[np.append(begin[1:], len(at)) - 1]
                 firsts = np.maximum(0, low - slacks[ks]).tolist()
                 lasts = np.minimum(len(words), high + lengths[ks] + slacks[ks]).tolist()
-                for k, first, last, n in zip(ks.tolist(), firsts, lasts, seeds):
-                    if n < min(2, lengths[k] - SEED + 1 if lengths[k] >= SEED else 1):
-                        continue
+                for k, first, last in zip(ks.tolist(), firsts, lasts):
                     # each score needs a word of the item in the passage, so fewer can't reach the share
                     there = set(words[first:last].tolist())
                     if sum(w in there for w in listed[k]) >= SHARE * len(listed[k]):

@@ -215,6 +215,16 @@ def test_edited_copies_reach_the_alignment(spark, n, changed, full):
     assert got[1] == smith_waterman(item, edited) / (decontam.MATCH * n)
 
 
+@pytest.mark.parametrize("n,places", [(15, [3, 6, 9, 12]), (6, [2])])
+def test_one_seed_is_enough(spark, n, places):
+    item = [f"q{i}" for i in range(n)]
+    edited = [f"new{i}" if i in places else w for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(["a", "b"] + edited + ["c"]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    got = decontam.contaminated(docs, bench).collect()
+    assert [(r.doc_id, r.score) for r in got] == [(1, smith_waterman(item, edited) / (decontam.MATCH * n))]
+
+
 def smith_waterman(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
