@@ -3,7 +3,7 @@
 The plain detectors read the source text.  For disguises a chain of small
 transducers normalises a copy of the text - look-alike letters and digits of
 other scripts, invisible characters, ``[at]`` / ``name at host dot tld``,
-digits spelled as words - and each keeps, for every character it writes, the
+digits spelled as words, forms mixed or not - and each keeps, for every character it writes, the
 source characters it came from.  The same detectors read the normalised text,
 and what they find is mapped back to source spans.  A mapped span is added if
 its source was really disguised and no plain span overlaps it.
@@ -61,13 +61,21 @@ INVISIBLE = re.compile("[\u200b-\u200d\u2060\ufeff\u00ad]+")
 BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
 BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*", re.I)
 BARE = re.compile(rf"(?<![A-Za-z0-9%+.-]){WORD}(?:(?:{DOT}|\.){WORD})*{AT}[A-Za-z0-9-]+(?:(?:{DOT}|\.)[A-Za-z0-9-]+)*{DOT}[A-Za-z0-9-]+", re.I)
+HOST = r"[A-Za-z0-9-]+"
+# an at and dots of any kind; a match counts if one of them was disguised
+MIXED = re.compile(rf"(?<![A-Za-z0-9%+.-])(?<![A-Za-z0-9%+-]\sdot\s){WORD}(?:(?:\s+dot\s+|\.){WORD})*(?:\s+at\s+|\s*@\s*){HOST}(?:(?:\s+dot\s+|\.){HOST})+", re.I)
+MIXED_AT, MIXED_DOT = re.compile(r"\s+at\s+|\s*@\s*", re.I), re.compile(r"\s+dot\s+", re.I)
 _DIGIT = rf"(?:{'|'.join(DIGIT_WORDS)}|[0-9]+)"
 SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ \t]+|\+[ \t]*)?{_DIGIT}(?:(?:[ \t,-]+|\.|[ \t]+(?:dot|point)[ \t]+){_DIGIT}(?![A-Za-z])){{6,}}(?![A-Za-z0-9])", re.I)
+# up to three digits, as figures or words
+_GROUP = rf"(?:[0-9]++(?![A-Za-z])|(?:{'|'.join(DIGIT_WORDS)})(?:[ \t-]+(?:{'|'.join(DIGIT_WORDS)})){{0,2}}+(?![A-Za-z0-9])(?![ \t-]+(?:{'|'.join(DIGIT_WORDS)})(?![A-Za-z])))"
+SPELLED_DOT = re.compile(r"[ \t]+(?:dot|point)[ \t]+|\.", re.I)
+SPELLED_IP = re.compile(rf"(?<![A-Za-z0-9]){_GROUP}(?:(?:{SPELLED_DOT.pattern}){_GROUP}){{3,}}+", re.I)
 SPELLED_PART = re.compile(r"[A-Za-z]+|[0-9]+|[ \t,-]+|[.+]")
 SOME_DIGIT_WORD = re.compile("|".join(DIGIT_WORDS), re.I)
 SOME_IP = re.compile(r"[0-9]\.[0-9]")
 #: One of these is in every text with an at/dot disguise (lower case).
-HINTS = ("dot", *(f"{a}{gap}{b}" for a in ("at", "@") for gap in ("", " ") for b in "])}>"))
+HINTS = ("dot", *(f"{a}{gap}{b}" for a in ("at", "@") for gap in ("", " ") for b in "])}>"), *(f"{a}{gap}." for a in "[({<" for gap in ("", " ")))
 
 
 def luhn(digits: str) -> bool:
@@ -147,6 +155,36 @@ def _separators(m: re.Match) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+def _mixed(t: Traced):
+    """Separators of a mixed form; none if no separator of it was disguised."""
+
+    def parts(m: re.Match) -> list[tuple[int, int, str]]:
+        s = m.start()
+        # the at before the host: the last of them, as a host holds none
+        at = list(MIXED_AT.finditer(m[0]))[-1]
+        found = [(s + x.start(), s + x.end(), ".") for x in MIXED_DOT.finditer(m[0])]
+        ends = [t.source(i, i + 1) for i in range(s, m.end()) if t.text[i] in "@."]
+        if not found and all(b - a == 1 for a, b in ends) or m[0].rpartition(".")[2].isdigit():
+            return []
+        return sorted([*found, (s + at.start(), s + at.end(), "@")])
+
+    return parts
+
+
+def _ip(m: re.Match) -> list[tuple[int, int, str]]:
+    dots = list(SPELLED_DOT.finditer(m[0]))
+    if len(dots) != 3 or all(x[0] == "." for x in dots):
+        return []
+    found = [(m.start() + x.start(), m.start() + x.end(), ".") for x in dots]
+    begin = m.start()
+    for end in [a for a, _, _ in found] + [m.end()]:
+        group = m.string[begin:end]
+        if not group.isdigit():
+            found.append((begin, end, "".join(DIGIT_WORDS[w] for w in re.split(r"[ \t-]+", group.lower()))))
+        begin = next((b for a, b, _ in found[:3] if a == end), end)
+    return sorted(found)
+
+
 def _digits(m: re.Match) -> list[tuple[int, int, str]]:
     if not SOME_DIGIT_WORD.search(m[0]):
         return []
@@ -173,8 +211,14 @@ def disguised(text: str) -> list[tuple[int, int, int]]:
     if not text.isascii() and not _FOREIGN.isdisjoint(text):
         t = Traced(text.translate(_TABLE)).rewrite(INVISIBLE, _whole(""))
     low = t.text.lower()
-    if any(x in low for x in HINTS) or "@" in low and SPACED.search(low):
-        t = t.rewrite(BRACKET_AT, _whole("@")).rewrite(BRACKET_DOT, _whole(".")).rewrite(BARE, _separators)
+    hinted = any(x in low for x in HINTS) or "@" in low and SPACED.search(low)
+    if hinted:
+        t = t.rewrite(BRACKET_AT, _whole("@")).rewrite(BRACKET_DOT, _whole("."))
+    if "dot" in low or "point" in low:
+        t = t.rewrite(SPELLED_IP, _ip)
+    if hinted:
+        t = t.rewrite(BARE, _separators)
+        t = t.rewrite(MIXED, _mixed(t))
     if not DIGIT_WORDS.keys().isdisjoint(low.replace("-", " ").replace(",", " ").replace(".", " ").split()):
         t = t.rewrite(SPELLED, _digits)
     if t.text == text:

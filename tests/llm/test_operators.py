@@ -164,6 +164,16 @@ def test_plain_spans_equal_the_patterns(spark):
     ("card ４１１１１１１１１１１１１１１１ end", "card", "４１１１１１１１１１１１１１１１"),
     ("ip one nine two dot one six eight dot one dot one end", "ip", "one nine two dot one six eight dot one dot one"),
     ("4111\u200b1111 1111 1111", "card", "4111\u200b1111 1111 1111"),
+    ("mail john [at] example dot com now", "email", "john [at] example dot com"),
+    ("mail john(at)example dot com now", "email", "john(at)example dot com"),
+    ("mail john@example dot com now", "email", "john@example dot com"),
+    ("mail john at example [dot] com now", "email", "john at example [dot] com"),
+    ("see this . john(at)mail.example dot com . Next", "email", "john(at)mail.example dot com"),
+    ("host 192 dot 168 dot 0 dot 1, up", "ip", "192 dot 168 dot 0 dot 1"),
+    ("host one dot two dot three dot four up", "ip", "one dot two dot three dot four"),
+    ("host one two seven point zero point 0[.]one up", "ip", "one two seven point zero point 0[.]one"),
+    ("mail john@example[.]com now", "email", "john@example[.]com"),
+    ("server at 10 dot 0 [dot] 0 dot 1.", "ip", "10 dot 0 [dot] 0 dot 1"),
 ])
 def test_disguises_map_back(t, kind, part):
     plain, every = pii.find(t)
@@ -175,6 +185,11 @@ def test_innocent_text_has_no_spans():
         assert pii.find(t) == ([], [])
 
 
+def test_undisguised_forms_are_left_alone():
+    for t in ("Look at example.com for more, polka dot patterns.", "one dot two dot three", "1 dot 2 dot 3 dot 4 dot 5", "pi is three point one four", "one.two.three.four at the point", "300 dot 1 dot 2 dot 3"):
+        assert pii.find(t) == ([], []), t
+
+
 def test_personal_data_awkward(spark):
     got = {r.doc_id: r for r in pii.find_all(awkward(spark)).collect()}
     assert len(got) == 11 and got[2].spans == "" and got[3].base_sha256 == got[2].base_sha256
