@@ -127,20 +127,24 @@ def usable(embeddings: DataFrame) -> DataFrame:
 
 
 def _best(q_ids, q, c_ids, c, k) -> pd.DataFrame:
-    """The k nearest of a block for each query: exact scores, ties by id."""
+    """The k nearest ids of a block for each query: exact scores, an id by its best, ties by id."""
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], np.ascontiguousarray(c[order])
+    raw = pd.Series([r.tobytes() for r in c])
+    once = ~pd.DataFrame({"id": c_ids, "raw": raw}).duplicated().to_numpy()
+    c_ids, c, raw = c_ids[once], c[once], raw[once]
     # of equal vectors the k + 1 smallest ids are enough, the query's own among them
-    copy = pd.Series([r.tobytes() for r in c]).groupby(pd.Series([r.tobytes() for r in c])).cumcount().to_numpy()
+    copy = raw.groupby(raw).cumcount().to_numpy()
     c_ids, c = c_ids[copy <= k], c[copy <= k]
     cn, qn = np.sqrt((c * c).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
     near = (q / qn[:, None]) @ (c / cn[:, None]).T
     near[q_ids[:, None] == c_ids[None, :]] = -2
-    bar = np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else np.full(len(q), -1.5)
+    ids = np.maximum.reduceat(near, np.flatnonzero(np.diff(c_ids, prepend=c_ids[0] - 1)), axis=1)  # the best of each id
+    bar = np.partition(ids, -k, axis=1)[:, -k] if ids.shape[1] > k else np.full(len(q), -1.5)
     i, j = np.nonzero((near >= bar[:, None] - 1e-9) & (near > -1.5))
     score = (q[i] * c[j]).sum(axis=1) / (qn[i] * cn[j])
     out = pd.DataFrame({"query_id": q_ids[i], "vec_id": c_ids[j], "score": score})
-    out = out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    out = out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).drop_duplicates(["query_id", "vec_id"])
     return out[out.groupby("query_id").cumcount() < k]
 
 
@@ -169,7 +173,8 @@ def nearest(embeddings: DataFrame, every: int = QUERY_EVERY, k: int = NEAREST, s
                 v = unit(np.stack([np.asarray(v, dtype=float) for v in b["embedding"]]))
                 yield b.assign(leaves=[tree.search(q, visits) for q in v])
 
-    placed = keep(rows.mapInPandas(assigned, f"vec_id long, embedding {array}, leaf long"), "ann-leaves")
+    # repeated rows would crowd blocks and push out other ids
+    placed = keep(rows.dropDuplicates(["vec_id", "embedding"]).mapInPandas(assigned, f"vec_id long, embedding {array}, leaf long"), "ann-leaves")
     asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
     asked = keep(asked.mapInPandas(visited, f"vec_id long, embedding {array}, leaves array<long>"), "ann-visits")
     asked = asked.select("vec_id", "embedding", F.explode("leaves").alias("leaf"))  # a query's vector is repeated in the JVM only
@@ -193,8 +198,8 @@ def nearest(embeddings: DataFrame, every: int = QUERY_EVERY, k: int = NEAREST, s
 
     by = ["leaf", "qb", "cb"]
     found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(block, "query_id long, vec_id long, score double")
-    # a row of an id repeated in the table is one neighbour
-    found = found.dropDuplicates(["query_id", "vec_id"])
+    # an id with several vectors is one neighbour, by its best
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     top = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("near"))
     return top.select("query_id", F.posexplode("near").alias("at", "n")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), (-F.col("n.s")).alias("score")

@@ -568,6 +568,33 @@ def test_neighbours_and_ties(spark):
     assert hits >= 0.9 * 5 * len(got)
 
 
+def test_repeated_rows_push_no_neighbour_out(spark):
+    """Every row twice, some six times: the same answer as without repeats."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 8)).astype("float32")
+    x[100:120] = x[50]
+    once = [(i, v.tolist()) for i, v in enumerate(x)]
+    schema = "vec_id long, embedding array<float>"
+    answers = []
+    for rows in (once, once * 2 + once[50:51] * 4 + once[100:102] * 4):
+        found = ann.nearest(spark.createDataFrame(rows, schema), sample=10_000, recall=1.0).collect()
+        answers.append({(r.query_id, r.rank): (r.vec_id, r.score) for r in found})
+    assert answers[0] == answers[1] and len(answers[0]) == 5 * 8
+
+
+def test_block_counts_distinct_ids():
+    q, c = np.array([[1.0, 0.0]]), np.array([[1.0, 0.01 * i] for i in range(10)])
+    ids = np.arange(1, 11)
+    plain = ann._best(np.array([0]), q, ids, c, 5)["vec_id"].tolist()
+    assert ann._best(np.array([0]), q, np.repeat(ids, 6), np.repeat(c, 6, axis=0), 5)["vec_id"].tolist() == plain == [1, 2, 3, 4, 5]
+    # one id with several near vectors is one neighbour
+    several = ann._best(np.array([0]), q, np.concatenate([[1] * 5, ids]), np.concatenate([c[:5] * [[1.0, 0.1]], c]), 5)
+    assert several["vec_id"].tolist() == [1, 2, 3, 4, 5]
+    # of the query's own id six rows, and its true ties
+    tied = ann._best(np.array([1]), q, np.array([1] * 6 + [2, 3, 4, 5, 6, 7]), np.ones((12, 2)), 5)
+    assert tied["vec_id"].tolist() == [2, 3, 4, 5, 6]
+
+
 def test_recall_on_the_table(spark):
     e = spark.read.parquet(f"{SF001}/embeddings.parquet")
     rows = e.collect()
