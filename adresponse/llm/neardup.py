@@ -201,16 +201,20 @@ class Forest:
         return pairs, runs
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """node and its shingles (bytes of sorted 64-bit hashes) of the given nodes."""
+        """node, set_id and shingles (bytes of sorted 64-bit hashes) of the given nodes: a row for each text of a node, however often it is repeated."""
 
         k = self.k
         def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                yield pd.DataFrame({"node": b["node"], "shingles": [s.tobytes() for s in _sets(b["text"].tolist(), k)]})
+                raw = [s.tobytes() for s in _sets(b["text"].tolist(), k)]
+                out = pd.DataFrame({"node": b["node"], "set_id": [hashlib.blake2b(s, digest_size=16).digest() for s in raw], "shingles": raw})
+                yield out[out["shingles"].str.len() > 0]
 
         wanted = nodes.select("node").distinct()
         # the list of nodes grows with the corpus: never broadcast
-        return self.documents.hint("merge").join(wanted, self.documents["doc_id"] == wanted["node"]).select("node", "text").mapInPandas(made, "node long, shingles binary")
+        met = self.documents.hint("merge").join(wanted, self.documents["doc_id"] == wanted["node"])
+        texts = met.groupBy("node", F.xxhash64("text").alias("hash"), F.length("text").alias("length")).agg(F.first("text").alias("text"))
+        return texts.select("node", "text").mapInPandas(made, "node long, set_id binary, shingles binary")
 
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough."""
@@ -252,17 +256,19 @@ class Forest:
 
         def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                for node, raw in zip(b["node"], b["shingles"]):
+                for node, set_id, raw in zip(b["node"], b["set_id"], b["shingles"]):
                     s = np.frombuffer(raw, dtype=np.int64)
-                    yield pd.DataFrame({"node": node, "n": len(s), "shingle": s})
+                    # an id's several texts are told apart
+                    which = int.from_bytes(set_id[:8], "little", signed=True)
+                    yield pd.DataFrame({"node": node, "which": which, "n": len(s), "shingle": s})
 
-        rows = keep(sets.join(members.select("node"), "node").mapInPandas(each, "node long, n long, shingle long"), "run-shingles")
+        rows = keep(sets.join(members.select("node"), "node").mapInPandas(each, "node long, which long, n long, shingle long"), "run-shingles")
         often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
 
         # each set's rarest shingles: one more than it may lack
         order = F.array_sort(F.collect_list(F.struct("often", "shingle")))
         length = (F.col("n") - F.ceil(F.col("n") * p - 1e-9) + 1).cast("int")
-        first = rows.join(often, "shingle").groupBy("node", "n").agg(order.alias("s"))
+        first = rows.join(often, "shingle").groupBy("node", "which", "n").agg(order.alias("s"))
         first = first.select("node", "n", F.posexplode(F.slice("s", F.lit(1), length)).alias("at", "s")).select("node", "n", "at", "s.shingle")
         first = keep(first.join(members, "node"), "run-prefixes")
         one = first.where("other").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("i"), F.col("component").alias("ca"), "shingle")
@@ -276,8 +282,8 @@ class Forest:
         fits = fits & early & (F.least("i", "j") + after >= need)
         met = one.join(two, (F.col("shingle") == F.col("also")) & fits)
         # the first shingle that a pair shares has none before it
-        pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(after).alias("after"), F.first(need).alias("need"))
-        return pairs.where("after >= need").select("a", "b")
+        pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(after - need).alias("spare"))
+        return pairs.where("spare >= 0").select("a", "b")
 
     def groups(self) -> DataFrame:
         """(node, component) of every linked class."""

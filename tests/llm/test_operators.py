@@ -111,6 +111,40 @@ def test_crowded_region_loses_no_link(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def _exact_pass(spark, rows):
+    """Pairs that the exact pass gives by itself with all nodes in one run, and how many sets each node has."""
+    forest = neardup.Forest(spark.createDataFrame(rows, "doc_id long, text string"), 3, (85, 100))
+    nodes = forest.classes.select("node")
+    sets = neardup.keep(forest.sets(nodes), "sets")
+    # nodes from 2 on are the run's main group, 0 and 1 are alone
+    groups = nodes.select("node", F.when(F.col("node") >= 2, 2).otherwise(F.col("node")).cast("long").alias("component"))
+    pairs = forest._rest(nodes.select(F.lit(1).cast("long").alias("run"), "node"), groups, sets)
+    return {(r.a, r.b) for r in pairs.collect()}, sets.groupBy("node").count().collect()
+
+
+@pytest.mark.parametrize("repeats", [1, 2, 3])
+def test_exact_pass_with_repeated_rows(spark, repeats):
+    """Sets of 100 that share 92, whose rarest shingles are their own."""
+    shared = [f"s{i}" for i in range(94)]
+    rows = [(0, " ".join(shared + [f"a{i}" for i in range(8)])), (1, " ".join(shared + [f"b{i}" for i in range(8)]))]
+    rows += [(i, " ".join(shared[:60] + [f"c{i}x{j}" for j in range(60)])) for i in (2, 3, 4)]
+    pairs, held = _exact_pass(spark, rows * repeats)
+    assert (0, 1) in pairs and all(r["count"] == 1 for r in held)
+
+
+def test_crowded_region_of_repeated_rows(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(200):
+        w = [f"w{j}" for j in range(150)]
+        for _ in range(rng.randrange(0, 12)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    got = neardup.find_groups(spark.createDataFrame(rows * 2, "doc_id long, text string"), 3, (85, 100)).collect()
+    want, _ = exact_groups(rows, 3, 85, 100)
+    assert len(got) == 400 and {r.doc_id: r.component_id for r in got} == want
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in neardup.components(links).collect()}
