@@ -84,7 +84,8 @@ def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = np.stack(g["f"].to_numpy())
             x = np.hstack([np.ones((len(x), 1)), x])
             total[int(y)] = total.get(int(y), 0) + x.T @ x
-    yield pd.DataFrame({"quality": list(total), "m": [v.ravel() for v in total.values()]})
+    if total:  # a partition may hold no labelled row
+        yield pd.DataFrame({"quality": list(total), "m": [v.ravel() for v in total.values()]})
 
 
 class Discriminant:
