@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adresponse.llm import ann, chat, decontam, neardup, ngramlm, packing, pii, quality, rangecoder, urlmodel
+from adresponse.llm import ann, centroids, chat, decontam, neardup, ngramlm, packing, partcodes, pieces, pii, quality, rangecoder, urlmodel
 from adresponse.llm.store import table
 
 
@@ -50,7 +50,19 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dup, op2_pii, op3_decontaminate, op4_quality, op5_url_filter, op6_lm_score, op7_chat, op8_token_file, op9_packing, op10_nearest)}
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partcodes.codes(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dup, op2_pii, op3_decontaminate, op4_quality, op5_url_filter, op6_lm_score, op7_chat, op8_token_file, op9_packing, op10_nearest, op11_sentencepiece, op12_centroids, op13_vector_codes)}
 
 #: 3-word shingles, all pairs that share one, exact similarity, transitive closure.
 _OP1_SQL = r"""
@@ -85,4 +97,69 @@ SELECT conv_id, turn, role, 'message' AS part, CAST(0 AS INTEGER) AS item, CAST(
        CAST(to_json({content: coalesce(text, ''), role: role}) AS VARCHAR) AS json
 FROM conversations"""
 
-ORACLE: dict[str, str] = {"op1_near_dup": _OP1_SQL, "op7_chat": _OP7_SQL}
+
+
+def _vectors_sql(scale: int, length: str) -> str:
+    """``kept``: a row number, vec_id, label and whole numbers of every vector that takes part; ``x``: a row a component."""
+    return f"""
+finite AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, len(embedding) AS size,
+         list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)),
+kept AS MATERIALIZED (SELECT * FROM finite WHERE size = {length}),
+x AS MATERIALIZED (SELECT r, unnest(range(size)) AS d, unnest(v) AS x FROM kept)"""
+
+
+_FLOOR = "(sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*)"  # of sum / count
+
+
+def _op12_sql(clusters: int = 16, rounds: int = 3) -> str:
+    """Rounds of assigning every vector to the nearest centroid and moving each to the floor of its mean."""
+    steps = [f"""
+c0 AS MATERIALIZED (
+  SELECT c, unnest(range(size)) AS d, unnest(v) AS x
+  FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), r) - 1 AS c, size, v FROM kept) WHERE c < {clusters})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+m{i} AS MATERIALIZED (
+  SELECT r, min(distance * {clusters} + c) AS m
+  FROM (SELECT x.r, c, sum((x.x - k.x) * (x.x - k.x)) AS distance FROM x JOIN c{i} k ON k.d = x.d GROUP BY x.r, c) GROUP BY r),
+c{i + 1} AS MATERIALIZED (
+  SELECT k.c, k.d, coalesce(n.x, k.x) AS x FROM c{i} k
+  LEFT JOIN (SELECT m % {clusters} AS c, d, {_FLOOR} AS x FROM m{i} JOIN x USING (r) GROUP BY 1, 2) n ON n.c = k.c AND n.d = k.d)""")
+    return f"""WITH {_vectors_sql(64, "64")}, {",".join(steps)},
+names AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS name FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(m % {clusters} AS INTEGER) AS cluster, CAST(m // {clusters} AS BIGINT) AS distance,
+       CAST(sum(m // {clusters}) OVER (PARTITION BY m % {clusters}) AS BIGINT) AS cluster_inertia,
+       CAST(sum(m // {clusters}) OVER () AS BIGINT) AS inertia, name AS centroid_sha256
+FROM m{rounds} JOIN kept USING (r) JOIN names ON c = m % {clusters}"""
+
+
+def _op13_sql(entries: int = 256, rounds: int = 4) -> str:
+    """Rounds over codebooks of the parts: assign to the nearest entry, move each entry to the floor of its mean."""
+    steps = [f"""
+p AS MATERIALIZED (SELECT r, d // (size // 4) AS part, d % (size // 4) AS pos, x FROM x JOIN kept USING (r)),
+b0 AS MATERIALIZED (
+  SELECT part, e, pos, x
+  FROM p JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, r) - 1 AS e FROM kept) USING (r) WHERE e < {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+m{i} AS MATERIALIZED (
+  SELECT r, part, min(distance * {entries} + e) AS m
+  FROM (SELECT p.r, p.part, b.e, sum((p.x - b.x) * (p.x - b.x)) AS distance
+        FROM p JOIN b{i} b ON b.part = p.part AND b.pos = p.pos GROUP BY p.r, p.part, b.e) GROUP BY r, part),
+b{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.e, b.pos, coalesce(n.x, b.x) AS x FROM b{i} b
+  LEFT JOIN (SELECT part, m % {entries} AS e, pos, {_FLOOR} AS x FROM m{i} JOIN p USING (r, part) GROUP BY 1, 2, 3) n
+  ON n.part = b.part AND n.e = b.e AND n.pos = b.pos)""")
+    return f"""WITH {_vectors_sql(1024, "(SELECT size FROM finite GROUP BY size ORDER BY count(*) DESC, size DESC LIMIT 1)")}, {",".join(steps)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', CAST(m % {entries} AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error
+  FROM m{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, e, pos)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)"""
+
+
+ORACLE: dict[str, str] = {"op1_near_dup": _OP1_SQL, "op7_chat": _OP7_SQL, "op12_centroids": _op12_sql(), "op13_vector_codes": _op13_sql()}
