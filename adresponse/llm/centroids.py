@@ -30,29 +30,34 @@ LARGEST = 1 << 27
 
 
 def whole_vectors(embeddings: DataFrame, length: int, scale: int) -> DataFrame:
-    """vec_id and ``v`` (bigints, ``floor(scale * x)``) of the vectors that take part."""
+    """vec_id, ``v`` (bigints, ``floor(scale * x)``) and ``own`` (the sum of its squares) of the vectors that take part."""
     rows = own_columns(embeddings, "vec_id", "embedding").where(F.size("embedding") == length)
     # null, NaN and both infinities fail the comparison or are beyond it
     finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     bound = float(LARGEST)
     whole = F.transform("embedding", lambda x: F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(bound)), F.lit(-bound))).cast("bigint"))
-    return rows.where(finite).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    whole_rows = rows.where(finite).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    return whole_rows.withColumn("own", total(F.transform("v", lambda x: x * x), F.lit(0).cast("bigint")))
 
 
-def literal(vector: list[int]) -> Column:
-    return F.lit(vector).cast("array<bigint>")
+def literal(centroids: list[list[int]]) -> Column:
+    """One literal: for each centroid the sum of its squares and its components times -2."""
+    rows = ("struct({}L as squares, array({}) as c)".format(sum(x * x for x in c), ", ".join(f"{-2 * x}L" for x in c)) for c in centroids)
+    return F.expr(f"array({', '.join(rows)})")
 
 
-def distance(vector: Column, centroid: list[int]) -> Column:
-    """Squared Euclidean distance to one centroid."""
-    squares = F.zip_with(vector, literal(centroid), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(squares, F.lit(0).cast("bigint"), lambda total, square: total + square)
+def total(numbers: Column, start: Column) -> Column:
+    return F.aggregate(numbers, start, lambda so_far, x: so_far + x)
 
 
-def nearest(vector: Column, centroids: list[list[int]]) -> Column:
-    """(distance, cluster) of the nearest centroid."""
-    each = [F.struct(distance(vector, c).alias("distance"), F.lit(i).alias("cluster")) for i, c in enumerate(centroids)]
-    return F.array_min(F.array(*each))
+def nearest(vector: Column, own: Column, centroids: list[list[int]]) -> Column:
+    """(distance, cluster) of the nearest centroid: the squares of the vector (``own``) and the centroid, less twice their products."""
+
+    def each(k: Column, i: Column) -> Column:
+        products = F.zip_with(vector, k["c"], lambda x, y: x * y)
+        return F.struct(total(products, own + k["squares"]).alias("distance"), i.alias("cluster"))
+
+    return F.array_min(F.transform(literal(centroids), each))
 
 
 def seeds(vectors: DataFrame, clusters: int, salt: str) -> list[list[int]]:
@@ -65,7 +70,7 @@ def seeds(vectors: DataFrame, clusters: int, salt: str) -> list[list[int]]:
 def moved(vectors: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
     """Every centroid at the floor of its vectors' mean; one without vectors stays."""
     sums = [F.sum(F.col("v")[i]).alias(f"s{i}") for i in range(len(centroids[0]))]
-    placed = vectors.select("v", nearest(F.col("v"), centroids)["cluster"].alias("cluster"))
+    placed = vectors.select("v", nearest(F.col("v"), F.col("own"), centroids)["cluster"].alias("cluster"))
     out = list(centroids)
     for r in placed.groupBy("cluster").agg(F.count("*").alias("n"), *sums).collect():  # a row a cluster
         out[r["cluster"]] = [r[f"s{i}"] // r["n"] for i in range(len(centroids[0]))]
@@ -81,13 +86,13 @@ def cluster(embeddings: DataFrame, clusters: int = 16, rounds: int = 3, length:
         vectors = vectors.limit(0)
     for _ in range(rounds):
         centroids = moved(vectors, centroids)
-    placed = keep(vectors.select("vec_id", nearest(F.col("v"), centroids).alias("at")).select("vec_id", "at.cluster", "at.distance"), "clustered")
+    placed = keep(vectors.select("vec_id", nearest(F.col("v"), F.col("own"), centroids).alias("at")).select("vec_id", "at.cluster", "at.distance"), "clustered")
     drop(vectors)
     # a row a cluster: as many numbers as there are centroids
     sums = {r["cluster"]: r["total"] for r in placed.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(28,0)")).alias("total")).collect()}
 
-    def fitting(total) -> Column:
-        return F.lit(int(total) if total < 1 << 63 else None).cast("bigint")
+    def fitting(n) -> Column:
+        return F.lit(int(n) if n < 1 << 63 else None).cast("bigint")
 
     own = F.array(*[fitting(sums.get(i, 0)) for i in range(len(centroids))])
     names = F.array(*[F.lit(hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for c in centroids])
