@@ -41,6 +41,7 @@ from adresponse.llm import text as texts_of
 from adresponse.llm.store import own_columns
 
 CACHED = 400_000  # units a worker remembers
+SLICE = 1 << 20  # characters encoded together
 SHORT = 24  # characters of a unit that is merged side by side with others
 NEVER = np.iinfo(np.int64).max
 SPACE = "▁"
@@ -547,20 +548,27 @@ class Codec:
         return "".join(out)
 
 
-def encode(documents: DataFrame, model: str) -> DataFrame:
-    """doc_id, ids, and the begin and end (bytes of the source text, end exclusive) of every piece of each whole text."""
+def encode(documents: DataFrame, model: str, decoded: bool = False) -> DataFrame:
+    """doc_id, ids, and the begin and end (bytes of the source text, end exclusive) of every piece of each whole text.
+
+    With ``decoded`` also ``text``, decoded from the ids, without a second way of all ids through Arrow.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(model)
         for b in batches:
             texts = b.column("text").to_pylist()
-            for s in texts_of.groups(texts):
+            for s in texts_of.groups(texts, SLICE):
                 ids, begins, ends, counts = codec.encode(texts[s])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x, type=pa.int32())) for x in (ids, begins, ends)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id")[s], *lists], names=["doc_id", "ids", "begins", "ends"])
+                columns, names = [b.column("doc_id")[s], *lists], ["doc_id", "ids", "begins", "ends"]
+                if decoded:
+                    columns.append(pa.array(codec.decode(ids, counts), type=pa.string()))
+                    names.append("text")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return own_columns(documents, "doc_id", "text").mapInArrow(run, ENCODED)
+    return own_columns(documents, "doc_id", "text").mapInArrow(run, ENCODED + (", text string" if decoded else ""))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -588,7 +596,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 def digests(documents: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and source_bytes (the end of the last piece's span) of every document."""
-    rows = decode(encode(documents, model), model)
+    rows = encode(documents, model, decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return rows.select(
         "doc_id",
