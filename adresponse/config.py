@@ -60,6 +60,9 @@ SEARCH_EVALS = 2
 SEARCH_PARALLELISM = 4
 # ---------------------------------------------------------------------------
 
+# The last part of the train side's hash range that no tree sees: it says when boosting stops and which trial wins.
+VALIDATION_FRACTION = 0.1
+
 # Seeds of the independent hash draws (one per purpose).
 AUGMENT_SEEDS = {"campaign_id": 11, "traffic_source_id": 12, "traffic_partner_id": 13}
 ROUTE_SEED = 77
@@ -178,7 +181,7 @@ class IngestSpec:
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Booster settings in the original names, mapped to GBTClassifier."""
+    """Booster settings in the original names, mapped to Spark's boosted trees."""
 
     n_estimators: int = DEFAULT_HYPERPARAMS["n_estimators"]
     max_depth: int = DEFAULT_HYPERPARAMS["max_depth"]

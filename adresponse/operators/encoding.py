@@ -1,31 +1,35 @@
 """Category dictionaries and encoding.
 
-``fit_dictionary`` computes, distributed, the sorted distinct non-NULL
-values of each categorical feature of the *train* side: one narrow stack,
-one ``distinct`` (partial aggregation before the shuffle), then a dense rank
-per feature.  Features listed in ``numeric_order`` sort by value (model 1's
-float/int features), the rest by text.  The result is a small table
-``(feature, category, code)``; its size is the number of categories, never
-the number of rows.
-
-``indexer_from_dictionary`` turns it into a ``StringIndexerModel`` with
-``handleInvalid="keep"``: unseen values and NULL share the extra last index,
-as in the original encoder.  The labels are Spark's own text form of the
-values, which is what the indexer compares at transform time.
+``fit_dictionary`` computes, distributed, the sorted distinct non-NULL values
+of each categorical feature of the *train* side: one narrow stack, one
+aggregate (partial before the shuffle), one range-partitioned sort.  A code is
+a row's place in that order: rows before its partition (a count for each
+partition) plus its place in the partition, less the place where its feature
+begins, so no task sorts or ranks a whole feature.  Features listed in
+``numeric_order`` sort by value (model 1's float/int features), the rest by
+text.
+
+``encode`` looks codes up in the dictionary as a table; nothing but the number
+of categories of each feature reaches the driver.  Unseen values and NULL
+share the extra last index, as in the original encoder.  Categories are
+Spark's own text form of the values.
 """
 
 from __future__ import annotations
 
 import logging
+from itertools import accumulate
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+from .joins import look_up
+
 log = logging.getLogger(__name__)
 
 CODE_SUFFIX = "_idx"
+_PLACE_BITS = 33  # of a row's place within its partition, in monotonically_increasing_id
 
 
 def present(df: DataFrame, features) -> list:
@@ -36,8 +40,8 @@ def present(df: DataFrame, features) -> list:
     return [f for f in features if f in df.columns]
 
 
-def fit_dictionary(df: DataFrame, features, numeric_order=()) -> DataFrame:
-    """(feature, category STRING, code INT), codes 0.. in sort order."""
+def fit_counts(df: DataFrame, features, numeric_order=()) -> DataFrame:
+    """(feature, category STRING, code INT, n): as ``fit_dictionary``, with the rows of each category."""
     feats = present(df, features)
     pairs = [
         F.struct(
@@ -47,43 +51,51 @@ def fit_dictionary(df: DataFrame, features, numeric_order=()) -> DataFrame:
         )
         for f in feats
     ]
-    stacked = (
-        df.select(F.explode(F.array(*pairs)).alias("p"))
-        .select("p.*")
-        .where(F.col("category").isNotNull())
-    )
-    values = stacked.distinct()
-    w = Window.partitionBy("feature").orderBy(F.col("num").asc_nulls_last(), F.col("category"))
-    return values.select(
-        "feature", "category", (F.dense_rank().over(w) - 1).cast("int").alias("code")
-    )
-
-
-def dictionary_labels(dictionary: DataFrame, features) -> list:
-    """Collect the (small) dictionary as ordered label lists, one per feature."""
-    rows = dictionary.groupBy("feature").agg(
-        F.sort_array(F.collect_list(F.struct("code", "category"))).alias("entries")
-    ).collect()
-    by_feature = {r["feature"]: [e["category"] for e in r["entries"]] for r in rows}
-    return [by_feature.get(f, []) for f in features]
-
-
-def indexer_from_dictionary(dictionary: DataFrame, features, suffix: str = CODE_SUFFIX) -> PipelineModel:
-    """One StringIndexerModel per feature; unseen/NULL -> the last index.
-
-    One single-column model per feature: a multi-column model built from
-    ragged label lists pads them to equal length, which would move the
-    "unseen" index.
+    stacked = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    values = stacked.where(F.col("category").isNotNull()).groupBy("feature", "num", "category").agg(F.count("*").alias("n"))
+    return dense_codes(values)
+
+
+def dense_codes(values: DataFrame) -> DataFrame:
+    """Distinct (feature, num, category, n) with codes 0.. of each feature in order of (num, category)."""
+    checkpoint_dir(values.sparkSession)
+    order = [F.col("feature"), F.col("num").asc_nulls_last(), F.col("category")]
+    placed = values.repartitionByRange(*order).sortWithinPartitions(*order)
+    # written: the counts and the codes below must see the same partitions
+    placed = placed.withColumn("place", F.monotonically_increasing_id()).checkpoint()
+    part, within = F.shiftright("place", _PLACE_BITS), F.col("place").bitwiseAND((1 << _PLACE_BITS) - 1)
+    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return placed.select("feature", "category", F.lit(None).cast("int").alias("code"), "n")
+    # a number for each partition
+    before = list(accumulate((sizes.get(i, 0) for i in range(max(sizes) + 1)), initial=0))
+    placed = placed.withColumn("at", F.lit(before)[part.cast("int")] + within)
+    begins = {r["feature"]: r["first"] for r in placed.groupBy("feature").agg(F.min("at").alias("first")).collect()}
+    first = F.create_map(*[F.lit(x) for pair in begins.items() for x in pair])
+    return placed.select("feature", "category", (F.col("at") - first[F.col("feature")]).cast("int").alias("code"), "n")
+
+
+def fit_dictionary(df: DataFrame, features, numeric_order=()) -> DataFrame:
+    """(feature, category STRING, code INT), codes 0.. in sort order."""
+    return fit_counts(df, features, numeric_order).drop("n")
+
+
+def dictionary_sizes(dictionary: DataFrame, features) -> dict:
+    """Categories of each feature."""
+    found = {r["feature"]: r["n"] for r in dictionary.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    return {f: found.get(f, 0) for f in features}
+
+
+def encode(df: DataFrame, dictionary: DataFrame, sizes: dict, suffix: str = CODE_SUFFIX) -> DataFrame:
+    """A code column (double) for each feature of ``sizes``; unseen/NULL -> the last index.
+
+    The column says how many values it has, so that trees treat it as
+    categorical.
     """
-    labels = dictionary_labels(dictionary, features)
-    return PipelineModel(
-        stages=[
-            StringIndexerModel.from_labels(lbl, inputCol=f, outputCol=f + suffix, handleInvalid="keep")
-            for f, lbl in zip(features, labels)
-        ]
-    )
-
-
-def indexer_labels(indexer: PipelineModel) -> list:
-    """Label lists of an indexer built by ``indexer_from_dictionary``."""
-    return [list(m.labels) for m in indexer.stages]
+    for f, size in sizes.items():
+        out = f + suffix
+        known = dictionary.where(F.col("feature") == f).select("category", "n", F.col("code").cast("double").alias("code"))
+        df = look_up(df, F.col(f).cast("string"), known, size, {"code": out})
+        kind = {"ml_attr": {"type": "nominal", "num_vals": size + 1, "name": out}}
+        df = df.withColumn(out, F.coalesce(out, F.lit(float(size))).alias(out, metadata=kind))
+    return df

@@ -38,3 +38,37 @@ def left_join_spread_nulls(
     )
     cond = (probe[jk] == right[right_key]) & probe[left_key].isNotNull()
     return probe.join(right, cond, "left").drop(jk)
+
+
+SMALL_ROWS = 20_000  # of a looked-up table that is sent to every task
+HOT_SHARE = 64  # a category with more than this part of all rows is hot: fewer than 64 can be
+
+
+def look_up(df: DataFrame, value, table: DataFrame, rows: int, columns: dict) -> DataFrame:
+    """``df`` with the ``columns`` (name in the table -> name of the result) of the table's row for ``value``; NULL where none is.
+
+    ``table`` holds one row for each ``category`` and, as ``n``, how many rows
+    it was learnt from.  With at most ``SMALL_ROWS`` rows (``rows`` is the
+    count) it goes to every task.  A larger one is joined by shuffle, but for
+    its hot categories, of which there are fewer than ``HOT_SHARE``: they are
+    sent to every task, and the rows they answer, like those without a value,
+    are spread over all reducers.
+    """
+    key, hit, held = "__value", "__hit", "__columns"
+    named = F.struct(*[F.col(c).alias(out) for c, out in columns.items()])
+    entries = table.select(F.col("category").alias("__category"), "n", named.alias(held))
+    probe = df.withColumn(key, value)
+    if rows <= SMALL_ROWS:
+        met = probe.join(F.broadcast(entries.drop("n")), probe[key] == F.col("__category"), "left")
+        return met.select(*[probe[f"`{c}`"] for c in df.columns], f"{held}.*")
+    share = entries.agg((F.sum("n") / HOT_SHARE).alias("share")).scalar()
+    is_hot = F.col("n") > share
+    hot = entries.where(is_hot).select(F.col("__category").alias("__hot"), F.col(held).alias(hit))
+    cold = entries.where(~is_hot).drop("n")
+    met = probe.join(F.broadcast(hot), probe[key] == F.col("__hot"), "left").drop("__hot")
+    asks = F.col(key).isNotNull() & F.col(hit).isNull()
+    # a stand-in that no category equals: the row's own hash behind a prefix
+    spread = F.concat(F.lit("\0~"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()).cast("string"))
+    met = met.withColumn("__asks", asks).withColumn("__join", F.when(asks, F.col(key)).otherwise(spread))
+    out = met.join(cold, (F.col("__join") == F.col("__category")) & F.col("__asks"), "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(hit, held).alias(held)).select(*[F.col(f"`{c}`") for c in df.columns], f"{held}.*")

@@ -19,6 +19,7 @@ from ..config import (
     EXAMPLE_SEED,
     SPLIT_SEED,
     TRAIN_FRACTION,
+    VALIDATION_FRACTION,
 )
 from ..functions.hashing import below, unit
 from .features import null_column
@@ -72,6 +73,17 @@ def is_test(key: str = "event_id", seed: int = SPLIT_SEED, train_fraction: float
     return ~below(key, seed, train_fraction)
 
 
+def is_validation(key: str = "event_id", seed: int = SPLIT_SEED, train_fraction: float = TRAIN_FRACTION,
+                  fraction: float = VALIDATION_FRACTION):
+    """True in the third hash range, the last ``fraction`` of all keys below the test side's."""
+    return below(key, seed, train_fraction) & ~below(key, seed, train_fraction - fraction)
+
+
+def three_way(key: str = "event_id"):
+    """R3 as a column: ``fit``, ``valid`` or ``test``."""
+    return F.when(is_test(key), F.lit("test")).when(is_validation(key), F.lit("valid")).otherwise(F.lit("fit"))
+
+
 def hash_split(df: DataFrame, key: str = "event_id", seed: int = SPLIT_SEED,
                train_fraction: float = TRAIN_FRACTION) -> tuple[DataFrame, DataFrame]:
     """Disjoint, complete train/test split by key hash."""

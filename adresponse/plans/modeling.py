@@ -1,12 +1,13 @@
 """Click models on Spark ML.
 
-Flow (both models, all on executors, nothing collected but the category
-dictionary and the fitted trees):
+Flow (both models, all on executors, nothing collected but the fitted trees
+and the number of categories of each feature):
 
     training rows --load window--> prepare (model 1: clean; model 2: cast to
     text + campaign lookup) --> augment (blanked copies) --> is_test flag
-    --> cleaner -> caster -> dictionary (fit on train side only) -> missing
-    fill -> assembler --> GBTClassifier, stopped by the test side's loss.
+    --> cleaner -> caster -> dictionary, or target rates for wide features
+    (fit on the train side only) -> missing fill -> assembler --> boosted
+    trees, stopped by the loss of a part of the train side that no tree sees.
 
 The fitted ``PipelineModel`` holds every stage, so scoring applies exactly
 the training-time cleaning and encoding.
@@ -17,11 +18,10 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 
 from ..config import VERSION_PREFIX, BoostParams, ModelSpec, WINDOW_DAYS
 from ..functions.cleaning import clean_frame
-from ..operators.encoding import CODE_SUFFIX, fit_dictionary, indexer_from_dictionary, indexer_labels
+from ..operators.encoding import CODE_SUFFIX, dictionary_sizes, fit_counts, present
 from ..operators.features import cast_features, lookup_features, select_loaded
 from ..operators.ingest import in_window, recent
-from ..operators.sampling import augment_nulls, is_test
+from ..operators.rates import RATE_SUFFIX, fit_rates
+from ..operators.sampling import augment_nulls, is_test, is_validation
 from ..session import checkpoint_dir
-from .stages import FeatureCaster, MissingFill, RowCleaner
+from .boosting import MAX_BINS, boost
+from .stages import DictionaryEncoder, FeatureCaster, MissingFill, RateEncoder, RowCleaner
 
 EPS = 1e-15
 KEY = "event_id"
@@ -128,8 +130,8 @@ class ClickModel:
     pipeline: PipelineModel
     params: BoostParams
     run_id: str
-    labels: list = field(default_factory=list)
     fit_seconds: float = 0.0
+    trees_fitted: int = 0
 
     @property
     def version_tag(self) -> str:
@@ -141,95 +143,51 @@ class ClickModel:
         return len(self.pipeline.stages[-1].trees)
 
 
-def feature_stages(prepared: DataFrame, spec: ModelSpec) -> tuple[list, int]:
-    """Cleaner, caster, dictionary (train side only), fill, assembler; and maxBins."""
+def feature_stages(prepared: DataFrame, spec: ModelSpec, widest: int = MAX_BINS - 1) -> list:
+    """Cleaner, caster, codes, rates (of features with more than ``widest`` categories), fill, assembler.
+
+    Everything is learnt from the train side only.
+    """
     cleaner = RowCleaner(spec.clean_policy)
     caster = FeatureCaster(model_types(spec))
-    staged = caster.transform(cleaner.transform(prepared))
-    dictionary = fit_dictionary(
-        staged.where(~F.col("is_test")), spec.categorical, spec.numeric_order
-    )
-    indexer = indexer_from_dictionary(dictionary, spec.categorical)
+    train = caster.transform(cleaner.transform(prepared)).where(~F.col("is_test"))
+    counts = fit_counts(train, spec.categorical, spec.numeric_order)
+    sizes = dictionary_sizes(counts, present(train, spec.categorical))
+    narrow = [f for f, n in sizes.items() if n <= widest]
+    wide = {f: n for f, n in sizes.items() if n > widest}
+    stages = [cleaner, caster, DictionaryEncoder.fitted(counts.where(F.col("feature").isin(narrow)), narrow)]
+    if wide:
+        stages.append(RateEncoder.fitted(fit_rates(train, list(wide), spec.label, KEY), wide, KEY))
     filler = MissingFill(list(spec.numeric))
     inputs = (
-        [f + CODE_SUFFIX for f in spec.categorical]
+        [f + CODE_SUFFIX for f in narrow]
+        + [f + RATE_SUFFIX for f in wide]
         + [f + "_filled" for f in spec.numeric]
         + [f + "_missing" for f in spec.numeric]
     )
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
-    widest = max([len(lbl) for lbl in indexer_labels(indexer)] + [0])
-    return [cleaner, caster, indexer, filler, assembler], max(32, widest + 1)
-
-
-def booster(spec: ModelSpec, params: BoostParams, max_bins: int, rounds: int | None = None) -> GBTClassifier:
-    """M1: GBTClassifier with the given settings and number of trees."""
-    return GBTClassifier(
-        labelCol=spec.label,
-        featuresCol="features",
-        maxIter=int(rounds or params.n_estimators),
-        maxDepth=int(params.max_depth),
-        stepSize=float(params.learning_rate),
-        subsamplingRate=float(params.subsample),
-        featureSubsetStrategy=str(float(params.colsample_bytree)),
-        maxBins=int(max_bins),
-        seed=int(params.seed),
-        lossType="logistic",
-        checkpointInterval=10,
-    )
-
-
-def stopping_point(losses: list[float], patience: int) -> tuple[int, bool]:
-    """Trees up to the lowest loss, and whether ``patience`` more trees brought no lower one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        if i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def boost(feats: DataFrame, spec: ModelSpec, params: BoostParams, max_bins: int):
-    """M1: boost on the train side until the test side's loss has not fallen for
-    ``early_stopping_rounds`` trees; the model keeps the trees up to the lowest loss.
-
-    Trees depend only on the seed and the trees before them, so a longer fit
-    begins with the shorter one's trees: the number of rounds is doubled until
-    the stopping point lies inside, and the final model is fitted to it.
-    """
-    train, test = feats.where(~F.col("is_test")), feats.where(F.col("is_test"))
-    patience = max(1, int(params.early_stopping_rounds))
-    rounds = min(int(params.n_estimators), max(16, patience + 1))
-    if test.isEmpty():
-        return booster(spec, params, max_bins).fit(train)
-    while True:
-        model = booster(spec, params, max_bins, rounds).fit(train)
-        best, stopped = stopping_point(model.evaluateEachIteration(test), patience)
-        if stopped or rounds >= params.n_estimators:
-            break
-        rounds = min(int(params.n_estimators), 2 * rounds)
-    return model if best == rounds else booster(spec, params, max_bins, best).fit(train)
+    return [*stages, filler, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")]
 
 
 def assembled(prepared: DataFrame, stages: list, spec: ModelSpec) -> DataFrame:
-    return PipelineModel(stages=stages).transform(prepared).select("features", spec.label, "is_test")
+    """Features, label and the sides: the trees' rows, those that say when to stop, and the test side."""
+    out = PipelineModel(stages=stages).transform(prepared).withColumn("is_valid", is_validation(KEY) & ~F.col("is_test"))
+    return out.select("features", spec.label, "is_test", "is_valid", (~F.col("is_test") & ~F.col("is_valid")).alias("is_fit"))
 
 
 def fit(prepared: DataFrame, spec: ModelSpec, params: BoostParams | None = None,
-        run_id: str | None = None) -> ClickModel:
+        run_id: str | None = None, widest: int = MAX_BINS - 1) -> ClickModel:
     """Fit one click model; only the assembled features are kept in memory."""
     params = params or BoostParams()
     run_id = run_id or _dt.datetime.now().strftime("run-%Y%m%d%H%M%S")
-    stages, max_bins = feature_stages(prepared, spec)
+    stages = feature_stages(prepared, spec, widest)
     feats = assembled(prepared, stages, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         t0 = time.time()
-        gbt_model = boost(feats, spec, params, max_bins)
+        boosted = boost(feats, spec.label, params)
         secs = time.time() - t0
     finally:
         feats.unpersist()
-    labels = indexer_labels(stages[2])
-    return ClickModel(spec, PipelineModel(stages=stages + [gbt_model]), params, run_id, labels, secs)
+    return ClickModel(spec, PipelineModel(stages=stages + [boosted.model]), params, run_id, secs, boosted.fitted)
 
 
 def evaluate(model: ClickModel, prepared: DataFrame) -> DataFrame:
@@ -267,7 +225,7 @@ def metrics(model: ClickModel, evaluation: DataFrame) -> dict:
         f"{n}_training_duration": str(_dt.timedelta(seconds=model.fit_seconds)),
         f"{n}_training_run_id": model.run_id,
         f"{n}_features_types": model_types(model.spec),
-        f"{n}_encoding_scheme": "StringIndexer(alphabetic/numeric order, keep)",
+        f"{n}_encoding_scheme": "dictionary(alphabetic/numeric order, keep); out-of-fold rates of wide features",
         f"{n}_scaling_strategy": "None",
         f"{n}_trees": str(model.n_trees),
         f"{n}_signature": request_signature(model.spec),
@@ -294,5 +252,4 @@ def load(spark: SparkSession, path: str, spec: ModelSpec) -> ClickModel:
     pipeline = PipelineModel.load(f"{path}/pipeline")
     m = spark.read.json(f"{path}/meta").first()
     params = BoostParams.from_dict(json.loads(m["params"]))
-    labels = indexer_labels(pipeline.stages[2])
-    return ClickModel(spec, pipeline, params, m["run_id"], labels, m["fit_seconds"])
+    return ClickModel(spec, pipeline, params, m["run_id"], m["fit_seconds"])

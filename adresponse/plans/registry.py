@@ -20,13 +20,16 @@ from ..config import (
     MODEL2,
     SEARCH_EVALS,
     SEARCH_SPACE,
+    SPLIT_SEED,
+    TRAIN_FRACTION,
+    VALIDATION_FRACTION,
     VERSION_PREFIX,
     WINDOW_DAYS,
     BoostParams,
     IngestSpec,
 )
 from ..functions import cleaning as C
-from ..operators import encoding, features, ingest, runlog, sampling
+from ..operators import encoding, features, ingest, rates, runlog, sampling
 from ..session import checkpoint_dir
 from . import modeling, scoring, tuning
 from . import oracle as O
@@ -467,11 +470,18 @@ _E4_ENC = (
 _E4_SQL = O.with_ctes(_M1_CLEAN, _M1_AUG, _M1_TYPED, _M1_DICT, _E4_SIZES, body=_E4_ENC)
 
 
-def _m1_encoded_test(spark, sf_dir):
+def _m1_encoder(spark, sf_dir):
+    """The typed frame and the encoder learnt from its train side."""
+    from .stages import DictionaryEncoder
+
     typed = _m1_prepared(spark, sf_dir)
-    d = encoding.fit_dictionary(typed.where(~F.col("is_test")), MODEL1.categorical, MODEL1.numeric_order)
-    indexer = encoding.indexer_from_dictionary(d, MODEL1.categorical)
-    out = indexer.transform(typed.where(F.col("is_test")))
+    counts = encoding.fit_counts(typed.where(~F.col("is_test")), MODEL1.categorical, MODEL1.numeric_order)
+    return typed, DictionaryEncoder.fitted(counts, MODEL1.categorical)
+
+
+def _m1_encoded_test(spark, sf_dir):
+    typed, encoder = _m1_encoder(spark, sf_dir)
+    out = encoder.transform(typed.where(F.col("is_test")))
     return out.select("event_id", "variant", *[F.col(f + "_idx").cast("int").alias(f + "_idx") for f in MODEL1.categorical])
 
 
@@ -493,11 +503,9 @@ _E4U_SQL = O.with_ctes(
 @query("e4_encode_unseen", _E4U_SQL)
 def e4_encode_unseen(spark, sf_dir):
     """Test rows that fall in the shared unseen/NULL index, per feature."""
-    typed = _m1_prepared(spark, sf_dir)
-    d = encoding.fit_dictionary(typed.where(~F.col("is_test")), MODEL1.categorical, MODEL1.numeric_order)
-    indexer = encoding.indexer_from_dictionary(d, MODEL1.categorical)
-    sizes = {f: len(lbl) for f, lbl in zip(MODEL1.categorical, encoding.indexer_labels(indexer))}
-    enc = indexer.transform(typed.where(F.col("is_test")))
+    typed, encoder = _m1_encoder(spark, sf_dir)
+    sizes = encoder.sizes
+    enc = encoder.transform(typed.where(F.col("is_test")))
     agg = enc.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(f + "_idx") == float(sizes[f])).alias(f) for f in MODEL1.categorical],
@@ -506,6 +514,46 @@ def e4_encode_unseen(spark, sf_dir):
     return agg.selectExpr(f"stack({len(MODEL1.categorical)}, {stacked}) AS (feature, keep_index_rows)", "rows")
 
 
+_RATED = ("campaign_id", "traffic_source_id")
+
+
+def _rates_sql() -> str:
+    """Every row's smoothed click rate per feature: of the other folds' train rows, or of all for the test side."""
+    whole = "(SELECT sum(click) / count(*) FROM folded WHERE NOT is_test)"
+    ctes = [f"""
+folded AS (SELECT *, CAST({O.unit('event_id', rates.FOLD_SEED)} % {rates.FOLDS} AS INTEGER) AS fold FROM m1_typed)""", """
+every AS (SELECT f.fold, (SELECT count(*) FROM folded t WHERE NOT t.is_test AND t.fold <> f.fold) AS n,
+                 (SELECT sum(click) FROM folded t WHERE NOT t.is_test AND t.fold <> f.fold) AS s
+          FROM (SELECT DISTINCT fold FROM folded) f)"""]
+    joins, out = "", []
+    for k, f in enumerate(_RATED):
+        value = f"CAST({f} AS VARCHAR)"
+        ctes.append(f"""
+own{k} AS (SELECT {value} AS category, fold, count(*) AS n, sum(click) AS s FROM folded WHERE NOT is_test AND {f} IS NOT NULL GROUP BY 1, 2),
+all{k} AS (SELECT category, sum(n) AS n, sum(s) AS s FROM own{k} GROUP BY 1)""")
+        joins += f"""
+LEFT JOIN all{k} ON all{k}.category = CAST(t.{f} AS VARCHAR)
+LEFT JOIN own{k} ON own{k}.category = all{k}.category AND own{k}.fold = t.fold AND NOT t.is_test"""
+        prior = f"CASE WHEN t.is_test THEN {whole} ELSE e.s / e.n END"
+        out.append(f"""round((COALESCE(all{k}.s, 0) - COALESCE(own{k}.s, 0) + {rates.PRIOR_ROWS} * ({prior}))
+       / (COALESCE(all{k}.n, 0) - COALESCE(own{k}.n, 0) + {rates.PRIOR_ROWS}), 9) AS {f}_rate""")
+    return O.with_ctes(_M1_CLEAN, _M1_AUG, _M1_TYPED, *ctes, body=f"""
+SELECT t.event_id, t.variant, {", ".join(out)}
+FROM folded t JOIN every e ON e.fold = t.fold{joins}""")
+
+
+@query("m1_target_rates", _rates_sql())
+def m1_target_rates(spark, sf_dir):
+    """M1's form of a wide feature: out-of-fold smoothed click rates, all rows of model 1's frame."""
+    from .stages import RateEncoder
+
+    typed = _m1_prepared(spark, sf_dir)
+    train = typed.where(~F.col("is_test"))
+    sizes = encoding.dictionary_sizes(encoding.fit_counts(train, _RATED, MODEL1.numeric_order), _RATED)
+    encoder = RateEncoder.fitted(rates.fit_rates(train, _RATED, MODEL1.label, modeling.KEY), sizes, modeling.KEY)
+    return encoder.transform(typed).select("event_id", "variant", *[F.round(f + rates.RATE_SUFFIX, 9).alias(f + rates.RATE_SUFFIX) for f in _RATED])
+
+
 # ---------------------------------------------------------------------------
 # run log (K9, A7, O1, O2)
 # ---------------------------------------------------------------------------
@@ -570,6 +618,15 @@ def r3_hash_split(spark, sf_dir):
     return a.select("event_id", "variant", modeling.split_name().alias("split"))
 
 
+@query("r3_three_way", O.with_ctes(body=f"""
+SELECT event_id, CASE WHEN {O.is_test_sql()} THEN 'test'
+       WHEN NOT {O.below('event_id', SPLIT_SEED, TRAIN_FRACTION - VALIDATION_FRACTION)} THEN 'valid' ELSE 'fit' END AS split
+FROM training"""))
+def r3_three_way(spark, sf_dir):
+    """The sides of a fit: the trees' rows, those that stop it, the test side."""
+    return _in(spark, sf_dir).training().select("event_id", sampling.three_way().alias("split"))
+
+
 _R4_SQL = O.with_ctes(
     f"""
 picked AS (SELECT event_id, {', '.join(FEATURE_COLS)},
@@ -773,7 +830,7 @@ def m3_search(spark, sf_dir):
     inside = F.lit(True)
     for name, (low, high, _) in SEARCH_SPACE.items():
         inside = inside & F.col(name).between(low - 0.5 if name.endswith("rounds") else low - 1e-9, high + 0.5)
-    return _trials(spark, sf_dir).select("trial", inside.alias("in_range"), (F.col("test_log_loss") < float("inf")).alias("loss_is_finite"))
+    return _trials(spark, sf_dir).select("trial", inside.alias("in_range"), (F.greatest("valid_log_loss", "test_log_loss") < float("inf")).alias("loss_is_finite"))
 
 
 def _scored(scored: DataFrame) -> DataFrame:

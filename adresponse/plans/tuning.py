@@ -1,7 +1,8 @@
 """Hyper-parameter search (M3).
 
-Random draws from the original search ranges (seeded), each evaluated by
-its test-side log-loss.  The feature stages and the assembled frame are
+Random draws from the original search ranges (seeded), each judged by the
+log-loss of the validation rows, which no tree sees; the test side judges
+nothing and only reports each trial's loss.  The feature stages and the assembled frame are
 built once; only the boosters differ between trials, and up to
 ``parallelism`` of them train at the same time as concurrent Spark jobs.
 """
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SEARCH_EVALS, SEARCH_PARALLELISM, SEARCH_SPACE, BoostParams, ModelSpec
-from .modeling import assembled, boost, feature_stages, log_loss, positive_probability
+from .boosting import boost
+from .modeling import assembled, feature_stages, log_loss, positive_probability
 
 
 def draw(n: int, seed: int = 0, space: dict = SEARCH_SPACE) -> list[BoostParams]:
@@ -38,21 +40,18 @@ def draw(n: int, seed: int = 0, space: dict = SEARCH_SPACE) -> list[BoostParams]
 
 def search(spark: SparkSession, prepared: DataFrame, spec: ModelSpec, n_evals: int = SEARCH_EVALS,
            parallelism: int = SEARCH_PARALLELISM, seed: int = 0, candidates=None) -> DataFrame:
-    """Trials table ``(trial, <params>, trees, test_log_loss)``; the lowest loss wins."""
+    """Trials table ``(trial, <params>, trees, valid_log_loss, test_log_loss)``; the lowest validation loss wins."""
     candidates = candidates or draw(n_evals, seed)
-    stages, max_bins = feature_stages(prepared, spec)
-    feats = assembled(prepared, stages, spec).persist(StorageLevel.MEMORY_AND_DISK)
-    test = feats.where(F.col("is_test"))
+    feats = assembled(prepared, feature_stages(prepared, spec), spec).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(i_params):
         i, params = i_params
-        m = boost(feats, spec, params, max_bins)
-        loss = (
-            m.transform(test)
-            .agg(F.avg(log_loss(F.col(spec.label), positive_probability())).alias("l"))
-            .first()["l"]
-        )
-        return (i, params, len(m.trees), float(loss) if loss is not None else None)
+        m = boost(feats, spec.label, params).model
+        loss = log_loss(F.col(spec.label), positive_probability())
+        losses = m.transform(feats.where("not is_fit")).agg(
+            F.avg(F.when(F.col("is_valid"), loss)).alias("valid"), F.avg(F.when(F.col("is_test"), loss)).alias("test")
+        ).first()
+        return (i, params, len(m.trees), losses["valid"], losses["test"])
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -61,16 +60,16 @@ def search(spark: SparkSession, prepared: DataFrame, spec: ModelSpec, n_evals: i
         feats.unpersist()
     rows = [
         (i, p.n_estimators, p.max_depth, p.learning_rate, p.subsample, p.colsample_bytree,
-         p.early_stopping_rounds, trees, loss)
-        for i, p, trees, loss in results
+         p.early_stopping_rounds, trees, valid, test)
+        for i, p, trees, valid, test in results
     ]
     return spark.createDataFrame(
         rows,
         "trial int, n_estimators int, max_depth int, learning_rate double, subsample double, "
-        "colsample_bytree double, early_stopping_rounds int, trees int, test_log_loss double",
+        "colsample_bytree double, early_stopping_rounds int, trees int, valid_log_loss double, test_log_loss double",
     )
 
 
 def best(trials: DataFrame) -> BoostParams:
-    r = trials.orderBy(F.col("test_log_loss").asc_nulls_last(), "trial").first()
+    r = trials.orderBy(F.col("valid_log_loss").asc_nulls_last(), "trial").first()
     return BoostParams.from_dict(r.asDict())

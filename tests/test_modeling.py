@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adresponse.config import MODEL1, MODEL2, BoostParams
 from adresponse.operators import ingest, runlog
-from adresponse.plans import modeling, scoring, tuning
+from adresponse.plans import boosting, modeling, scoring, tuning
 from adresponse.plans.context import FIXTURE_SPEC
 from adresponse.sources import tables
 
@@ -53,7 +53,7 @@ def test_save_load_same_scores(spark, m1, scratch):
     j = a.join(b, "event_id")
     assert j.count() == a.count()
     assert j.where(F.abs(F.col("model_ctr") - F.col("b")) > 1e-12).count() == 0
-    assert back.run_id == "t1" and back.labels == model.labels
+    assert back.run_id == "t1" and back.pipeline.stages[2].sizes == model.pipeline.stages[2].sizes
 
 
 def test_blanked_request_scores_finite(spark, m1):
@@ -181,9 +181,9 @@ def test_wrong_request_types_are_rejected(spark, m1):
 
 def test_patience_decides_where_boosting_stops():
     losses = [5.0, 4.0, 4.5, 3.0, 3.5, 3.4, 3.3]
-    assert modeling.stopping_point(losses, 1) == (2, True)
-    assert modeling.stopping_point(losses, 2) == (4, True)
-    assert modeling.stopping_point(losses, 9) == (4, False)
+    assert boosting.stopping_point(losses, 1) == (2, True)
+    assert boosting.stopping_point(losses, 2) == (4, True)
+    assert boosting.stopping_point(losses, 9) == (4, False)
 
 
 def test_lookup_cleaning_twice_is_once(spark):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from adresponse.config import AUGMENT_COLUMNS
 from adresponse.operators import encoding, sampling
+from adresponse.plans import stages
 from adresponse.plans.context import Inputs
 
 SF001 = "/root/testdata/sf0.01"
@@ -69,18 +70,20 @@ def test_example_rows(spark):
 
 def test_encoding_fixture_text_order(spark):
     train = spark.createDataFrame([("10",), ("2",), ("1",), ("2",)], "c string").withColumn("is_test", F.lit(False))
+    counts = encoding.fit_counts(train, ["c"])
     d = encoding.fit_dictionary(train, ["c"])
     assert sorted((r.category, r.code) for r in d.collect()) == [("1", 0), ("10", 1), ("2", 2)]
-    idx = encoding.indexer_from_dictionary(d, ["c"])
+    idx = stages.DictionaryEncoder.fitted(counts, ["c"])
     test = spark.createDataFrame([("2",), ("zz",), (None,)], "c string")
     assert [r["c_idx"] for r in idx.transform(test).collect()] == [2.0, 3.0, 3.0]
 
 
 def test_encoding_fixture_numeric_order(spark):
     train = spark.createDataFrame([(10,), (2,), (1,)], "c int")
+    counts = encoding.fit_counts(train, ["c"], numeric_order=("c",))
     d = encoding.fit_dictionary(train, ["c"], numeric_order=("c",))
     assert [r.category for r in d.orderBy("code").collect()] == ["1", "2", "10"]
-    idx = encoding.indexer_from_dictionary(d, ["c"])
+    idx = stages.DictionaryEncoder.fitted(counts, ["c"])
     test = spark.createDataFrame([(10,), (5,), (None,)], "c int")
     assert [r["c_idx"] for r in idx.transform(test).collect()] == [2.0, 3.0, 3.0]
 
