@@ -299,6 +299,52 @@ def test_every_exact_passage_is_found(spark):
     assert there <= got and len(got - there) <= len(there) * 0.2
 
 
+def test_equal_to_every_alignment(spark):
+    """All documents times all items, aligned without any seeds."""
+    docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    hashed = lambda t: decontam._words([t])[0]
+    items = [(r.item_id, hashed(r.text)) for r in bench.where("text is not null").collect()]
+    items = [(i, w) for i, w in items if len(w)]
+    want = {}
+    for d in docs.collect():
+        words = hashed(d.text or "")
+        if len(words):
+            scores, _, _ = decontam.align([w for _, w in items], [words] * len(items))
+            for (i, w), score in zip(items, scores.tolist()):
+                if score >= decontam.SHARE * decontam.MATCH * len(w):
+                    want[d.doc_id, i] = max(want.get((d.doc_id, i), 0), score / (decontam.MATCH * len(w)))
+    assert got == want and len(want) > 0
+
+
+def test_no_edited_copy_of_half_the_score_is_lost(spark):
+    """Words replaced at every third place, words put in after each word, and random edits of all kinds, among copies and common words."""
+    rng = random.Random(11)
+    item = [rng.choice(["the", "of", "and"]) if rng.random() < 0.3 else f"q{i}" for i in range(37)]
+    copies = [[f"x{i}" if i % 3 == 2 else w for i, w in enumerate(item)], [y for i, w in enumerate(item) for y in (w, f"y{i}")]]
+    for k in range(150):
+        kinds = rng.choice([(0.3, 0, 0), (0, 0.4, 0), (0, 0, 0.5), (0.15, 0.15, 0.15), (0.3, 0.2, 0.2)])
+        edited = []
+        for i, w in enumerate(item):
+            r = rng.random()
+            edited += [f"c{k}x{i}"] if r < kinds[0] else [] if r < kinds[0] + kinds[1] else [w]
+            edited += [f"p{k}x{i}"] * (rng.random() < kinds[2])
+        copies.append(edited)
+    fill = lambda: [rng.choice(["the", "of", "and", "a"]) for _ in range(rng.randrange(120))]
+    texts = [fill() + c + fill() for c in copies] + [item, item, ["the"] * 30_000]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item)), (10, "the " * 12)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    want = {}
+    for i, t in enumerate(texts[:-1]):
+        for k, words in ((9, item), (10, ["the"] * 12)):
+            score = smith_waterman(words, t) / (decontam.MATCH * len(words))
+            if score >= decontam.SHARE:
+                want[i, k] = score
+    want[len(texts) - 1, 10] = 1.0
+    assert got == want and (0, 9) in got and (1, 9) in got and sum(k == 9 for _, k in got) > 60
+
+
 def test_contamination_awkward(spark):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert decontam.contaminated(awkward(spark), bench).count() == 0
