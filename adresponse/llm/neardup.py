@@ -20,9 +20,11 @@ a group is made.  The result is one row per document.
 
 Defined cases: null or empty texts have no shingles, are linked with nothing
 and kept; a text of fewer words than a shingle is one shingle; repeated rows
-are equal documents; a null doc_id gets a null component and isn't kept when
-it has an equal or linked document with an id; an empty table gives an empty
-result.
+are equal documents; an id used for several texts ties their groups; a row
+without an id belongs to the group of the rows with the same shingles, or, if
+none of those has an id, to a group of these rows with a null component; an
+empty table gives an empty result.  ``keep_one`` keeps one row of each group,
+whatever its ids, and every row without shingles.
 """
 
 from __future__ import annotations
@@ -69,19 +71,25 @@ def _sets(texts: list, k: int) -> Iterator[np.ndarray]:
             at += n
 
 
+def text_key() -> list:
+    """Two hashes that tell apart the texts of one id."""
+    return [F.xxhash64("text").alias("h1"), F.hash("text").alias("h2")]
+
+
 def describe(documents: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (set size), set_id (equal for equal sets), signature and its low bytes of every document."""
+    """doc_id, text hashes, n (set size), set_id (equal for equal sets), signature and its low bytes of every document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for i, s in zip(b["doc_id"], _sets(b["text"].tolist(), k)):
+            for i, h1, h2, s in zip(b["doc_id"], b["h1"], b["h2"], _sets(b["text"].tolist(), k)):
                 some = len(s) > 0
                 sig = signature(s) if some else None
-                out.append((i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if some else None, sig.tobytes() if some else None, sig.astype("u1").tobytes() if some else None))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "set_id", "sig", "sketch"])
+                out.append((i, h1, h2, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if some else None, sig.tobytes() if some else None, sig.astype("u1").tobytes() if some else None))
+            yield pd.DataFrame(out, columns=["doc_id", "h1", "h2", "n", "set_id", "sig", "sketch"])
 
-    return own_columns(documents, "doc_id", "text").mapInPandas(rows, "doc_id long, n long, set_id binary, sig binary, sketch binary")
+    known = own_columns(documents, "doc_id", "text").select("doc_id", "text", *text_key())
+    return known.mapInPandas(rows, "doc_id long, h1 long, h2 int, n long, set_id binary, sig binary, sketch binary")
 
 
 def _regions(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -256,11 +264,13 @@ class Forest:
 
         def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                for node, set_id, raw in zip(b["node"], b["set_id"], b["shingles"]):
-                    s = np.frombuffer(raw, dtype=np.int64)
-                    # an id's several texts are told apart
-                    which = int.from_bytes(set_id[:8], "little", signed=True)
-                    yield pd.DataFrame({"node": node, "which": which, "n": len(s), "shingle": s})
+                sizes = (b["shingles"].str.len() // 8).to_numpy()
+                # an id's several texts are told apart
+                which = np.array([int.from_bytes(x[:8], "little", signed=True) for x in b["set_id"]], dtype=np.int64)
+                for s in range(0, len(b), 64):
+                    n = sizes[s : s + 64]
+                    flat = np.frombuffer(b"".join(b["shingles"][s : s + 64]), dtype=np.int64)
+                    yield pd.DataFrame({"node": np.repeat(b["node"].to_numpy()[s : s + 64], n), "which": np.repeat(which[s : s + 64], n), "n": np.repeat(n, n), "shingle": flat})
 
         rows = keep(sets.join(members.select("node"), "node").mapInPandas(each, "node long, which long, n long, shingle long"), "run-shingles")
         often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
@@ -296,7 +306,7 @@ class Forest:
         place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("agree"), "b"))
         ranked = two_way.withColumn("place", place).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("place").alias("place"))
         ranked = keep(ranked, "ranked")
-        links = keep(self.linked(ranked.where("place = 1"), sets), "links0")
+        links = keep(self.linked(ranked.where("place = 1"), sets).unionByName(self.ties()), "links0")
         for k, (low, high) in enumerate(ROUNDS, 1):
             groups = keep(components(links, 2), "groups")
             more = self.linked(self._apart(ranked.where(F.col("place").between(low, high)), groups), sets)
@@ -306,13 +316,24 @@ class Forest:
         more = keep(self.linked(apart.unionByName(self._rest(runs, groups, sets)).distinct(), sets), "links")
         return components(links.unionByName(more))
 
+    def ties(self) -> DataFrame:
+        """Links (a, b) between the classes of each id that is used for several texts."""
+        rows = self.described.where("set_id is not null and doc_id is not null").select("doc_id", "set_id")
+        several = rows.groupBy("doc_id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).where("x <> y").select("doc_id")
+        # such ids may be many: never broadcast
+        met = rows.join(several.hint("merge"), "doc_id").distinct().join(self.classes.select("set_id", "node").hint("merge"), "set_id")
+        least = met.groupBy("doc_id").agg(F.min("node").alias("b"))
+        return met.select("doc_id", F.col("node").alias("a")).join(least.hint("merge"), "doc_id").select("a", "b").where("a <> b")
+
+    def rows(self) -> DataFrame:
+        """doc_id, text hashes, n and set_id of every document, and its class's component (null: no shingles, or no id among its rows)."""
+        classes = self.classes.join(self.groups(), "node", "left").select("set_id", F.coalesce("component", "node").alias("c"))
+        return self.described.select("doc_id", "h1", "h2", "n", "set_id").join(classes, "set_id", "left")
+
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id and kept of every document."""
-        classes = self.classes.join(self.groups(), "node", "left").select("set_id", F.coalesce("component", "node").alias("c"))
-        # a doc_id with several texts ties their classes
-        rows = self.described.join(classes, "set_id", "left")
         component = F.coalesce("c", "doc_id")
-        return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+        return self.rows().select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def find_groups(documents: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -321,6 +342,24 @@ def find_groups(documents: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5
 
 
 def keep_one(documents: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
-    """One document of each group, with all its columns."""
-    gone = find_groups(documents, k, share).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone_id"], "left_anti")
+    """One document of each group, that of the smallest id, with all its columns; rows without shingles stay."""
+    rows = Forest(documents, k, share).rows().where("set_id is not null")
+    group = F.coalesce(F.col("c").cast("string"), F.hex("set_id"))
+    # the row of a group that stays, and how often it is repeated
+    first = rows.groupBy(group.alias("group"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2").agg(F.count("*").alias("times"))
+    stays = first.groupBy("group").agg(F.min(F.struct("no_id", "doc_id", "h1", "h2", "times")).alias("s")).select("s.*")
+    stays = keep(stays.select([F.col(c).alias(f"_kept_{c}") for c in ("doc_id", "h1", "h2", "times")]), "kept")
+    texts, ids = documents["`text`"], documents["`doc_id`"]
+    words = F.coalesce(F.regexp_like(texts, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+
+    def met(some: DataFrame) -> DataFrame:
+        same = ids.eqNullSafe(some["_kept_doc_id"]) & (F.xxhash64(texts) == some["_kept_h1"]) & (F.hash(texts) == some["_kept_h2"])
+        return documents.where(words).join(some.hint("merge"), same, "left_semi")
+
+    out = documents.where(~words).unionByName(met(stays.where("_kept_times = 1")))
+    again = stays.where("_kept_times > 1")
+    if again.isEmpty():
+        return out
+    key = ["_of_id", "_of_h1", "_of_h2"]
+    repeated = met(again).select("*", ids.alias(key[0]), F.xxhash64(texts).alias(key[1]), F.hash(texts).alias(key[2]))
+    return out.unionByName(repeated.dropDuplicates(key).drop(*key))

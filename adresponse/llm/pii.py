@@ -18,7 +18,9 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -56,15 +58,72 @@ def _one_to_one() -> dict[int, str]:
 
 
 WORD = r"[A-Za-z0-9%+-]+"
+HOST = r"[A-Za-z0-9-]+"
 AT, DOT = r"\s+(?:at|@)\s+", r"\s+(?:dot|\.)\s+"
 INVISIBLE = re.compile("[\u200b-\u200d\u2060\ufeff\u00ad]+")
-BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
-BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*", re.I)
-BARE = re.compile(rf"(?<![A-Za-z0-9%+.-]){WORD}(?:(?:{DOT}|\.){WORD})*{AT}[A-Za-z0-9-]+(?:(?:{DOT}|\.)[A-Za-z0-9-]+)*{DOT}[A-Za-z0-9-]+", re.I)
-HOST = r"[A-Za-z0-9-]+"
-# an at and dots of any kind; a match counts if one of them was disguised
-MIXED = re.compile(rf"(?<![A-Za-z0-9%+.-])(?<![A-Za-z0-9%+-]\sdot\s){WORD}(?:(?:\s+dot\s+|\.){WORD})*(?:\s+at\s+|\s*@\s*){HOST}(?:(?:\s+dot\s+|\.){HOST})+", re.I)
+# blanks are taken from the first of a run on, so that a long run is read once
+_BLANKS = r"(?:(?<!\s)\s++)?"
+BRACKET_AT = re.compile(_BLANKS + r"[\[({<]\s*+(?:at|@)\s*+[\])}>]\s*+", re.I)
+BRACKET_DOT = re.compile(_BLANKS + r"[\[({<]\s*+(?:dot|\.)\s*+[\])}>]\s*+", re.I)
 MIXED_AT, MIXED_DOT = re.compile(r"\s+at\s+|\s*@\s*", re.I), re.compile(r"\s+dot\s+", re.I)
+
+
+class Found:
+    """What a ``Form`` found, like a match of a pattern."""
+
+    def __init__(self, string: str, start: int, end: int):
+        self.string, self._start, self._end = string, start, end
+
+    def __getitem__(self, _) -> str:
+        return self.string[self._start : self._end]
+
+    def start(self) -> int:
+        return self._start
+
+    def end(self) -> int:
+        return self._end
+
+
+class Form:
+    """A written-out address: words joined by dots, an at, a host of at least two parts.
+
+    Each at is an anchor.  The words before it are read backwards, to the
+    anchor before it at most, and the host forwards, so every character is
+    read a bounded number of times.
+    """
+
+    def __init__(self, at: str, before: str, after: str, begins: str):
+        self.at = re.compile(at, re.I)
+        self.before = re.compile(rf"{WORD}(?:(?:{before}){WORD})*+", re.I)  # of the reversed text
+        self.words = re.compile(WORD)
+        self.after = re.compile(after, re.I)
+        self.begins = re.compile(begins, re.I)
+
+    def finditer(self, text: str) -> Iterator[Found]:
+        back, n, done = None, len(text), 0
+        for anchor in self.at.finditer(text):
+            if anchor.start() <= done and done:
+                continue
+            host = self.after.match(text, anchor.end())
+            if not host:
+                continue
+            back = text[::-1] if back is None else back
+            words = self.before.match(back, n - anchor.start(), n - done)
+            if not words:
+                continue
+            start = n - words.end()
+            if not self.begins.match(text, start):
+                # the first later word that may begin an address
+                start = next((w.start() for w in self.words.finditer(text, start, anchor.start()) if self.begins.match(text, w.start())), None)
+            if start is not None:
+                done = host.end()
+                yield Found(text, start, done)
+
+
+# the dots of the reversed text are spelled backwards
+BARE = Form(r"(?<!\s)\s++(?:at|@)(?=\s)", r"\s+(?:tod|\.)\s+|\.", rf"\s+{HOST}(?:(?:{DOT}|\.){HOST})*{DOT}{HOST}", r"(?<![A-Za-z0-9%+.-])")
+# an at and dots of any kind; a match counts if one of them was disguised
+MIXED = Form(_BLANKS + r"@|(?<!\s)\s++at(?=\s)", r"\s+tod\s+|\.", rf"\s*{HOST}(?:(?:\s+dot\s+|\.){HOST})+", r"(?<![A-Za-z0-9%+.-])(?<![A-Za-z0-9%+-]\sdot\s)")
 _DIGIT = rf"(?:{'|'.join(DIGIT_WORDS)}|[0-9]+)"
 SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ \t]+|\+[ \t]*)?{_DIGIT}(?:(?:[ \t,-]+|\.|[ \t]+(?:dot|point)[ \t]+){_DIGIT}(?![A-Za-z])){{6,}}(?![A-Za-z0-9])", re.I)
 # up to three digits, as figures or words
@@ -122,7 +181,7 @@ class Traced:
     def source(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.begin is None else (self.begin[a], self.end[b - 1])
 
-    def rewrite(self, pattern: re.Pattern, parts: Callable[[re.Match], list[tuple[int, int, str]]]) -> Traced:
+    def rewrite(self, pattern: re.Pattern | Form, parts: Callable[[re.Match | Found], list[tuple[int, int, str]]]) -> Traced:
         """Replace what ``parts`` lists of each match: (start, end, new text)."""
         text, begin, end, done = [], [], [], 0
         for m in pattern.finditer(self.text):
@@ -235,7 +294,11 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     """Plain spans, and all spans, of a whole text: (start, kind, end), in order."""
     plain = detect(text or "")
     more = disguised(text or "")
-    added = [x for x in more if not any(x[0] < e and s < x[2] for s, _, e in plain)] if more else []
+    if not more:
+        return plain, plain
+    # the furthest end of the plain spans up to each start
+    starts, ends = [s for s, _, _ in plain], list(accumulate((e for _, _, e in plain), max))
+    added = [x for x in more if not (i := bisect_left(starts, x[2])) or ends[i - 1] <= x[0]]
     return plain, sorted({*plain, *added})
 
 

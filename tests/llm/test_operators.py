@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -163,7 +164,36 @@ def test_near_duplicates_awkward(spark):
     assert neardup.find_groups(empty(spark, "documents")).count() == 0
     kept = neardup.keep_one(awkward(spark))
     assert kept.columns == awkward(spark).columns
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted((i is None, i or 0) for i in [1, 1, None, 2, 3, 4, 6, 7, 8, 9])
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted((i is None, i or 0) for i in [1, None, 2, 3, 4, 6, 7, 8, 9])
+
+
+def test_ids_with_several_texts_and_repeated_rows(spark):
+    """An id used for two texts ties their groups; one row of each group stays, whatever its ids."""
+    rng = random.Random(9)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(30)) for x in "abcd")
+    near = " ".join(d.split()[:-1] + ["other"])
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (9, c), (None, a), (None, c), (None, "x y z u v w"), (None, "x y z u v w"), (11, d), (12, near), (None, None), (13, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.find_groups(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got if r.doc_id in (1, 5, 7, 9, 11, 12)} == {(1, 1), (5, 1), (7, 1), (9, 9), (11, 11), (12, 11)}
+    kept = sorted(((r.doc_id, r.text) for r in neardup.keep_one(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (9, c), (11, d), (None, "x y z u v w"), (None, None), (13, "")], key=repr)
+    # ids used twice, against exact groups over (id, text): texts of one id are tied
+    rows = [(i // 2, " ".join(f"{rng.choice('pqrs')}{j}" if j % 9 == 0 else f"w{j}_{i % 7}" for j in range(60))) for i in range(80)]
+    got = neardup.find_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, (85, 100)).collect()
+    group, _ = exact_groups([(k, t) for k, (_, t) in enumerate(rows)], 3, 85, 100)
+    least = {i: i for i, _ in rows}
+
+    def top(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for k, g in group.items():
+        x, y = top(rows[k][0]), top(rows[g][0])
+        least[max(x, y)] = min(x, y)
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, top(i)) for i, _ in rows}
 
 
 # --- 2: personal data -------------------------------------------------------
@@ -232,6 +262,37 @@ def test_personal_data_awkward(spark):
     assert [tuple(r) for r in pii.mask_all(docs).orderBy("doc_id").collect()] == [(1, "[EMAIL] and [IP]", 16), (2, None, 7)]
 
 
+HARD = {
+    "blanks": lambda n: "dot" + " " * n,
+    "line ends": lambda n: "dot" + "\n" * n + "@ ",
+    "a dot": lambda n: "a dot " * (n // 6),
+    "a  dot": lambda n: "a  dot  " * (n // 8),
+    "brackets": lambda n: "[" * n + "at]",
+    "open brackets": lambda n: "dot [ " + " " * n + " [ " * (n // 3),
+    "at at": lambda n: "at " * (n // 3) + "@ .",
+    "addresses": lambda n: "a at b dot c " * (n // 13),
+    "overlaps": lambda n: "a@b.c １@b.c " * (n // 12),
+    "figures": lambda n: "1 dot " * (n // 6),
+    "dots": lambda n: ".a" * (n // 2) + " at b dot c",
+    "words": lambda n: "one" + "," * n + " dot",
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_time_grows_with_the_text(name):
+    def seconds(n):
+        t = HARD[name](n)
+        times = []
+        for _ in range(3):
+            begin = time.process_time()
+            pii.find(t)
+            times.append(time.process_time() - begin)
+        return min(times)
+
+    # in proportion it is 10 times, caches of the machine aside; with the square 100 times
+    assert seconds(300_000) <= 30 * max(seconds(30_000), 0.01)
+
+
 # --- 3: benchmark decontamination -------------------------------------------
 def test_contamination_exact_and_edited(spark):
     rng = random.Random(2)
