@@ -320,6 +320,9 @@ class Forest:
         """Links (a, b) between the classes of each id that is used for several texts."""
         rows = self.described.where("set_id is not null and doc_id is not null").select("doc_id", "set_id")
         several = rows.groupBy("doc_id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).where("x <> y").select("doc_id")
+        several = keep(several, "several")
+        if several.isEmpty():
+            return several.sparkSession.createDataFrame([], "a long, b long")
         # such ids may be many: never broadcast
         met = rows.join(several.hint("merge"), "doc_id").distinct().join(self.classes.select("set_id", "node").hint("merge"), "set_id")
         least = met.groupBy("doc_id").agg(F.min("node").alias("b"))
