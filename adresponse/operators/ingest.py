@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestSpec
@@ -207,31 +207,42 @@ def frozen_mark(spark: SparkSession, target: DataFrame, as_of=None, days: int =
     return spark.range(1).select(high_water(target, as_of, days).alias("mark")).first()["mark"]
 
 
-def append_rows(fresh: DataFrame, table: str, partition_by: str | None = PARTITION_COLUMN) -> None:
-    """One distributed append; each day's rows go to as many files as their size asks for (AQE splits large days)."""
+def append_rows(fresh: DataFrame, table: str, partition_by: str | None = PARTITION_COLUMN, counted: bool = False) -> int | None:
+    """One distributed append; each day's rows go to as many files as their size asks for (AQE splits large days).
+
+    With ``counted`` the write itself counts its rows.
+    """
     spark = fresh.sparkSession
     fresh = _with_partition(fresh, partition_by).select(*spark.table(table).columns)
     if partition_by:
         fresh = fresh.hint("rebalance", partition_by)
+    seen = Observation() if counted else None
+    if seen:
+        fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
     fresh.write.insertInto(table)
     spark.catalog.refreshTable(table)
+    return int(seen.get.get("rows", 0)) if seen else None
 
 
 def append_new(spark: SparkSession, rows: DataFrame, table: str, as_of=None, days: int = 22,
-               partition_by: str | None = PARTITION_COLUMN, description: str | None = None, mark=None) -> DataFrame:
+               partition_by: str | None = PARTITION_COLUMN, description: str | None = None, mark=None,
+               rows_before: int | None = None) -> DataFrame:
     """K4 + K5: append the rows newer than the table's high-water mark; return the audit row.
 
-    ``mark`` is a mark already read for this run.  Counts are two small
-    aggregates (parquet footers answer the plain COUNT); the insert is one
-    distributed write.  A rerun inserts 0 rows.
+    ``mark`` is a mark already read for this run, ``rows_before`` the count
+    that the last audit left; only without it is the target counted, and a
+    table that this call makes holds none.  The inserted rows are counted by
+    the insert, one distributed write.  A rerun inserts 0 rows.
     """
     created = ensure_table(spark, table, rows, partition_by)
     target = spark.table(table)
-    before = target.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if created:
+        rows_before = 0
+    elif rows_before is None:
+        rows_before = target.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     mark = frozen_mark(spark, target, as_of, days) if mark is None else mark
-    append_rows(rows.where(in_window(as_of, days) & (F.col("timestamp") > as_column(mark))), table, partition_by)
-    after = spark.table(table).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    inserted = append_rows(rows.where(in_window(as_of, days) & (F.col("timestamp") > as_column(mark))), table, partition_by, counted=True)
     return spark.createDataFrame(
-        [(int(before), int(after), int(after - before), description or f"append into {table}", bool(created))],
+        [(int(rows_before), int(rows_before + inserted), inserted, description or f"append into {table}", bool(created))],
         "rows_before long, rows_after long, rows_inserted long, data_query string, created boolean",
     )

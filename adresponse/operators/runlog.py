@@ -68,6 +68,14 @@ def tuned_params(runlog: DataFrame, model: str) -> BoostParams:
     return BoostParams.from_dict(json.loads(row["value"]))
 
 
+def rows_after(runlog: DataFrame, target: str) -> int | None:
+    """K5: the row count that the last ingest run into ``target`` left, None without one."""
+    said = lambda key: F.max(F.when(F.col("key") == key, F.col("value")))
+    runs = runlog.where("model = 'ingest'").groupBy("run_id").agg(said("target").alias("target"), said("rows_after").alias("rows"), F.max("end_time").alias("end"))
+    last = runs.where((F.col("target") == target) & F.col("rows").isNotNull()).orderBy(F.desc("end"), F.desc("run_id")).first()
+    return int(last["rows"]) if last else None
+
+
 def ingest_replay(training: DataFrame, first_day=None) -> DataFrame:
     """Run log of a daily ingest schedule replayed from the training rows.
 

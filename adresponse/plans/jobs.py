@@ -56,10 +56,14 @@ def ingest_job(spark: SparkSession, impressions, identity, training_table: str,
         ingest.ensure_schema(spark, schema)
     as_of = as_of if as_of is not None else _dt.datetime.now(_dt.timezone.utc)  # one time for the whole run
     sides = _table(spark, impressions), _table(spark, identity)
-    ingest.ensure_table(spark, training_table, ingest.training_rows(*sides, as_of, spec))
+    created = ingest.ensure_table(spark, training_table, ingest.training_rows(*sides, as_of, spec))
+    before = 0 if created else None
+    if before is None and spark.catalog.tableExists(runlog_table):
+        before = runlog.rows_after(spark.table(runlog_table), training_table)
     mark = ingest.frozen_mark(spark, spark.table(training_table), as_of, spec.window_days)
     rows = ingest.training_rows(*sides, as_of, spec, newer_than=mark)
-    audit = ingest.append_new(spark, rows, training_table, as_of, spec.window_days, description=ingest.query_text(spec, mark), mark=mark)
+    audit = ingest.append_new(spark, rows, training_table, as_of, spec.window_days, description=ingest.query_text(spec, mark),
+                              mark=mark, rows_before=before)
     a = audit.first()
     runlog.append_metrics(
         spark,
@@ -67,7 +71,7 @@ def ingest_job(spark: SparkSession, impressions, identity, training_table: str,
         runlog.metric_rows(
             spark, run_id, "ingest",
             {"rows_before": str(a.rows_before), "rows_after": str(a.rows_after),
-             "rows_inserted": str(a.rows_inserted), "data_query": a.data_query},
+             "rows_inserted": str(a.rows_inserted), "data_query": a.data_query, "target": training_table},
         ),
     )
     return audit
@@ -115,14 +119,14 @@ def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, mod
 
 
 def score_job(spark: SparkSession, requests, model1_path: str, model2_path: str, campaigns,
-              inference_table: str, pct_model1: float = 50.0) -> DataFrame:
-    """M10 + K8: route each request to one model, score, append to the inference log."""
+              inference_table: str, pct_model1: float = 50.0, run_id: str | None = None) -> DataFrame:
+    """M10 + K8: route each request to one model, score, log; a retry under the same ``run_id`` replaces its rows."""
     m1 = modeling.load(spark, model1_path, MODEL1)
     m2 = modeling.load(spark, model2_path, MODEL2)
     staged = f"{checkpoint_dir(spark).rstrip('/')}/requests-{uuid.uuid4().hex}"
     routed = scoring.stage_routed(_table(spark, requests), pct_model1, staged)
     scored = scoring.score_routed(routed, m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1, capture=True)
-    scoring.append_inference_log(spark, scored, inference_table)
+    scoring.append_inference_log(spark, scored, inference_table, run_id or _run_id("score"))
     place = spark._jvm.org.apache.hadoop.fs.Path(staged)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     return spark.table(inference_table)

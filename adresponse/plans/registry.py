@@ -212,8 +212,8 @@ def _appended(spark, sf_dir) -> tuple[DataFrame, str]:
     name = f"adresponse_append_{uuid.uuid4().hex}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
     ingest.ensure_table(spark, name, i.training(), path=path)
-    ingest.append_rows(i.target_before(5), name)
-    audit = ingest.append_new(spark, i.training(), name, i.as_of(), WINDOW_DAYS, description=AUDIT_TEXT)
+    before = ingest.append_rows(i.target_before(5), name, counted=True)
+    audit = ingest.append_new(spark, i.training(), name, i.as_of(), WINDOW_DAYS, description=AUDIT_TEXT, rows_before=before)
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
     return audit, path
 
@@ -880,6 +880,18 @@ def k8_inference_log(spark, sf_dir):
     return log.select("*", own.alias("has_request"), F.col("scored_at").isNotNull().alias("is_stamped")).drop("request", "scored_at")
 
 
+@query("k8_retried_run", O.with_ctes(body=f"SELECT *, 'run-1' AS run_id FROM ({_ROUTED_SQL}) UNION ALL SELECT *, 'run-2' FROM ({_ROUTED_SQL})"))
+def k8_retried_run(spark, sf_dir):
+    """The log table that two runs left, the first of them repeated under its id."""
+    name = f"adresponse_log_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    scored = _scored(_routed(spark, sf_dir))
+    for run_id in ("run-1", "run-2", "run-1"):
+        scoring.append_inference_log(spark, scored, name, run_id, path)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return spark.read.parquet(path).drop("scored_at")
+
+
 # ---------------------------------------------------------------------------
 # schema-only table creation (K3/O3) and the scoring-side lookup
 # ---------------------------------------------------------------------------

@@ -8,6 +8,8 @@ model by a hash of its key, so each request is scored exactly once.
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pandas import NA
 from pyspark.sql import DataFrame
@@ -155,9 +157,22 @@ def inference_log(scored: DataFrame) -> DataFrame:
     return scored.withColumn("scored_at", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
 
 
-def append_inference_log(spark, scored: DataFrame, table: str) -> None:
+def append_inference_log(spark, scored: DataFrame, table: str, run_id: str, path: str | None = None) -> None:
+    """K8: the run's rows in the log table, a partition of their own.
+
+    The write replaces exactly that partition, so a run that is repeated under
+    its id leaves its rows once.
+    """
     rows = inference_log(scored)
-    if spark.catalog.tableExists(table):
-        rows.select(*spark.table(table).columns).write.insertInto(table)
-    else:
-        rows.write.format("parquet").saveAsTable(table)
+    if not spark.catalog.tableExists(table):
+        w = rows.withColumn("run_id", F.lit(run_id)).limit(0).write.format("parquet").partitionBy("run_id")
+        (w.option("path", path) if path else w).saveAsTable(table)
+    if "run_id" not in spark.table(table).columns:
+        raise ValueError(f"{table} has no run_id to log by")
+    view = f"adresponse_scored_{uuid.uuid4().hex}"
+    rows.select(*[c for c in spark.table(table).columns if c != "run_id"]).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = :run_id) SELECT * FROM {view}", {"run_id": run_id})
+    finally:
+        spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(table)

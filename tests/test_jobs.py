@@ -30,6 +30,8 @@ def test_workflow(spark, scratch):
     a2 = jobs.ingest_job(spark, "src.impressions", "src.identity", "ml.training", "ml.run_log", as_of,
                          FIXTURE_SPEC).first()
     assert a2.rows_inserted == 0 and a2.rows_before == 340
+    assert runlog.rows_after(spark.table("ml.run_log"), "ml.training") == 340
+    assert runlog.rows_after(spark.table("ml.run_log"), "ml.other") is None
 
     trials = jobs.tune_job(spark, "ml.training", "ml.run_log", MODEL1, as_of=as_of, n_evals=2, parallelism=2)
     assert trials.count() == 2
@@ -45,6 +47,10 @@ def test_workflow(spark, scratch):
 
     log = jobs.score_job(spark, "ml.training", f"{scratch}/m1", f"{scratch}/m2", "src.campaigns", "ml.inference_log")
     assert log.count() == 340
+    for run_id in ("again", "again", "other"):
+        log = jobs.score_job(spark, "ml.training", f"{scratch}/m1", f"{scratch}/m2", "src.campaigns", "ml.inference_log", run_id=run_id)
+    assert {r.run_id: r["count"] for r in log.groupBy("run_id").count().collect() if r.run_id in ("again", "other")} == {"again": 340, "other": 340}
+    assert log.count() == 3 * 340
     assert set(log.columns) >= {"event_id", "campaign_id", "position", "model_ctr", "model_version", "served_model", "scored_at"}
 
 
