@@ -509,28 +509,42 @@ def test_urls_awkward(spark):
 
 
 # --- 6: language model ------------------------------------------------------
-def test_lm_scores_equal_plain_sums(spark):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_scores_equal_plain_sums(spark, order):
     docs = documents(spark).unionByName(awkward(spark).select(documents(spark).columns).where("doc_id is not null and doc_id not in (1, 4, 5)").withColumn("doc_id", F.col("doc_id") + 10**6))
     rows = [(r.doc_id, words(r.text) + ["\0end"]) for r in docs.collect()]
-    uni, pairs = collections.Counter(), collections.Counter()
+    grams, total, kinds = collections.Counter(), collections.Counter(), collections.Counter()
+    chains = lambda w, i: [tuple((["\0begin"] + w)[i + 1 - n : i + 2]) for n in range(min(order, i + 2))]
     for i, w in rows:
         if zlib.crc32(str(i).encode()) % 10:
-            uni.update(w)
-            pairs.update(zip(["\0begin", *w], w))
-    n, v = sum(uni.values()), len(uni)
-    total, kinds = collections.Counter(), collections.Counter()
-    for (h, _), c in pairs.items():
-        total[h] += c
-        kinds[h] += 1
-    got = {r.doc_id: r for r in ngramlm.score_documents(docs.withColumns({c: F.lit(1) for c in CLASHES})).collect()}
+            grams.update(g for j in range(len(w)) for g in chains(w, j))
+    for g, c in grams.items():
+        total[g[:-1]] += c
+        kinds[g[:-1]] += 1
+    n, v = total[()], kinds[()]
+    got = {r.doc_id: r for r in ngramlm.score_documents(docs.withColumns({c: F.lit(1) for c in CLASHES}), order).collect()}
     for i, w in rows:
-        p1 = [(uni[x] + 0.1) / (n + 0.1 * (v + 1)) for x in w]
-        p = [(max(pairs[h, x] - 0.75, 0) + 0.75 * kinds[h] * q) / total[h] if total[h] else q for h, x, q in zip(["\0begin", *w], w, p1)]
+        base, score = 0.0, 0.0
+        for j in range(len(w)):
+            for g in chains(w, j):
+                if len(g) == 1:
+                    p = (grams[g] + 0.1) / (n + 0.1 * (v + 1))
+                    base += math.log10(p)
+                elif h := total[g[:-1]]:
+                    p = (max(grams[g] - 0.75, 0) + 0.75 * kinds[g[:-1]] * p) / h
+            score += math.log10(p)
         r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(uni[x] > 0 for x in w), n)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(grams[(x,)] > 0 for x in w), n)
         assert r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
-        assert math.isclose(r.base_score, sum(map(math.log10, p1)), rel_tol=1e-9)
-        assert math.isclose(r.score, sum(map(math.log10, p)), rel_tol=2e-3, abs_tol=2e-3)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert math.isclose(r.score, score, rel_tol=2e-3, abs_tol=2e-3)
+
+
+def test_trie_is_compact():
+    v = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 1_000_000, dtype=np.uint64))
+    assert len(ngramlm.pack(ngramlm.EliasFano.build(v, 63).arrays())) < 6 * len(v)
+    p = 10.0 ** -np.random.default_rng(2).uniform(0, 4, 100_000)
+    assert np.abs(np.log10(ngramlm.restore(*ngramlm.quantise(p))) - np.log10(p)).max() < 0.5 * 4 / 254 + 0.001
 
 
 def test_elias_fano_finds_what_it_holds():
