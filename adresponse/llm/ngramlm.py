@@ -17,9 +17,9 @@ the distinct successors of ``h`` and ``h'`` the context without its first
 word; after an unseen context it is ``p(w|h')``, and without context the
 add-0.1 share that the base score also uses.  A text's first context is a
 begin mark.  Words are known by 64-bit hashes and successors within a context
-by 32 of those bits.  Shares and weights are exact to 1/4096 of a power of ten
-where a level of a shard has at most 256 such values; else values in the same
-256th of their range share their mean.
+by 32 of those bits.  Shares and weights are exact where a level of a shard has
+at most 256 such values; else those whose logarithms lie in the same 255th of
+the range share their mean logarithm.
 
 The folder must be one that executors reach by path or through pyarrow; a
 remote file is copied to an unlinked local one before it is mapped.
@@ -55,7 +55,6 @@ HELD_OUT_FOLDS, HELD_OUT = 10, 0
 ADD, DISCOUNT = 0.1, 0.75
 ORDER = 3  # words of the longest n-gram
 SHARD_BYTES = 64 << 20  # of text for each shard, at most
-STEPS = 4096  # quantisation steps in a power of ten
 U = np.uint64
 END, BEGIN = U(0x5A17C0DE0000E2D1), U(0x5A17C0DE0000BE61)
 
@@ -159,18 +158,17 @@ def unpack(buffer) -> list[np.ndarray]:
 
 
 def quantise(p: np.ndarray) -> list[np.ndarray]:
-    """A byte for each probability and the at most 256 values that they stand for, in powers of ten."""
+    """A byte for each probability and the at most 256 logarithms that they stand for."""
     with np.errstate(divide="ignore"):
-        step = np.where(p > 0, np.rint(-np.log10(np.minimum(p, 1)) * STEPS), np.inf)
-    values, code = np.unique(step, return_inverse=True)
+        log = np.log10(p)
+    values, code = np.unique(log, return_inverse=True)
     if len(values) > 256:
-        some = np.isfinite(step)
-        least, most = step[some].min(), step[some].max()
-        code = np.where(some, np.minimum((np.where(some, step, least) - least) * 255 // (most - least), 254), 255).astype(np.int64)
-        size = np.bincount(code, minlength=256)
-        values = np.bincount(code, weights=np.where(some, step, 0), minlength=256) / np.maximum(size, 1)
-        values[255] = np.inf
-    return [code.astype(np.uint8), values / -STEPS]
+        some = np.isfinite(log)
+        least, most = log[some].min(), log[some].max()
+        code = np.where(some, np.minimum((np.where(some, log, least) - least) * 255 // (most - least), 254), 255).astype(np.int64)
+        values = np.bincount(code, weights=np.where(some, log, 0), minlength=256) / np.maximum(np.bincount(code, minlength=256), 1)
+        values[255] = -np.inf
+    return [code.astype(np.uint8), values]
 
 
 def restore(code: np.ndarray, values: np.ndarray) -> np.ndarray:
