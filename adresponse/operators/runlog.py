@@ -30,12 +30,13 @@ def metric_rows(spark: SparkSession, run_id: str, model: str, values: dict, end_
     return spark.createDataFrame(rows, RUNLOG_SCHEMA)
 
 
-def append_metrics(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """K9: append to the run log table (created on first use)."""
+def append_metrics(spark: SparkSession, table: str, rows: DataFrame, path: str | None = None) -> None:
+    """K9: append to the run log table (created on first use, at ``path`` if given)."""
     if spark.catalog.tableExists(table):
         rows.select(*spark.table(table).columns).write.insertInto(table)
     else:
-        rows.write.format("parquet").saveAsTable(table)
+        w = rows.write.format("parquet")
+        (w.option("path", path) if path else w).saveAsTable(table)
 
 
 def latest_values(runlog: DataFrame, keys=None) -> DataFrame:

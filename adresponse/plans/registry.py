@@ -235,6 +235,19 @@ def k5_audit(spark, sf_dir):
     return _appended(spark, sf_dir)[0].drop("created")
 
 
+@query("f5_rerun", O.with_ctes(body="""
+SELECT CAST(1 AS INTEGER) AS run, CAST(0 AS BIGINT) AS rows_before, count(*) AS rows_after, count(*) AS rows_inserted FROM training
+UNION ALL SELECT 2, count(*), count(*), CAST(0 AS BIGINT) FROM training"""))
+def f5_rerun(spark, sf_dir):
+    """The audit rows of an append into a table made for it, and of the same append again."""
+    i = _in(spark, sf_dir)
+    name = f"adresponse_rerun_{uuid.uuid4().hex}"
+    ingest.ensure_table(spark, name, i.training(), path=f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    audits = [ingest.append_new(spark, i.training(), name, i.as_of(), WINDOW_DAYS).withColumn("run", F.lit(n)) for n in (1, 2)]
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return audits[0].unionByName(audits[1]).select("run", "rows_before", "rows_after", "rows_inserted")
+
+
 @query("j1_identity_left", O.with_ctes(body="""
 SELECT a.event_id, a.profile_emailsha256, b.gender AS identity_gender, b.exact_age AS age,
        b.est_household_income AS household_income
@@ -570,22 +583,60 @@ runlog AS (
   UNION ALL SELECT run_id, 'ingest', 'rows_inserted', CAST(rows_inserted AS VARCHAR), end_time FROM runs)"""
 
 
+def _logged(spark, *appends: DataFrame) -> DataFrame:
+    """The log table that these appends wrote."""
+    name = f"adresponse_runlog_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    for rows in appends:
+        runlog.append_metrics(spark, name, rows, path)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return spark.read.parquet(path)
+
+
+def _ingest_log(spark, sf_dir) -> DataFrame:
+    """The daily ingest runs, written in two appends."""
+    rows = runlog.ingest_replay(_in(spark, sf_dir).training())
+    odd = F.dayofmonth("end_time") % 2 == 1
+    return _logged(spark, rows.where(odd), rows.where(~odd))
+
+
 @query("k9_run_log", O.with_ctes(_REPLAY, body="SELECT * FROM runlog"))
 def k9_run_log(spark, sf_dir):
-    return runlog.ingest_replay(_in(spark, sf_dir).training())
+    return _ingest_log(spark, sf_dir)
 
 
 @query("a7_latest_params", O.with_ctes(_REPLAY, body="""
 SELECT key, arg_max(value, end_time) AS value, arg_max(run_id, end_time) AS run_id, max(end_time) AS end_time
 FROM runlog GROUP BY key"""))
 def a7_latest_params(spark, sf_dir):
-    return runlog.latest_values(runlog.ingest_replay(_in(spark, sf_dir).training()))
+    return runlog.latest_values(_ingest_log(spark, sf_dir))
 
 
 @query("o2_top1", O.with_ctes(_REPLAY, body="""
 SELECT * FROM runlog WHERE run_id = (SELECT run_id FROM runlog ORDER BY end_time DESC, run_id DESC LIMIT 1)"""))
 def o2_top1(spark, sf_dir):
-    return runlog.latest_run(runlog.ingest_replay(_in(spark, sf_dir).training()))
+    return runlog.latest_run(_ingest_log(spark, sf_dir))
+
+
+@query("m2_logged_params", O.with_ctes(_REPLAY, body="""
+SELECT 50 + rows_inserted % 100 AS n_estimators, 3 + rows_inserted % 5 AS max_depth,
+       CAST(0.05 + (rows_inserted % 8) / 16 AS DOUBLE) AS learning_rate
+FROM runs ORDER BY end_time DESC LIMIT 1"""))
+def m2_logged_params(spark, sf_dir):
+    """M2: what retraining reads from a log of a search a day and of training runs that ended after them."""
+    n = F.col("value").cast("long")
+    days = runlog.ingest_replay(_in(spark, sf_dir).training()).where("key = 'rows_inserted'")
+
+    def runs(prefix: str, more: int, later: str) -> DataFrame:
+        tuned = F.struct((50 + n % 100 + more).alias("n_estimators"), (3 + n % 5 + more).alias("max_depth"),
+                         (0.05 + (n % 8) / 16 + more).alias("learning_rate"))
+        return days.select(F.concat(F.lit(prefix), "run_id").alias("run_id"), F.lit(MODEL1.name).alias("model"),
+                           F.lit(f"{MODEL1.name}_hyperparams").alias("key"), F.to_json(tuned).alias("value"),
+                           (F.col("end_time") + F.expr(later)).alias("end_time"))
+
+    log = _logged(spark, runs(runlog.TUNE_RUN, 0, "INTERVAL 0 HOURS"), runs("retrain-", 1, "INTERVAL 1 HOUR"))
+    p = runlog.tuned_params(log, MODEL1.name)
+    return spark.createDataFrame([(p.n_estimators, p.max_depth, p.learning_rate)], "n_estimators long, max_depth long, learning_rate double")
 
 
 # ---------------------------------------------------------------------------
@@ -962,3 +1013,59 @@ def e1_model1_frame(spark, sf_dir):
 def e1_model2_frame(spark, sf_dir):
     """Model 2's training frame: text cast -> lookup -> augment -> split flag -> clean -> types."""
     return _m2_prepared(spark, sf_dir).select(*_M2_FRAME_COLS)
+
+
+@query("k7_reloaded_scores", O.with_ctes(body="SELECT event_id, TRUE AS same_score, TRUE AS same_version FROM training"))
+def k7_reloaded_scores(spark, sf_dir):
+    """K6, K7: a saved and loaded model scores every row as the fitted one does."""
+    i, model = _in(spark, sf_dir), fitted(spark, sf_dir, MODEL1)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/adresponse_model_{uuid.uuid4().hex}"
+    modeling.save(model, spark, path)
+    was, now = scoring.score(model, i.training()), scoring.score(modeling.load(spark, path, MODEL1), i.training())
+    now = now.select("event_id", F.col("model_ctr").alias("ctr"), F.col("model_version").alias("version"))
+    return was.join(now, "event_id", "left").select(
+        "event_id", F.coalesce(F.col("ctr") == F.col("model_ctr"), F.lit(False)).alias("same_score"),
+        F.coalesce(F.col("version") == F.col("model_version"), F.lit(False)).alias("same_version"))
+
+
+def _json_texts(training: DataFrame) -> DataFrame:
+    """The training rows as JSON requests whose number columns hold numbers, marks, fractions and text."""
+    def pick(*ways):  # JSON of a value, by the row's key
+        c = F
+        for n, way in enumerate(ways):
+            c = c.when(F.col("event_id") % len(ways) == n, way)
+        return F.coalesce(c, F.lit("null"))
+
+    quoted = lambda c, none: F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit(none)), F.lit('"'))
+    plain = lambda c: F.col(c).cast("string")
+    age = pick(plain("age"), quoted("age", "NA"), F.lit("-1"), F.lit('"-1"'), F.concat(plain("age"), F.lit(".5")))
+    source = pick(plain("traffic_source_id"), quoted("traffic_source_id", ""), F.lit('"-3"'), F.lit('"1.5"'), F.lit("2.25"), F.lit("true"))
+    income = pick(plain("household_income"), quoted("household_income", "null"), F.lit('{"a": 1}'))
+    rest = F.to_json(F.struct("event_id", "gender", "campaign_id", "traffic_partner_id", "os_name", "hour", "position"))
+    parts = [F.expr("substr(rest, 1, length(rest) - 1)")]
+    for name in ("age", "traffic_source_id", "household_income"):
+        parts += [F.lit(f',"{name}":'), F.col(f"json_{name}")]
+    rows = training.select("event_id", rest.alias("rest"), age.alias("json_age"), source.alias("json_traffic_source_id"), income.alias("json_household_income"))
+    return rows.select("event_id", F.concat(*parts, F.lit("}")).alias("request"))
+
+
+_M8_SQL = O.with_ctes(body=f"""
+SELECT event_id, {O.gender_sql('gender', 'serve')} AS gender, campaign_id, traffic_partner_id,
+       CASE event_id % 6 WHEN 0 THEN CAST(traffic_source_id AS DOUBLE) WHEN 1 THEN CAST(traffic_source_id AS DOUBLE)
+            WHEN 4 THEN 2.25 END AS traffic_source_id,
+       {O.os_sql('os_name', 'serve')} AS os_name,
+       CASE event_id % 5 WHEN 0 THEN {O.number_typed_sql('age')} WHEN 1 THEN CAST(age AS DOUBLE) WHEN 3 THEN -1
+            WHEN 4 THEN CAST(CAST(age AS VARCHAR) || '.5' AS DOUBLE) END AS age,
+       CAST(hour AS INTEGER) AS hour,
+       CASE event_id % 3 WHEN 0 THEN {O.number_typed_sql('household_income')} WHEN 1 THEN CAST(household_income AS DOUBLE) END AS household_income,
+       CAST("position" AS INTEGER) AS "position"
+FROM training""")
+
+
+@query("m8_json_requests", _M8_SQL)
+def m8_json_requests(spark, sf_dir):
+    """JSON requests with numbers, marks, fractions and text in one column, each value cleaned by its own kind."""
+    from .stages import FeatureCaster
+
+    served = scoring.json_requests(_json_texts(_in(spark, sf_dir).training()), MODEL1)
+    return FeatureCaster(modeling.model_types(MODEL1)).transform(served).select("event_id", *MODEL1.features)

@@ -12,12 +12,12 @@ import uuid
 
 import pandas as pd
 from pandas import NA
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DoubleType, NumericType, StringType
 
 from ..config import MISSING_NUMBER, ROUTE_SEED
-from ..functions.cleaning import clean_frame
+from ..functions.cleaning import clean_frame, clean_gender, clean_number, clean_os, clean_traffic_source, parse_number_text
 from ..functions.hashing import below
 from ..operators.features import cast_features, lookup_features
 from .modeling import ClickModel, positive_probability
@@ -84,6 +84,45 @@ def requests_frame(spark, payload, spec, key: str = "event_id") -> DataFrame:
     return spark.createDataFrame(list(zip(*columns)), ", ".join(schema))
 
 
+def _by_kind(name: str, value: Column) -> Column:
+    """A number feature of one JSON request: text by the text rules, a number by the number rules, else missing."""
+    kind = F.schema_of_variant(value)
+    text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
+    number = F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "double"))
+    if name in MARKED_NUMBERS:
+        return F.coalesce(clean_number(text, StringType()), clean_number(number, DoubleType()))
+    if name == "traffic_source_id":
+        return F.coalesce(clean_traffic_source(text, StringType()), clean_traffic_source(number, DoubleType()))
+    return F.coalesce(parse_number_text(text), number)
+
+
+def json_requests(requests: DataFrame, spec, column: str = "request", key: str = "event_id") -> DataFrame:
+    """Requests that are JSON texts, one in a row, as the features that ``score`` takes with ``cleaned``.
+
+    Every value is read by its own kind on the executors, so one column may
+    hold numbers, text and nulls.  Numbers follow the number rules (-1 marks a
+    missing age or income), text the text rules ("-1" is -1); true, false,
+    lists and objects are missing where a number is asked.  A model with a
+    look-up takes text, and cleans it itself.  A text that is no JSON, or
+    null, is a request without any value.
+    """
+    doc = F.try_parse_json(F.col(column))
+    cleaners = {} if spec.lookup_features else {"os_name": clean_os, "gender": clean_gender}
+    out = []
+    for f, declared in spec.feature_types.items():
+        if f in spec.lookup_features:
+            continue
+        text = F.try_variant_get(doc, f"$.{f}", "string")
+        if spec.lookup_features or (declared == "string" and f not in cleaners):
+            c = text
+        elif f in cleaners:
+            c = cleaners[f](text, "serve")
+        else:
+            c = _by_kind(f, F.try_variant_get(doc, f"$.{f}", "variant"))
+        out.append(c.alias(f))
+    return requests.select(key, *out)
+
+
 def check_requests(requests: DataFrame, model: ClickModel) -> None:
     """M7/M8: the request frame must carry every loaded feature."""
     if not isinstance(requests, DataFrame):
@@ -98,10 +137,11 @@ def check_requests(requests: DataFrame, model: ClickModel) -> None:
 
 
 def score(model: ClickModel, requests: DataFrame, campaigns: DataFrame | None = None,
-          keys=("event_id",), capture: bool = False) -> DataFrame:
+          keys=("event_id",), capture: bool = False, cleaned: bool = False) -> DataFrame:
     """M5 (no lookup) / M6 (with lookup): ``keys + campaign_id, position, model_ctr, model_version``.
 
-    ``capture`` adds the request as it came, as JSON (K8).
+    ``capture`` adds the request as it came, as JSON (K8).  ``cleaned`` requests
+    (of ``json_requests``) aren't cleaned again.
     """
     check_requests(requests, model)
     spec = model.spec
@@ -110,7 +150,7 @@ def score(model: ClickModel, requests: DataFrame, campaigns: DataFrame | None =
     if spec.lookup_features:
         loaded = {f: t for f, t in spec.feature_types.items() if f not in spec.lookup_features}
         df = lookup_features(cast_features(df, loaded), campaigns, names=spec.lookup_features)
-    else:
+    elif not cleaned:
         df = clean_frame(df, "serve")
     out = model.pipeline.transform(df)
     keep = [k for k in keys if k in requests.columns]
