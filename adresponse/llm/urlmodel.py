@@ -11,7 +11,9 @@ aggregates over distinct character n-grams; nothing leaves the JVM.
 Defined cases: a null URL or one without ``://`` has empty host and path and
 is scored as the empty string; repeated URLs train once; without labelled
 URLs of a class its model is uniform; without calibration URLs the cut is 0;
-an empty table gives an empty result.
+an empty table gives an empty result.  A very long URL is read whole; its time
+grows with the square of its length, as each of its grams is cut out anew, its
+bytes only with the length.
 """
 
 from __future__ import annotations
@@ -91,25 +93,24 @@ def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, folds: int =
     whole = F.concat("host", F.lit("\u0001"), "path")
     # 0: trains; 1: calibrates
     fold = (F.crc32(whole.cast("binary")) % folds == 0).cast("int")
-    urls = keep(urls.select("host", "path", F.xxhash64("host", "path").alias("url_id"), rule.alias("rule"), verdict.alias("ruled"), fold.alias("fold")), "urls")
+    urls = keep(urls.select("host", "path", F.xxhash64("host", "path").alias("url_id"), F.hash("host", "path").alias("url_key"), rule.alias("rule"), verdict.alias("ruled"), fold.alias("fold")), "urls")
     padded = F.concat(F.lit(PAD * order), "host", "path", F.lit(END))
+    own = ["url_id", "url_key"]  # 96 bits: a row for each character carries no text but its gram
     places = urls.select(
-        "host", "path", "ruled", "fold",
+        *own, "ruled", "fold",
         F.explode(F.transform(F.sequence(F.lit(1), F.length("host") + F.length("path") + 1), lambda i: F.substr(padded, i, F.lit(order + 1)))).alias("gram"),
     )
     train = lambda kind: F.sum(((F.col("ruled") == kind) & (F.col("fold") == 0)).cast("long"))
     grams = keep(places.groupBy("gram").agg(F.coalesce(train("allow"), F.lit(0)).alias("a"), F.coalesce(train("block"), F.lit(0)).alias("b")), "url-grams")
     ratio = _char_model(grams, order)
-    scored = keep(
-        places.join(ratio, "gram").groupBy("host", "path").agg(F.avg("ratio").alias("score"), F.first("ruled").alias("ruled"), F.first("fold").alias("fold")),
-        "url-scores",
-    )
+    means = places.select(*own, "gram").join(ratio, "gram").groupBy(*own).agg(F.avg("ratio").alias("score"))
+    scored = keep(urls.join(means, own), "url-scores")
     by = {r.ruled: r for r in scored.where("fold = 1 and ruled is not null").groupBy("ruled").agg(F.avg("score").alias("m"), F.stddev_pop("score").alias("s")).collect()}
     cut = 0.0
     if len(by) == 2:  # as many standard deviations from either class
         a, b = by["allow"], by["block"]
         cut = (a.m * b.s + b.m * a.s) / (a.s + b.s) if a.s + b.s > 0 else (a.m + b.m) / 2
-    judged = scored.join(urls.select("host", "path", "rule"), ["host", "path"]).select(
+    judged = scored.select(
         "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") >= cut, "allow").otherwise("block")).alias("verdict"), "score"
     )
     return rows.join(judged, ["host", "path"]).select("page_id", "host", "path", "rule", "verdict", "score", F.lit(cut).alias("cut"))

@@ -508,6 +508,13 @@ def test_urls_awkward(spark):
     assert [r.verdict for r in urlmodel.filter_urls(rows).collect()] == ["allow"] * 3  # no labelled url: every ratio is 0
 
 
+def test_long_and_repeated_urls(spark):
+    long = "http://example.com/en/" + "ab/" * 20_000
+    rows = spark.createDataFrame([(i, u) for i in range(2) for u in (long, long + "c", "http://www.example.com/en/x")], "page_id long, url string")
+    got = [(r.page_id, len(r.path), r.verdict) for r in urlmodel.filter_urls(rows).collect()]
+    assert sorted(got) == sorted((i, n, v) for i in range(2) for n, v in ((60_004, "block"), (60_005, "block"), (5, "allow")))
+
+
 # --- 6: language model ------------------------------------------------------
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_lm_scores_equal_plain_sums(spark, order):
