@@ -2,7 +2,7 @@
 
 Steps run on the session ``spark-submit`` provides (or a local one):
 
-    ingest   --impressions T --identity T --training T --runlog T [--as-of ISO] [--input-bytes N]
+    ingest   --impressions T --identity T --training T --runlog T [--as-of ISO] [--input-bytes N] [--concurrent]
     tune     --training T --runlog T [--model MODEL1|MODEL2] [--campaigns T] [--evals 2] [--parallelism 4]
     retrain  --training T --runlog T --model-path P [--model MODEL1|MODEL2] [--campaigns T]
     score    --requests T --model1-path P --model2-path P --campaigns T --inference T [--pct-model1 50]
@@ -30,6 +30,7 @@ def main(argv=None) -> None:
         ing.add_argument(a, required=True)
     ing.add_argument("--as-of")
     ing.add_argument("--input-bytes", type=int)
+    ing.add_argument("--concurrent", action="store_true", help="make a table that overlapping runs may write")
     ing.add_argument("--excluded-partner", default=IngestSpec().excluded_partner)
     tune = sub.add_parser("tune")
     for a in ("--training", "--runlog"):
@@ -60,7 +61,7 @@ def main(argv=None) -> None:
     if args.step == "ingest":
         out = jobs.ingest_job(spark, args.impressions, args.identity, args.training, args.runlog,
                               args.as_of, IngestSpec(excluded_partner=args.excluded_partner),
-                              input_bytes=args.input_bytes)
+                              input_bytes=args.input_bytes, concurrent=args.concurrent)
         print(json.dumps(out.first().asDict(), default=str))
     elif args.step == "tune":
         trials = jobs.tune_job(spark, args.training, args.runlog, SPECS[args.model], args.campaigns,

@@ -177,7 +177,7 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
 
 
-def ensure_table(spark: SparkSession, table: str, like: DataFrame, partition_by: str | None = "event_date",
+def ensure_table(spark: SparkSession, table: str, like: DataFrame, partition_by: str | tuple | None = "event_date",
                  path: str | None = None) -> bool:
     """K2 + K3: create an empty table with the query's schema when absent.
 
@@ -186,10 +186,12 @@ def ensure_table(spark: SparkSession, table: str, like: DataFrame, partition_by:
     """
     if spark.catalog.tableExists(table):
         return False
-    empty = spark.createDataFrame([], _with_partition(like, partition_by).schema)
-    w = empty.write.format("parquet")
-    if partition_by:
-        w = w.partitionBy(partition_by)
+    names = (partition_by,) if isinstance(partition_by, str) else partition_by or ()
+    for name in names:
+        like = _with_partition(like, name)
+    w = spark.createDataFrame([], like.schema).write.format("parquet")
+    if names:
+        w = w.partitionBy(*names)
     if path:  # an external table
         w = w.option("path", path)
     w.saveAsTable(table)

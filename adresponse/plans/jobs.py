@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MODEL1, MODEL2, IngestSpec, ModelSpec, WINDOW_DAYS
-from ..operators import ingest, joins, runlog, sampling
+from ..operators import commits, ingest, joins, runlog, sampling
 from ..session import apply_scale_settings, checkpoint_dir
 from . import modeling, scoring, tuning
 
@@ -42,9 +42,12 @@ def _run_id(prefix: str) -> str:
 
 def ingest_job(spark: SparkSession, impressions, identity, training_table: str, runlog_table: str,
                as_of=None, spec: IngestSpec = IngestSpec(), run_id: str | None = None,
-               input_bytes: int | None = None) -> DataFrame:
+               input_bytes: int | None = None, concurrent: bool = False) -> DataFrame:
     """K1-K5: append new training rows and log the audit to the run log.
 
+    With ``concurrent`` a table made by this call takes commits, and then runs
+    of it may overlap (``operators.commits``); a table that has a commit column
+    is always written so.
     ``input_bytes`` (the day's impressions + identity) sizes file splits and
     shuffle partitions for the run; without it the session's settings stay.
     """
@@ -56,14 +59,23 @@ def ingest_job(spark: SparkSession, impressions, identity, training_table: str,
         ingest.ensure_schema(spark, schema)
     as_of = as_of if as_of is not None else _dt.datetime.now(_dt.timezone.utc)  # one time for the whole run
     sides = _table(spark, impressions), _table(spark, identity)
-    created = ingest.ensure_table(spark, training_table, ingest.training_rows(*sides, as_of, spec))
-    before = 0 if created else None
-    if before is None and spark.catalog.tableExists(runlog_table):
-        before = runlog.rows_after(spark.table(runlog_table), training_table)
-    mark = ingest.frozen_mark(spark, spark.table(training_table), as_of, spec.window_days)
-    rows = ingest.training_rows(*sides, as_of, spec, newer_than=mark)
-    audit = ingest.append_new(spark, rows, training_table, as_of, spec.window_days, description=ingest.query_text(spec, mark),
-                              mark=mark, rows_before=before)
+    like = ingest.training_rows(*sides, as_of, spec)
+    created = (commits.ensure_commit_table if concurrent else ingest.ensure_table)(spark, training_table, like)
+    if commits.takes_commits(spark, training_table):
+        seen = commits.snapshot(spark, training_table, as_of, spec.window_days)
+        rows = ingest.training_rows(*sides, as_of, spec, newer_than=seen.mark)
+        audit = commits.append_committed(spark, rows, training_table, as_of, spec.window_days,
+                                         ingest.query_text(spec, seen.mark), seen)
+    elif concurrent:
+        raise ValueError(f"{training_table} has no {commits.COMMIT_COLUMN} column; make a table for concurrent runs")
+    else:
+        before = 0 if created else None
+        if before is None and spark.catalog.tableExists(runlog_table):
+            before = runlog.rows_after(spark.table(runlog_table), training_table)
+        mark = ingest.frozen_mark(spark, spark.table(training_table), as_of, spec.window_days)
+        rows = ingest.training_rows(*sides, as_of, spec, newer_than=mark)
+        audit = ingest.append_new(spark, rows, training_table, as_of, spec.window_days, description=ingest.query_text(spec, mark),
+                                  mark=mark, rows_before=before)
     a = audit.first()
     runlog.append_metrics(
         spark,

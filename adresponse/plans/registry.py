@@ -29,7 +29,7 @@ from ..config import (
     IngestSpec,
 )
 from ..functions import cleaning as C
-from ..operators import encoding, features, ingest, rates, runlog, sampling
+from ..operators import commits, encoding, features, ingest, rates, runlog, sampling
 from ..session import checkpoint_dir
 from . import modeling, scoring, tuning
 from . import oracle as O
@@ -226,6 +226,23 @@ def k4_append(spark, sf_dir):
     return spark.read.parquet(_appended(spark, sf_dir)[1])
 
 
+@query("k4_two_runs", O.with_ctes(_TARGET, body=f"""
+SELECT *, CAST("timestamp" AS DATE) AS event_date,
+       CAST(CASE WHEN "timestamp" > {_HW} THEN 2 ELSE 1 END AS BIGINT) AS ingest_commit FROM training"""))
+def k4_two_runs(spark, sf_dir):
+    """The table after two overlapping runs: both read it empty, the one with the rows up to five days ago commits first."""
+    i = _in(spark, sf_dir)
+    name = f"adresponse_commits_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    commits.ensure_commit_table(spark, name, i.training(), path)
+    seen = commits.snapshot(spark, name, i.as_of(), WINDOW_DAYS)
+    for rows in (i.target_before(5), i.training()):
+        commits.append_committed(spark, rows, name, i.as_of(), WINDOW_DAYS, seen=seen)
+    table = spark.table(name).checkpoint()  # its days' folders are known to the catalog alone
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 @query("k5_audit", O.with_ctes(_TARGET, body=f"""
 SELECT (SELECT count(*) FROM target) AS rows_before,
        (SELECT count(*) FROM target) + (SELECT count(*) FROM training WHERE "timestamp" > {_HW}) AS rows_after,
