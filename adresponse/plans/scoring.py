@@ -20,7 +20,7 @@ from ..config import MISSING_NUMBER, ROUTE_SEED
 from ..functions.cleaning import clean_frame, clean_gender, clean_number, clean_os, clean_traffic_source, parse_number_text
 from ..functions.hashing import below
 from ..operators.features import cast_features, lookup_features
-from .modeling import ClickModel, positive_probability
+from .modeling import KEY, ClickModel, positive_probability
 
 MARKED_NUMBERS = ("age", "household_income")  # features whose number -1 means missing
 
@@ -172,26 +172,63 @@ def route(requests: DataFrame, pct_model1: float, key: str = "event_id", seed: i
     )
 
 
+def _assembled(model: ClickModel, df: DataFrame, campaigns: DataFrame | None, carried: list, number: int) -> DataFrame:
+    """``df`` with what model ``number`` makes of its own requests: the feature vector, campaign and position.
+
+    Requests of the other model pass as rows of missing values, which ask no
+    look-up anything.
+    """
+    spec = model.spec
+    loaded = [f for f in spec.features if f not in spec.lookup_features]
+    own = F.col("served_model") == f"MODEL{number}"
+    rows = df.select(*carried, *[F.when(own, F.col(f"__sent.`{f}`")).alias(f) for f in loaded])
+    if spec.lookup_features:
+        rows = lookup_features(cast_features(rows, {f: spec.feature_types[f] for f in loaded}), campaigns, names=spec.lookup_features)
+    else:
+        rows = clean_frame(rows, "serve")
+    for stage in model.pipeline.stages[:-1]:
+        rows = stage.transform(rows)
+    made = {"features": f"__features{number}", "campaign_id": f"__campaign{number}", "position": f"__position{number}"}
+    return rows.select(*carried, *[F.col(c).alias(out) for c, out in made.items()])
+
+
 def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, campaigns: DataFrame,
                  pct_model1: float = 50.0, key: str = "event_id", capture: bool = False) -> DataFrame:
-    """Route (unless ``requests`` are routed), score each share with its model, one result."""
+    """Route (unless ``requests`` are routed) and score each request with its model, in one pass over them.
+
+    Both models' features are put beside each other first; the trees of both
+    then stand in one projection under the route's condition, so a request is
+    read once and runs through the trees of its own model alone.
+    """
+    check_requests(requests, model1)
+    check_requests(requests, model2)
+    sent = [c for c in requests.columns if c != "served_model"]
     routed = requests if "served_model" in requests.columns else route(requests, pct_model1, key)
-    s1 = score(model1, routed.where(F.col("served_model") == "MODEL1"), keys=(key,), capture=capture)
-    s2 = score(model2, routed.where(F.col("served_model") == "MODEL2"), campaigns, keys=(key,), capture=capture)
-    s2 = s2.withColumn("position", F.col("position").try_cast("int"))
-    return (
-        s1.withColumn("served_model", F.lit("MODEL1"))
-        .unionByName(s2.withColumn("served_model", F.lit("MODEL2")))
+    carried = list(dict.fromkeys([key, *[c for c in (KEY,) if c in sent], "served_model", "__sent", *(["__request"] if capture else [])]))
+    held = list(dict.fromkeys(f for m in (model1, model2) for f in m.spec.features if f not in m.spec.lookup_features))
+    own = {"__sent": F.struct(*[F.col(f"`{f}`") for f in held])}
+    if capture:
+        own["__request"] = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sent]))
+    df = routed.where(F.col("served_model").isin("MODEL1", "MODEL2")).withColumns(own).select(*carried)
+    df = _assembled(model1, df, None, carried, 1)
+    carried = df.columns
+    df = _assembled(model2, df, campaigns, carried, 2)
+    for n, model in ((1, model1), (2, model2)):
+        trees = model.pipeline.stages[-1]
+        df = trees.transform(df, {trees.featuresCol: f"__features{n}", trees.rawPredictionCol: f"__raw{n}",
+                                  trees.probabilityCol: f"__probability{n}", trees.predictionCol: f"__prediction{n}"})
+    first = F.col("served_model") == "MODEL1"
+    return df.select(
+        key,
+        F.when(first, F.col("__campaign1")).otherwise(F.col("__campaign2")).alias("campaign_id"),
+        F.when(first, F.col("__position1")).otherwise(F.col("__position2").try_cast("int")).alias("position"),
+        F.when(first, positive_probability("__probability1")).otherwise(positive_probability("__probability2")).alias("model_ctr"),
+        F.when(first, F.lit(model1.version_tag)).otherwise(F.lit(model2.version_tag)).alias("model_version"),
+        *([F.col("__request").alias("request")] if capture else []),
+        "served_model",
     )
 
 
-def stage_routed(requests: DataFrame, pct_model1: float, path: str, key: str = "event_id") -> DataFrame:
-    """Requests routed once into a folder by model: whatever makes them runs once, and each
-    model reads its own share."""
-    route(requests, pct_model1, key).write.partitionBy("served_model").parquet(path)
-    return requests.sparkSession.read.parquet(path)
-
-
 def inference_log(scored: DataFrame) -> DataFrame:
     """K8: scored rows stamped with the scoring time in UTC (append to a log table)."""
     return scored.withColumn("scored_at", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))

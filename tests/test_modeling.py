@@ -75,7 +75,7 @@ def test_request_contract(spark, m1):
         scoring.score(model, spark.createDataFrame([(1,)], "event_id long"))
 
 
-def test_model2_lookup_and_routing(spark, m1):
+def test_model2_lookup_and_routing(spark, m1, scratch):
     model1, _ = m1
     t = learnable_training(spark)
     camp = tables.campaign_features(spark, SF001)
@@ -88,6 +88,23 @@ def test_model2_lookup_and_routing(spark, m1):
     assert 0.2 < counts["MODEL1"] / t.count() < 0.4
     assert routed.where(F.col("model_ctr").isNull()).count() == 0
 
+    # the same rows as each share scored alone, request for request, from one read of them
+    path = f"{scratch}/requests"
+    t.write.parquet(path)
+    requests = spark.read.parquet(path)
+    routed = scoring.score_routed(requests, model1, model2, camp, pct_model1=30.0, capture=True)
+    plan = routed._jdf.queryExecution().optimizedPlan().toString()
+    read = [r for r in routed._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in r and "/requests" in r]
+    assert len(read) == 1 and "Union" not in plan
+    # both models' trees stand under the route's condition in one projection
+    assert [r for r in plan.splitlines() if r.count("CASE WHEN (served_model") and r.count("UDF(") >= 4]
+    shares = scoring.route(requests, 30.0)
+    alone1 = scoring.score(model1, shares.where("served_model = 'MODEL1'"), capture=True).withColumn("served_model", F.lit("MODEL1"))
+    alone2 = scoring.score(model2, shares.where("served_model = 'MODEL2'"), camp, capture=True).withColumn("served_model", F.lit("MODEL2"))
+    alone = alone1.unionByName(alone2.withColumn("position", F.col("position").try_cast("int")))
+    assert routed.schema.names == alone.schema.names
+    assert sorted(map(str, routed.collect())) == sorted(map(str, alone.collect()))
+
 
 def test_search_two_trials(spark):
     prepared = modeling.prepare(learnable_training(spark), MODEL1)
