@@ -177,6 +177,7 @@ class IngestSpec:
     max_position: int = MAX_POSITION
     excluded_partner: str = EXCLUDED_PARTNER
     dedup_identity: bool = False
+    heavy_emails: bool = False  # join hot e-mails apart: for an identity table that is bucketed by e-mail
 
 
 @dataclass(frozen=True)

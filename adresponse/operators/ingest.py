@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestSpec
-from .joins import left_join_spread_nulls
+from .joins import left_join_heavy, left_join_spread_nulls
 
 
 def as_column(as_of) -> Column:
@@ -88,14 +88,18 @@ def project_training(joined: DataFrame) -> DataFrame:
     )
 
 
-def join_identity(impressions: DataFrame, identity: DataFrame, dedup: bool = False) -> DataFrame:
-    """Left join on the hashed e-mail; duplicate identity keys fan out."""
+def join_identity(impressions: DataFrame, identity: DataFrame, dedup: bool = False, heavy: bool = False) -> DataFrame:
+    """Left join on the hashed e-mail; duplicate identity keys fan out.
+
+    With ``heavy`` the hot e-mails are found first and joined apart.
+    """
     values = ("gender", "exact_age", "est_household_income")
     ident = identity.select("sha256_email_address", *values)
     if dedup:  # the smallest row of a key, so that every run keeps the same one
         ident = ident.groupBy("sha256_email_address").agg(F.min(F.struct(*values)).alias("v"))
         ident = ident.select("sha256_email_address", "v.*")
-    return left_join_spread_nulls(
+    join = left_join_heavy if heavy else left_join_spread_nulls
+    return join(
         impressions, ident, "profile_emailsha256", "sha256_email_address", spread_by="event_id"
     )
 
@@ -112,7 +116,7 @@ def training_rows(
 ) -> DataFrame:
     """The training-row query (flagship): filter -> identity join -> projection."""
     rows = filter_impressions(with_event_id(impressions), as_of, spec, newer_than)
-    return project_training(join_identity(rows, identity, spec.dedup_identity))
+    return project_training(join_identity(rows, identity, spec.dedup_identity, spec.heavy_emails))
 
 
 def query_text(spec: IngestSpec = IngestSpec(), newer_than=None) -> str:

@@ -278,6 +278,24 @@ def j1_identity_left(spark, sf_dir):
     )
 
 
+@query("j1_heavy_keys", O.with_ctes("""
+hot AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN sha256('1') ELSE profile_emailsha256 END AS profile_emailsha256
+        FROM impressions)""", body="""
+SELECT a.event_id, a.profile_emailsha256, b.gender AS identity_gender, b.exact_age AS age,
+       b.est_household_income AS household_income
+FROM hot a LEFT JOIN identity b ON a.profile_emailsha256 = b.sha256_email_address""",
+                                    base=[O.IMPRESSIONS, O.IDENTITY_FANOUT, O.CAMPAIGNS, O.AS_OF, O.TRAINING]))
+def j1_heavy_keys(spark, sf_dir):
+    """J1 where one e-mail holds a third of all impressions, and the identity has some e-mails twice."""
+    i = _in(spark, sf_dir)
+    one = F.when(F.col("event_id") % 3 == 0, F.sha2(F.lit("1"), 256)).otherwise(F.col("profile_emailsha256"))
+    j = ingest.join_identity(i.impressions().withColumn("profile_emailsha256", one), i.identity(fanout=True), heavy=True)
+    return j.select(
+        "event_id", "profile_emailsha256", F.col("gender").alias("identity_gender"),
+        F.col("exact_age").alias("age"), F.col("est_household_income").alias("household_income"),
+    )
+
+
 @query("j1_fanout", O.with_ctes(body="SELECT * FROM training",
                                 base=[O.IMPRESSIONS, O.IDENTITY_FANOUT, O.CAMPAIGNS, O.AS_OF, O.TRAINING]))
 def j1_fanout(spark, sf_dir):

@@ -95,3 +95,38 @@ def test_bucketed_identity_is_not_shuffled(spark):
     assert plan.count("Exchange hashpartitioning") == 1  # the impressions side only
     assert "Exchange hashpartitioning(__jk" in plan
     assert n == imp.count()
+
+
+def test_heavy_key_of_a_bucketed_side(spark):
+    """A third of the impressions on one e-mail, identity bucketed and with copies: even tasks, same rows."""
+    from adresponse.operators import joins
+    from adresponse.sources.tables import save_bucketed
+
+    spark.sql("DROP TABLE IF EXISTS default.identity_bucketed_twice")
+    save_bucketed(tables.identity(spark, SF, fanout=True), "default.identity_bucketed_twice", "sha256_email_address", 8)
+    ident = spark.table("default.identity_bucketed_twice")
+    one = F.when(F.col("event_id") % 3 == 0, F.sha2(F.lit("50"), 256)).otherwise(F.col("profile_emailsha256"))
+    imp = tables.impressions(spark, SF).withColumn("profile_emailsha256", one).repartition(8)
+    args = "profile_emailsha256", "sha256_email_address", "event_id"
+    hot = joins.heavy_keys(imp, args[0])
+    assert len(hot) == 1 and 0.33 < next(iter(hot.values())) < 0.42  # a share of the impressions that have an e-mail
+
+    def sums(df):
+        v = [F.coalesce(F.col("exact_age"), F.lit(0)), F.coalesce(F.hash("gender", "est_household_income"), F.lit(0))]
+        return df.agg(F.count(F.lit(1)), F.sum("event_id"), F.sum(F.xxhash64("event_id", *args[:2], *v) % 1_000_003)).first()
+
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                        "spark.sql.shuffle.partitions": "8"}):
+        expected = sums(joins.left_join_spread_nulls(imp, ident, *args))
+        for small in (None, 0):  # hot rows sent to every task, or salted
+            j = joins.left_join_heavy(imp, ident, *args, small_rows=small)
+            assert sums(j) == expected
+            rows = [r["count"] for r in j.groupBy(F.spark_partition_id()).count().collect()]
+            middle = sorted(rows)[len(rows) // 2]
+            assert max(rows) <= 2 * middle if small is None else max(rows) < sum(rows) / 6
+        plan = joins.left_join_heavy(imp, ident, *args)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastHashJoin") == 1  # only the cold impressions move
+        plain = joins.left_join_spread_nulls(imp, ident, *args).groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in plain.collect()) > 2 * middle  # what the plain join does
+    no_keys = imp.withColumn("profile_emailsha256", F.lit(None).cast("string"))
+    assert joins.heavy_keys(no_keys, args[0]) == {} and joins.heavy_keys(imp.limit(0), args[0]) == {}
