@@ -1,13 +1,16 @@
 """Token files: ids by an adaptive context-mixing range coder in independent blocks.
 
 Each block of up to ``BLOCK`` ids starts from an empty model and has a CRC-32
-of its ids, so any block can be read, or found damaged, alone.  For every id
-three predictions are mixed: what last followed the two ids before it
-(order 2), what last followed the one before it (order 1), and how often each
-id came in the block so far (order 0, brought up to date every ``EPOCH``
-ids).  How far the first two have been right lately picks a set of weights,
-which adapt by what comes; the coder writes which prediction held, and under
-order 0 the id by its cumulative frequency.
+of its ids, so any block can be read, or found damaged, alone.  Every id is
+coded under one distribution, a weighted sum of three: all on the id that last
+followed the two before it (order 2), all on the id that last followed the one
+before it (order 1), and how often each id came in the block so far (order 0,
+brought up to date every ``EPOCH`` ids; ids that did not come keep a share).
+How far the first two have been right lately picks the set of weights, which
+adapt by what comes.  An id's interval is its order-0 interval, scaled by that
+weight, moved by the weights of the predicted ids below it and widened by
+those that predicted it.  Ids are below ``LIMIT``; larger ones are a
+ValueError before a chunk is made.
 
 The coder keeps 64-bit bounds and writes 32-bit words, at most one for an id.
 Blocks are coded side by side, one id of each at a time, as numpy columns.
@@ -33,11 +36,12 @@ from pyspark.sql import functions as F
 from adresponse.llm import text, tokens
 from adresponse.llm.store import keep, own_columns
 
-BLOCK, EPOCH, LANES = 2048, 256, 1024
-MAGIC = b"TKRC0001"
-VOCAB = 1 << 16  # ids are below this
+BLOCK, EPOCH, LANES = 2048, 256, 512
+MAGIC = b"TKRC0002"
+VOCAB = 1 << 16  # of blocks that name none; a chunk's is its largest id and one
+LIMIT = 1 << 18  # no id may reach it
 SLOTS = 1024  # contexts of each order that a block remembers
-GAIN0 = 32  # what one occurrence adds to an id's frequency
+GAIN0 = 160  # what one occurrence adds to an id's frequency
 WEIGHTS = (2, 1, 3)  # of orders 2, 1 and 0 before anything came; one more for each time that one held
 WORD, LOW32 = np.uint64(32), np.uint64((1 << 32) - 1)
 HIT = 1 << 20  # a context's entry: id + 1, and above this bit how often it has held (1 to 4)
@@ -46,13 +50,15 @@ HIT = 1 << 20  # a context's entry: id + 1, and above this bit how often it has
 class _Model:
     """Predictions for one id of every block at a time."""
 
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
+    def __init__(self, lanes: int, vocab: int):
+        self.lane, self.vocab = np.arange(lanes), vocab
         self.seen = [np.zeros(lanes * SLOTS, dtype=np.int32) for _ in range(2)]  # orders 1 and 2
-        self.weight = np.tile(np.array(WEIGHTS, dtype=np.uint64), (lanes * 64, 1))
+        start = np.tile(np.array(WEIGHTS, dtype=np.int64), (64, 1))
+        start[:8, 0] = start[::8, 1] = start[5, 1] = 0  # a context that remembers nothing predicts nothing
+        self.weight = np.tile(start, (lanes, 1))
         self.rows, self.slots = self.lane * 64, self.lane * SLOTS
         self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
-        self.n, self.total = 0, VOCAB
+        self.n, self.total = 0, vocab
 
     def predict(self, m: int) -> None:
         """Look up the contexts of the first ``m`` blocks."""
@@ -66,18 +72,18 @@ class _Model:
         self.w2, self.w1, self.w0 = self.weight.take(self.state, axis=0).T
 
     def learn(self, x: np.ndarray, held: np.ndarray) -> None:
-        """Take in the ids that came and which prediction held (0: order 2, 1: order 1, 2: order 0)."""
+        """Take in the ids that came and the highest order that gave them its all (0: order 2, 1: order 1, 2: neither)."""
         fresh = ((x + 1) | HIT).astype(np.int32)
         for s, i, e, p in zip(self.seen, self.at, self.entry, (self.first, self.second)):
             s[i] = np.where(p == x, e + HIT * (e < 4 * HIT), fresh)
-        self.weight.ravel()[self.state * 3 + held] += np.uint64(1)
+        self.weight.ravel()[self.state * 3 + held] += 1
         self.before[: self.m] = self.last[: self.m]
         self.last[: self.m] = x
 
     def count(self, ids: np.ndarray) -> None:
         """Order 0 from the ids so far (a row for each block)."""
         lanes, n = ids.shape
-        self.n, self.total = n, VOCAB + GAIN0 * n
+        self.n, self.total = n, self.vocab + GAIN0 * n
         s = np.sort(ids, axis=1).astype(np.int64)
         new = np.ones((lanes, n), dtype=bool)
         new[:, 1:] = s[:, 1:] != s[:, :-1]
@@ -88,7 +94,7 @@ class _Model:
         last = np.minimum.accumulate(np.where(end, place, n)[:, ::-1], axis=1)[:, ::-1]
         row = np.arange(lanes)[:, None]
         self.sorted = s.ravel()
-        self.key = (s + row * VOCAB).ravel()  # one rising row for all blocks
+        self.key = (s + row * self.vocab).ravel()  # one rising row for all blocks
         self.step = (s + GAIN0 * place + row * (2 * self.total)).ravel()
         self.begin, self.many = first.ravel(), (last - first + 1).ravel()
 
@@ -96,9 +102,9 @@ class _Model:
         """Order-0 start and width of ids."""
         if not self.n:
             return x, np.ones_like(x)
-        at = np.searchsorted(self.key, x + lane * VOCAB)
+        at = np.searchsorted(self.key, x + lane * self.vocab)
         there = np.minimum(at, len(self.key) - 1)
-        many = np.where(self.key[there] == x + lane * VOCAB, self.many[there], 0)
+        many = np.where(self.key[there] == x + lane * self.vocab, self.many[there], 0)
         return x + GAIN0 * (at - lane * self.n), 1 + GAIN0 * many
 
     def find(self, lane: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,27 +137,21 @@ def _shift(low: np.ndarray, width: np.ndarray, go: np.ndarray) -> None:
     np.copyto(width, np.minimum(width, LOW32) << WORD, where=go)
 
 
-def _narrow(low, width, held, w2, w1, w0, unit):
-    """Bounds after the choice of a prediction."""
-    low += unit * (w2 * (held > 0) + w1 * (held > 1))
-    np.multiply(unit, np.where(held == 2, w0, np.where(held == 1, w1, w2)), out=width)
-
-
-def encode_blocks(ids: np.ndarray) -> list[bytes]:
+def encode_blocks(ids: np.ndarray, vocab: int = VOCAB) -> list[bytes]:
     """The words of each block of ``BLOCK`` ids (the last may be shorter)."""
     out: list[bytes] = []
     for a in range(0, len(ids), BLOCK * LANES):
-        out += _encode(ids[a : a + BLOCK * LANES].astype(np.int64))
+        out += _encode(ids[a : a + BLOCK * LANES].astype(np.int64), vocab)
     return out
 
 
-def _encode(ids: np.ndarray) -> list[bytes]:
+def _encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     lanes = -(-len(ids) // BLOCK)
     full = len(ids) // BLOCK  # only the last block may end early
     table = np.zeros((lanes, BLOCK), dtype=np.int64)
     table.ravel()[: len(ids)] = ids
     by_time = np.ascontiguousarray(table.T)
-    model = _Model(lanes)
+    model = _Model(lanes, vocab)
     low, width = np.zeros(lanes, dtype=np.uint64), np.full(lanes, ~np.uint64(0))
     room = BLOCK + 4
     words = np.zeros(lanes * room, dtype="<u4")
@@ -166,18 +166,17 @@ def _encode(ids: np.ndarray) -> list[bytes]:
             model.count(table[:, :t])
         if t % EPOCH == 0:
             ahead = table[:, t : t + EPOCH]  # block by block, so that a search stays within a block's rows
-            start0, width0 = (np.ascontiguousarray(v.reshape(ahead.shape).T).astype(np.uint64) for v in model.interval(np.repeat(model.lane, ahead.shape[1]), ahead.ravel()))
+            start0, width0 = (np.ascontiguousarray(v.reshape(ahead.shape).T) for v in model.interval(np.repeat(model.lane, ahead.shape[1]), ahead.ravel()))
         x = by_time[t, :m]
         model.predict(m)
-        held = 2 - (x == model.first)
-        held[x == model.second] = 0
+        first, second, total = model.first, model.second, model.total
+        is1, is2 = x == first, x == second
+        held = np.where(is2, 0, 2 - is1)
         w2, w1, w0 = model.w2, model.w1, model.w0
         lo, wi = low[:m], width[:m]
-        _narrow(lo, wi, held, w2, w1, w0, wi // (w2 + w1 + w0))
-        rest = np.flatnonzero(held == 2)
-        unit = wi[rest] // np.uint64(model.total)
-        lo[rest] += unit * start0[t % EPOCH, rest]
-        wi[rest] = unit * width0[t % EPOCH, rest]
+        wi //= ((w2 + w1 + w0) * total).view(np.uint64)
+        lo += wi * (w0 * start0[t % EPOCH, :m] + total * (w1 * (first < x) + w2 * (second < x))).view(np.uint64)
+        wi *= (w0 * width0[t % EPOCH, :m] + total * (w1 * is1 + w2 * is2)).view(np.uint64)
         go = _settle(lo, wi)
         words[at[:m]] = lo >> WORD  # kept where the place moves on
         at[:m] += go
@@ -189,20 +188,20 @@ def _encode(ids: np.ndarray) -> list[bytes]:
     return [words[b:e].tobytes() for b, e in zip(begin.tolist(), at.tolist())]
 
 
-def decode_blocks(blocks: list[bytes], n: int) -> np.ndarray:
+def decode_blocks(blocks: list[bytes], n: int, vocab: int = VOCAB) -> np.ndarray:
     """The ``n`` ids of consecutive blocks."""
-    out = [_decode(blocks[a : a + LANES], min(n - a * BLOCK, BLOCK * LANES)) for a in range(0, len(blocks), LANES)]
+    out = [_decode(blocks[a : a + LANES], min(n - a * BLOCK, BLOCK * LANES), vocab) for a in range(0, len(blocks), LANES)]
     return np.concatenate(out).astype(np.uint32) if out else np.zeros(0, dtype=np.uint32)
 
 
-def _decode(blocks: list[bytes], n: int) -> np.ndarray:
+def _decode(blocks: list[bytes], n: int, vocab: int) -> np.ndarray:
     lanes, full = len(blocks), n // BLOCK
     room = max(map(len, blocks)) // 4 + 2  # past a block's end stand zeros
     words = np.zeros((lanes, room), dtype=np.uint64)
     for i, b in enumerate(blocks):
         words[i, : len(b) // 4] = np.frombuffer(b, dtype="<u4")
     words, at = words.ravel(), np.arange(lanes) * room
-    model = _Model(lanes)
+    model = _Model(lanes, vocab)
     table = np.zeros((lanes, BLOCK), dtype=np.int64)
     low, width = np.zeros(lanes, dtype=np.uint64), np.full(lanes, ~np.uint64(0))
     code = (words[at] << WORD) | words[at + 1]
@@ -215,19 +214,30 @@ def _decode(blocks: list[bytes], n: int) -> np.ndarray:
         if t and t % EPOCH == 0:
             model.count(table[:, :t])
         model.predict(m)
+        first, second, total = model.first, model.second, model.total
         w2, w1, w0 = model.w2, model.w1, model.w0
         lo, wi, co = low[:m], width[:m], code[:m]
-        unit = wi // (w2 + w1 + w0)
-        v = (co - lo) // unit
-        held = (v >= w2).astype(np.int64) + (v >= w2 + w1)
-        _narrow(lo, wi, held, w2, w1, w0, unit)
-        x = np.where(held == 0, model.second, model.first).astype(np.int64)
-        rest = np.flatnonzero(held == 2)
-        unit = wi[rest] // np.uint64(model.total)
-        v = np.minimum((co[rest] - lo[rest]) // unit, np.uint64(model.total - 1)).astype(np.int64)
-        x[rest], start0, width0 = model.find(rest, v)
-        lo[rest] += unit * start0.astype(np.uint64)
-        wi[rest] = unit * width0.astype(np.uint64)
+        whole = (w2 + w1 + w0) * total
+        wi //= whole.view(np.uint64)
+        v = np.minimum((co - lo) // wi, (whole - 1).view(np.uint64)).view(np.int64)
+        # the predicted ids in order, and where their intervals lie; one that is none has no weight
+        a, b = np.maximum(np.minimum(first, second), 0), np.maximum(np.maximum(first, second), 0)
+        turned, same = first > second, a == b
+        more_a, more_b = total * np.where(turned, w2, w1), total * np.where(turned, w1, w2)
+        more_a += more_b * same
+        more_b[same] = 0
+        start0, width0 = model.interval(np.concatenate((model.lane[:m], model.lane[:m])), np.concatenate((a, b)))
+        start_a, start_b = w0 * start0[:m], w0 * start0[m:] + more_a
+        size_a, size_b = w0 * width0[:m] + more_a, w0 * width0[m:] + more_b
+        is_a, is_b = (v >= start_a) & (v < start_a + size_a), (v >= start_b) & (v < start_b + size_b)
+        x, start, size = np.where(is_a, a, b), np.where(is_a, start_a, start_b), np.where(is_a, size_a, size_b)
+        rest = np.flatnonzero(~(is_a | is_b))
+        below = more_a[rest] * (v[rest] >= start_a[rest]) + more_b[rest] * (v[rest] >= start_b[rest])
+        x[rest], s0, n0 = model.find(rest, (v[rest] - below) // w0[rest])
+        start[rest], size[rest] = w0[rest] * s0 + below, w0[rest] * n0
+        lo += wi * start.view(np.uint64)
+        wi *= size.view(np.uint64)
+        held = np.where(x == second, 0, 2 - (x == first))
         go = _settle(lo, wi)
         np.copyto(co, (co << WORD) | words[at[:m]], where=go)
         at[:m] += go
@@ -239,12 +249,15 @@ def _decode(blocks: list[bytes], n: int) -> np.ndarray:
 
 def write_chunk(ids: np.ndarray, doc_ids: list, counts: np.ndarray) -> bytes:
     """One self-contained chunk: whole documents' ids."""
-    blocks = encode_blocks(ids)
+    vocab = int(ids.max(initial=0)) + 1
+    if vocab > LIMIT:
+        raise ValueError(f"id {vocab - 1} is not below {LIMIT}")
+    blocks = encode_blocks(ids, vocab)
     raw = ids.astype("<u4")
     checks = [zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK]) for i in range(len(blocks))]
     parts = [
         MAGIC,
-        struct.pack("<QQQ", len(ids), len(blocks), len(doc_ids)),
+        struct.pack("<QQQQ", len(ids), len(blocks), len(doc_ids), vocab),
         np.array([d is not None for d in doc_ids], dtype=np.uint8).tobytes(),
         np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes(),
         np.asarray(counts, dtype="<i8").tobytes(),
@@ -257,17 +270,17 @@ def write_chunk(ids: np.ndarray, doc_ids: list, counts: np.ndarray) -> bytes:
 
 def read_chunk(blob: bytes) -> tuple[np.ndarray, list, np.ndarray]:
     """Ids, document ids and counts of a chunk; ValueError if anything is damaged."""
-    if len(blob) < 36 or blob[:8] != MAGIC or struct.unpack("<I", blob[-4:])[0] != zlib.crc32(blob[:-4]):
+    if len(blob) < 44 or blob[:8] != MAGIC or struct.unpack("<I", blob[-4:])[0] != zlib.crc32(blob[:-4]):
         raise ValueError("not a token chunk, or a damaged one")
-    n, n_blocks, n_docs = struct.unpack_from("<QQQ", blob, 8)
-    at = 32
+    n, n_blocks, n_docs, vocab = struct.unpack_from("<QQQQ", blob, 8)
+    at = 40
     known = np.frombuffer(blob, dtype=np.uint8, count=n_docs, offset=at)
     doc_ids = np.frombuffer(blob, dtype="<i8", count=n_docs, offset=(at := at + n_docs))
     counts = np.frombuffer(blob, dtype="<i8", count=n_docs, offset=(at := at + 8 * n_docs))
     table = np.frombuffer(blob, dtype="<u4", count=2 * n_blocks, offset=(at := at + 8 * n_docs)).reshape(-1, 2)
     at += 8 * n_blocks
     ends = at + np.cumsum(table[:, 0].astype(np.int64))
-    ids = decode_blocks([blob[e - s : e] for s, e in zip(table[:, 0].tolist(), ends.tolist())], n)
+    ids = decode_blocks([blob[e - s : e] for s, e in zip(table[:, 0].tolist(), ends.tolist())], n, vocab)
     raw = ids.astype("<u4")
     for i, check in enumerate(table[:, 1].tolist()):
         if zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK]) != check:

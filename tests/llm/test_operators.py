@@ -616,6 +616,36 @@ def test_coder_round_trips():
     assert sum(map(len, rangecoder.encode_blocks(x))) < len(x) / 4  # what repeats costs little
 
 
+def test_every_id_is_coded_under_one_mixed_distribution():
+    """The three predictions add up to one distribution over all ids, and the code is as long as that says."""
+    rng, vocab = np.random.default_rng(7), 60
+    ids = np.where(rng.random(1500) < 0.6, np.arange(1500) % 11, rng.integers(0, vocab, 1500)).astype(np.int64)
+    model, bits, every = rangecoder._Model(1, vocab), 0.0, np.arange(vocab)
+    for t, x in enumerate(ids):
+        if t and t % rangecoder.EPOCH == 0:
+            model.count(ids[None, :t])
+        model.predict(1)
+        start, width = model.interval(np.zeros(vocab, dtype=np.int64), every)
+        assert (np.cumsum(width) - width == start).all()
+        w2, w1, w0 = (int(w[0]) for w in (model.w2, model.w1, model.w0))
+        share = w0 * width + model.total * (w1 * (every == model.first) + w2 * (every == model.second))
+        assert share.min() > 0 and share.sum() == (w2 + w1 + w0) * model.total
+        bits -= np.log2(share[x] / share.sum())
+        at = np.array([x])
+        model.learn(at, np.where(at == model.second, 0, 2 - (at == model.first)))
+    (block,) = rangecoder.encode_blocks(ids, vocab)
+    assert bits <= 8 * len(block) <= 1.01 * bits + 96
+    assert (rangecoder.decode_blocks([block], len(ids), vocab) == ids).all()
+
+
+def test_large_ids():
+    ids = np.array([0, 70_000, rangecoder.LIMIT - 1, 5, 70_000] * 900, dtype=np.uint32)
+    assert (rangecoder.read_chunk(rangecoder.write_chunk(ids, [1], np.array([len(ids)])))[0] == ids).all()
+    for x in (rangecoder.LIMIT, 2**32 - 1):
+        with pytest.raises(ValueError, match="not below"):
+            rangecoder.write_chunk(np.array([1, x], dtype=np.uint32), [1], np.array([2]))
+
+
 def test_damage_is_found():
     ids = np.arange(5000, dtype=np.uint32) % 700
     blob = rangecoder.write_chunk(ids, [7, None, 9], np.array([3000, 1, 1999]))
