@@ -5,7 +5,7 @@ Steps run on the session ``spark-submit`` provides (or a local one):
     ingest   --impressions T --identity T --training T --runlog T [--as-of ISO] [--input-bytes N] [--concurrent]
     tune     --training T --runlog T [--model MODEL1|MODEL2] [--campaigns T] [--evals 2] [--parallelism 4]
     retrain  --training T --runlog T --model-path P [--model MODEL1|MODEL2] [--campaigns T]
-    score    --requests T --model1-path P --model2-path P --campaigns T --inference T [--pct-model1 50]
+    score    --requests T --model1-path P --model2-path P --campaigns T --inference T [--pct-model1 50] [--strict]
 """
 
 from __future__ import annotations
@@ -51,6 +51,7 @@ def main(argv=None) -> None:
     for a in ("--requests", "--model1-path", "--model2-path", "--campaigns", "--inference"):
         sc.add_argument(a, required=True)
     sc.add_argument("--pct-model1", type=float, default=50.0)
+    sc.add_argument("--strict", action="store_true", help="refuse requests that break a model's contract")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"adresponse-{args.step}").getOrCreate()
@@ -74,7 +75,7 @@ def main(argv=None) -> None:
         print(json.dumps({"model": m.spec.name, "run_id": m.run_id, "trees": m.n_trees}))
     else:
         log = jobs.score_job(spark, args.requests, args.model1_path, args.model2_path, args.campaigns,
-                             args.inference, args.pct_model1)
+                             args.inference, args.pct_model1, strict=args.strict)
         print(json.dumps({"inference_rows": log.count()}))
 
 

@@ -93,8 +93,9 @@ def stage(rows: DataFrame, table: str) -> Staged:
     columns = [c for c in spark.table(table).columns if c not in (PARTITION_COLUMN, COMMIT_COLUMN)]
     rows = rows.select(*columns, F.to_date("timestamp").alias(PARTITION_COLUMN))
     rows.hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).parquet(path)
-    by_day = spark.read.schema(rows.schema).parquet(path).groupBy(PARTITION_COLUMN).count().collect()  # a row for each day
-    return Staged(path, tuple(sorted(str(r[PARTITION_COLUMN]) for r in by_day)), sum(r["count"] for r in by_day))
+    day = F.col(PARTITION_COLUMN).cast("string")
+    whole = spark.read.schema(rows.schema).parquet(path).agg(F.sort_array(F.collect_set(day)).alias("days"), F.count(F.lit(1)).alias("rows")).first()
+    return Staged(path, tuple(whole["days"]), whole["rows"])
 
 
 def publish(spark: SparkSession, table: str, staged: Staged, seen: Snapshot) -> bool:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import MODEL1, MODEL2, IngestSpec, ModelSpec, WINDOW_DAYS
 from ..operators import commits, ingest, joins, runlog, sampling
 from ..session import apply_scale_settings
-from . import modeling, scoring, tuning
+from . import contract, modeling, scoring, tuning
 
 
 def _table(spark: SparkSession, t) -> DataFrame:
@@ -126,12 +126,20 @@ def retrain_job(spark: SparkSession, training_table: str, runlog_table: str, mod
     loaded = [f for f in spec.features if f not in spec.lookup_features]
     examples = sampling.example_rows(prepared.where(F.col("variant") == 0).select("event_id", *loaded))
     modeling.save(model, spark, model_path, examples)
+    contract.save(contract.infer(training, spec), spark, model_path)
     return model
 
 
 def score_job(spark: SparkSession, requests, model1_path: str, model2_path: str, campaigns,
-              inference_table: str, pct_model1: float = 50.0, run_id: str | None = None) -> DataFrame:
-    """M10 + K8: route each request to one model, score, log; a retry under the same ``run_id`` replaces its rows."""
+              inference_table: str, pct_model1: float = 50.0, run_id: str | None = None, strict: bool = False) -> DataFrame:
+    """M10 + K8: route each request to one model, score, log; a retry under the same ``run_id`` replaces its rows.
+
+    With ``strict`` requests that break either model's contract (M7) are an
+    error before anything is written.
+    """
+    if strict:
+        for path in (model1_path, model2_path):
+            contract.check(_table(spark, requests), contract.load(spark, path))
     m1 = modeling.load(spark, model1_path, MODEL1)
     m2 = modeling.load(spark, model2_path, MODEL2)
     scored = scoring.score_routed(_table(spark, requests), m1, m2, _campaigns(spark, campaigns, MODEL2), pct_model1, capture=True)

@@ -31,7 +31,7 @@ from ..config import (
 from ..functions import cleaning as C
 from ..operators import commits, encoding, features, ingest, rates, runlog, sampling
 from ..session import checkpoint_dir
-from . import modeling, scoring, tuning
+from . import contract, modeling, scoring, tuning
 from . import oracle as O
 from .context import FIXTURE_SPEC, Inputs
 
@@ -1104,3 +1104,40 @@ def m8_json_requests(spark, sf_dir):
 
     served = scoring.json_requests(_json_texts(_in(spark, sf_dir).training()), MODEL1)
     return FeatureCaster(modeling.model_types(MODEL1)).transform(served).select("event_id", *MODEL1.features)
+
+
+_M7_KINDS = {f: contract.KINDS[t] for f, t in MODEL1.feature_types.items()}
+
+
+def _m7_missing(f: str) -> str:
+    marks = f" OR {_sql_name(f)} IN ('null', 'NA', '')" if _M7_KINDS[f] == "text" else ""
+    return f"({_sql_name(f)} IS NULL{marks})"
+
+
+@query("m7_contract", O.with_ctes(body=" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, '{kind}' AS kind, count(*) > 0 AND count(*) FILTER (WHERE {_m7_missing(f)}) = 0 AS required FROM training"
+    for f, kind in _M7_KINDS.items())))
+def m7_contract(spark, sf_dir):
+    """M7: kinds of model 1's features, and which no training row lacks."""
+    return contract.rows(contract.infer(_in(spark, sf_dir).training(), MODEL1), spark)
+
+
+@query("m7_breaches", O.with_ctes("""
+asked AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN 'NA' ELSE campaign_id END AS campaign_id,
+       CASE WHEN event_id % 4 = 0 THEN 'old' WHEN event_id % 4 = 1 THEN NULL ELSE CAST(age AS VARCHAR) END AS age,
+       hour + CASE WHEN event_id % 3 = 0 THEN 0.5 ELSE 0.0 END AS hour FROM training),
+full_columns AS (SELECT count(*) > 0 AND count(*) FILTER (WHERE campaign_id IS NULL OR campaign_id IN ('null', 'NA', '')) = 0 AS campaign FROM training)""",
+    body="""
+SELECT event_id, 'campaign_id' AS feature, 'missing' AS breach FROM asked
+WHERE (campaign_id IS NULL OR campaign_id IN ('null', 'NA', '')) AND (SELECT campaign FROM full_columns)
+UNION ALL SELECT event_id, 'age', 'not a number' FROM asked WHERE age = 'old'
+UNION ALL SELECT event_id, 'hour', 'not a whole number' FROM asked WHERE hour <> floor(hour)"""))
+def m7_breaches(spark, sf_dir):
+    """M7: the values of requests with planted faults that break the contract of the training rows."""
+    t, n = _in(spark, sf_dir).training(), F.col("event_id")
+    asked = t.select(
+        n, "gender", "traffic_partner_id", "traffic_source_id", "os_name", "household_income", "position",
+        F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, F.lit("NA")).otherwise(F.col("campaign_id")).alias("campaign_id"),
+        F.when(n % 4 == 0, F.lit("old")).when(n % 4 == 1, F.lit(None)).otherwise(F.col("age").cast("string")).alias("age"),
+        (F.col("hour") + F.when(n % 3 == 0, F.lit(0.5)).otherwise(F.lit(0.0))).alias("hour"))
+    return contract.breaches(asked, contract.infer(t, MODEL1))

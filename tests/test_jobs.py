@@ -1,5 +1,6 @@
 """The whole workflow on catalog tables: ingest -> tune -> retrain x2 -> routed scoring."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from adresponse.config import MODEL1, MODEL2
@@ -47,6 +48,11 @@ def test_workflow(spark, scratch):
 
     log = jobs.score_job(spark, "ml.training", f"{scratch}/m1", f"{scratch}/m2", "src.campaigns", "ml.inference_log")
     assert log.count() == 340
+    broken = spark.table("ml.training").withColumn("campaign_id", F.lit("NA"))
+    with pytest.raises(ValueError, match=r"campaign_id missing \(340\)"):
+        jobs.score_job(spark, broken, f"{scratch}/m1", f"{scratch}/m2", "src.campaigns", "ml.inference_log", strict=True)
+    assert spark.table("ml.inference_log").count() == 340
+    jobs.contract.check(spark.table("ml.training"), jobs.contract.load(spark, f"{scratch}/m1"))
     for run_id in ("again", "again", "other"):
         log = jobs.score_job(spark, "ml.training", f"{scratch}/m1", f"{scratch}/m2", "src.campaigns", "ml.inference_log", run_id=run_id)
     assert {r.run_id: r["count"] for r in log.groupBy("run_id").count().collect() if r.run_id in ("again", "other")} == {"again": 340, "other": 340}
