@@ -8,6 +8,8 @@ its own words.
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 
 import numpy as np
 
@@ -39,13 +41,12 @@ def _tables():
         return per_byte, np.multiply.accumulate(up), np.multiply.accumulate(down), lower, space
 
 
-_T: list = []
-
-
 def tables():
-    if not _T:
-        _T.append(_tables())
-    return _T[0]
+    """Made once in each process, and kept outside this module: its globals travel with every task function."""
+    held = sys.modules.setdefault("_adresponse_tables", types.ModuleType("_adresponse_tables")).__dict__
+    if "tables" not in held:
+        held["tables"] = _tables()
+    return held["tables"]
 
 
 def spans(texts: list[str | None], letters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -814,3 +814,12 @@ def test_one_query_for_each_operator():
 def test_hashes_tell_words_apart():
     a, counts = text.word_hashes(["Ab c", None, "ab  C\n", "x" * 3_000_000 + " ab"])
     assert counts.tolist() == [2, 0, 2, 2] and (a[:2] == a[2:4]).all() and a[5] == a[0] and len(set(a.tolist())) == 3
+
+
+def test_task_functions_travel_without_the_hash_tables():
+    """What the driver made of the benchmark is sent to the tasks; the tables of the hashes (33 MB) are made there."""
+    from pyspark import cloudpickle
+
+    block = decontam.Block([(1, "one two three four"), (2, "five six seven")])
+    assert block.lengths.tolist() == [4, 3]
+    assert len(cloudpickle.dumps(block)) < 1 << 20 and len(cloudpickle.dumps(text.word_hashes)) < 1 << 20
