@@ -156,3 +156,20 @@ def test_one_run_equals_a_straight_fit(spark):
 def test_without_rows_to_stop_on_all_trees_are_kept(spark):
     feats = boosting_frame(spark, 400).withColumn("is_valid", F.lit(False))
     assert len(boosting.boost(feats, "click", BoostParams(n_estimators=3, max_depth=2)).model.trees) == 3
+
+
+def test_rates_query_joins_the_identities_once(spark, scratch):
+    """The rows to encode are read from what the first pass wrote, not joined with the identity table again."""
+    import __spark_entry__ as E
+
+    events = spark.range(60).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id % 48) AS ts", "id % 7 AS user_id",
+        "if(id % 3 = 0, 'click', 'purchase') AS event_type", "id * 1.5D AS value", """concat('{"k": ', id % 4, '}') AS props""")
+    events.write.parquet(f"{scratch}/events.parquet")
+    people = spark.range(7).selectExpr("id AS c_custkey", "concat('c', id) AS c_name", "int(id) AS c_nationkey", "id * 10D AS c_acctbal", "'x' AS c_mktsegment")
+    people.write.parquet(f"{scratch}/customer.parquet")
+    out = E.queries()["m1_target_rates"](spark, scratch)
+    read = [f for f in out.inputFiles() if "customer.parquet" in f]
+    kept = E.queries()["e1_model1_frame"](spark, scratch)
+    assert not read and "customer.parquet" not in plan(out) and "customer.parquet" in plan(kept)
+    assert out.count() == kept.count() > 20 and out.where("campaign_id_rate IS NULL OR traffic_source_id_rate IS NULL").count() == 0
