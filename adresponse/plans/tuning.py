@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SEARCH_EVALS, SEARCH_PARALLELISM, SEARCH_SPACE, BoostParams, ModelSpec
-from .boosting import boost
-from .modeling import assembled, feature_stages, log_loss, positive_probability
+from .boosting import boost, with_probability
+from .modeling import assembled, feature_stages, log_loss
 
 
 def draw(n: int, seed: int = 0, space: dict = SEARCH_SPACE) -> list[BoostParams]:
@@ -47,8 +47,8 @@ def search(spark: SparkSession, prepared: DataFrame, spec: ModelSpec, n_evals: i
     def run(i_params):
         i, params = i_params
         m = boost(feats, spec.label, params).model
-        loss = log_loss(F.col(spec.label), positive_probability())
-        losses = m.transform(feats.where("not is_fit")).agg(
+        loss = log_loss(F.col(spec.label), F.col("p"))
+        losses = with_probability(m, feats.where("not is_fit"), spec.label, "is_valid", "is_test").agg(
             F.avg(F.when(F.col("is_valid"), loss)).alias("valid"), F.avg(F.when(F.col("is_test"), loss)).alias("test")
         ).first()
         return (i, params, len(m.trees), losses["valid"], losses["test"])

@@ -153,6 +153,37 @@ def test_one_run_equals_a_straight_fit(spark):
     assert loss == pytest.approx(run.losses[kept - 1])
 
 
+def test_a_tree_takes_one_pass_a_level(spark):
+    """Rows are cut into bins once: a further tree costs as many Spark jobs as it has levels."""
+    feats = boosting_frame(spark)
+    params = dict(max_depth=3, learning_rate=0.1, subsample=0.9, colsample_bytree=0.7, early_stopping_rounds=9)
+    jobs = {}
+    for n in (4, 9):
+        spark.sparkContext.setJobGroup(f"boost-{n}", "trees")
+        assert boosting.boost(feats, "click", BoostParams(n_estimators=n, **params), opening=1).fitted == n
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boost-{n}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[9] - jobs[4] <= 5 * 3
+
+
+def test_trees_split_categories_and_numbers_as_spark_reads_them(spark):
+    """The sums of the passes choose the best split; the model's own scores are those of the evaluation."""
+    x = spark.range(4000).select(
+        (F.col("id") % 7).cast("double").alias("c", metadata={"ml_attr": {"type": "nominal", "num_vals": 7, "name": "c"}}),
+        F.rand(3).alias("x"), (F.col("id") % 5 == 0).alias("is_valid"), (F.col("id") % 5 > 0).alias("is_fit"))
+    x = x.withColumn("click", (F.col("c").isin(1, 4, 6) | (F.col("x") > 0.9)).cast("int"))
+    feats = VectorAssembler(inputCols=["c", "x"], outputCol="features").transform(x).checkpoint()
+    model = boosting.boost(feats, "click", BoostParams(n_estimators=3, max_depth=2, subsample=1.0, colsample_bytree=1.0)).model
+    first = model.trees[0].toDebugString
+    assert "feature 0 in {1.0,4.0,6.0}" in first or "feature 0 in {0.0,2.0,3.0,5.0}" in first
+    own = [r.p for r in model.transform(feats).orderBy("click", "x").select(modeling.positive_probability().alias("p")).collect()]
+    scored = boosting.with_probability(model, feats, "click", "x")
+    assert "MapInArrow" in plan(scored)
+    assert [r.p for r in scored.orderBy("click", "x").collect()] == pytest.approx(own, abs=1e-12)
+    means = {bool(r.click): r.p for r in scored.groupBy("click").agg(F.avg("p").alias("p")).collect()}
+    assert means[True] > 0.8 and means[False] < 0.3
+
+
 def test_without_rows_to_stop_on_all_trees_are_kept(spark):
     feats = boosting_frame(spark, 400).withColumn("is_valid", F.lit(False))
     assert len(boosting.boost(feats, "click", BoostParams(n_estimators=3, max_depth=2)).model.trees) == 3
