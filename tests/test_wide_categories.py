@@ -184,6 +184,25 @@ def test_trees_split_categories_and_numbers_as_spark_reads_them(spark):
     assert means[True] > 0.8 and means[False] < 0.3
 
 
+def test_passes_are_data_frames_that_send_one_row(spark, monkeypatch):
+    """Many blocks and tasks give the trees of one block; the caller's session keeps its settings."""
+    feats, passes, own = boosting_frame(spark), [], boosting._summed
+    params = BoostParams(n_estimators=3, max_depth=2, learning_rate=0.3, subsample=1.0, colsample_bytree=1.0, early_stopping_rounds=3)
+    whole = boosting.boost(feats, "click", params)
+
+    def seen(blocks, *args):
+        passes.append((type(blocks), blocks.select(F.spark_partition_id()).distinct().count() if not passes else None))
+        return own(blocks, *args)
+
+    monkeypatch.setattr(boosting, "_summed", seen)
+    monkeypatch.setattr(boosting, "BLOCK", 100)
+    cut = boosting.boost(feats, "click", params)
+    assert len(passes) == 3 * 2 + 1 and {kind for kind, _ in passes} == {type(feats)} and passes[0][1] > 1
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.model.trees] == [t.toDebugString.split("\n", 1)[1] for t in whole.model.trees]
+    assert cut.losses == pytest.approx(whole.losses, rel=1e-12)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_without_rows_to_stop_on_all_trees_are_kept(spark):
     feats = boosting_frame(spark, 400).withColumn("is_valid", F.lit(False))
     assert len(boosting.boost(feats, "click", BoostParams(n_estimators=3, max_depth=2)).model.trees) == 3
