@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -223,3 +224,29 @@ def test_rates_query_joins_the_identities_once(spark, scratch):
     kept = E.queries()["e1_model1_frame"](spark, scratch)
     assert not read and "customer.parquet" not in plan(out) and "customer.parquet" in plan(kept)
     assert out.count() == kept.count() > 20 and out.where("campaign_id_rate IS NULL OR traffic_source_id_rate IS NULL").count() == 0
+
+
+def test_tasks_that_hold_their_rows_fit_the_trees_of_the_passes(spark, monkeypatch):
+    """One job for many trees: the same trees and losses, with more tasks than blocks and from job to job."""
+    x = boosting_frame(spark).withColumn("c", (F.rand(5) * 7).cast("int").cast("double"))
+    c = F.col("c").alias("c", metadata={"ml_attr": {"type": "nominal", "num_vals": 7, "name": "c"}})
+    feats = VectorAssembler(inputCols=["features", "c"], outputCol="all").transform(x.select("features", "click", "is_valid", "is_fit", c))
+    feats = feats.select(F.col("all").alias("features"), "click", "is_valid", "is_fit").checkpoint()
+    params = BoostParams(n_estimators=7, max_depth=4, learning_rate=0.3, subsample=0.8, colsample_bytree=0.7, early_stopping_rounds=3)
+    monkeypatch.setattr(boosting, "BLOCK", 700)
+    passes = boosting.boost(feats, "click", params)
+    monkeypatch.setattr(boosting, "HOLD", 1)
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 1000)
+    monkeypatch.setattr(boosting, "JOINT", 200)
+    monkeypatch.setattr(boosting, "_run", None)
+    sent = cloudpickle.dumps(boosting._holder(None, "/x", boosting.Bins([0], [[]]), params, 3, 7, 3, True))
+    assert b"adresponse.config" not in sent  # executors need no copy of the package
+    for trees in (50, 3):
+        monkeypatch.setattr(boosting, "RELIABLE", trees)
+        spark.sparkContext.setJobGroup(f"held-{trees}", "trees")
+        held = boosting.boost(feats, "click", params)
+        assert held.losses == passes.losses and len(held.losses) == 7
+        assert [t.toDebugString.split("\n", 1)[1] for t in held.model.trees] == [t.toDebugString.split("\n", 1)[1] for t in passes.model.trees]
+    jobs = [len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"held-{trees}")) for trees in (50, 3)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs[1] - jobs[0] <= 4
