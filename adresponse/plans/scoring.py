@@ -3,7 +3,9 @@
 Scoring is map-only: the fitted pipeline adds column expressions and a tree
 ensemble evaluation per row; the only join is the campaign lookup of model 2
 (its key checked unique).  Routing assigns each request to a
-model by a hash of its key, so each request is scored exactly once.
+model by a hash of its key, so each request is scored exactly once.  A model of
+more than ``WALKED`` trees scores batches of rows (Arrow), tree by tree: Spark's
+classifier walks the nodes of every tree for one row after the other.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from ..config import MISSING_NUMBER, ROUTE_SEED
 from ..functions.cleaning import clean_frame, clean_gender, clean_number, clean_os, clean_traffic_source, parse_number_text
 from ..functions.hashing import below
 from ..operators.features import cast_features, lookup_features
+from .boosting import with_probability
 from .modeling import KEY, ClickModel, positive_probability
 
+WALKED = 12  # trees that Spark's classifier walks row by row
 MARKED_NUMBERS = ("age", "household_income")  # features whose number -1 means missing
 
 
@@ -152,13 +156,16 @@ def score(model: ClickModel, requests: DataFrame, campaigns: DataFrame | None =
         df = lookup_features(cast_features(df, loaded), campaigns, names=spec.lookup_features)
     elif not cleaned:
         df = clean_frame(df, "serve")
-    out = model.pipeline.transform(df)
-    keep = [k for k in keys if k in requests.columns]
+    carried = [*[k for k in keys if k in requests.columns], "campaign_id", "position"]
+    if model.n_trees > WALKED:
+        for stage in model.pipeline.stages[:-1]:
+            df = stage.transform(df)
+        out = with_probability(model.pipeline.stages[-1], df, *dict.fromkeys([*carried, *(["request"] if capture else [])]), p="model_ctr")
+    else:
+        out = model.pipeline.transform(df).withColumn("model_ctr", positive_probability())
     return out.select(
-        *keep,
-        "campaign_id",
-        "position",
-        positive_probability().alias("model_ctr"),
+        *carried,
+        "model_ctr",
         F.lit(model.version_tag).alias("model_version"),
         *(["request"] if capture else []),
     )
@@ -198,7 +205,8 @@ def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, ca
 
     Both models' features are put beside each other first; the trees of both
     then stand in one projection under the route's condition, so a request is
-    read once and runs through the trees of its own model alone.
+    read once and runs through the trees of its own model alone.  Models of
+    many trees score batches, in which the other model's requests are NULL.
     """
     check_requests(requests, model1)
     check_requests(requests, model2)
@@ -213,8 +221,15 @@ def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, ca
     df = _assembled(model1, df, None, carried, 1)
     carried = df.columns
     df = _assembled(model2, df, campaigns, carried, 2)
+    df, p = df.drop("__sent"), {}
     for n, model in ((1, model1), (2, model2)):
         trees = model.pipeline.stages[-1]
+        if model.n_trees > WALKED:
+            p[n], others = F.col(f"__p{n}"), [c for c in df.columns if c != f"__features{n}"]
+            own = df.withColumn(f"__features{n}", F.when(F.col("served_model") == f"MODEL{n}", F.col(f"__features{n}")))
+            df = with_probability(trees, own, *others, features=f"__features{n}", p=f"__p{n}")
+            continue
+        p[n] = positive_probability(f"__probability{n}")
         df = trees.transform(df, {trees.featuresCol: f"__features{n}", trees.rawPredictionCol: f"__raw{n}",
                                   trees.probabilityCol: f"__probability{n}", trees.predictionCol: f"__prediction{n}"})
     first = F.col("served_model") == "MODEL1"
@@ -222,7 +237,7 @@ def score_routed(requests: DataFrame, model1: ClickModel, model2: ClickModel, ca
         key,
         F.when(first, F.col("__campaign1")).otherwise(F.col("__campaign2")).alias("campaign_id"),
         F.when(first, F.col("__position1")).otherwise(F.col("__position2").try_cast("int")).alias("position"),
-        F.when(first, positive_probability("__probability1")).otherwise(positive_probability("__probability2")).alias("model_ctr"),
+        F.when(first, p[1]).otherwise(p[2]).alias("model_ctr"),
         F.when(first, F.lit(model1.version_tag)).otherwise(F.lit(model2.version_tag)).alias("model_version"),
         *([F.col("__request").alias("request")] if capture else []),
         "served_model",

@@ -209,3 +209,24 @@ def test_lookup_cleaning_twice_is_once(spark):
     rows = spark.createDataFrame([("-1", "-1"), ("42", "NA")], "age string, household_income string")
     once = clean_frame(rows, "lookup")
     assert clean_frame(once, "lookup").collect() == once.collect()
+
+
+def test_many_trees_score_batches(spark, m1, monkeypatch):
+    """Above ``WALKED`` trees rows run in batches: the same requests and scores, alone, routed and captured."""
+    model, _ = m1
+    t, camp = learnable_training(spark), tables.campaign_features(spark, SF001)
+    model2 = modeling.fit(modeling.prepare(t, MODEL2, camp), MODEL2, SMALL, run_id="t3")
+
+    def made():
+        return (scoring.score(model, t, capture=True), scoring.score(model2, t, camp),
+                scoring.score_routed(t, model, model2, camp, pct_model1=30.0, capture=True), scoring.score_routed(t, model, model2, camp, pct_model1=100.0))
+
+    walked = made()
+    monkeypatch.setattr(scoring, "WALKED", 0)
+    for own, batches in zip(walked, made()):
+        assert "MapInArrow" in batches._jdf.queryExecution().toString() and "MapInArrow" not in own._jdf.queryExecution().toString()
+        assert own.columns == batches.columns and [f.dataType for f in own.schema] == [f.dataType for f in batches.schema]
+        a, b = (sorted((r.asDict() for r in df.collect()), key=lambda r: r["event_id"]) for df in (own, batches))
+        assert len(a) == len(b) and [{**r, "model_ctr": 0} for r in a] == [{**r, "model_ctr": 0} for r in b]
+        assert [r["model_ctr"] for r in b] == pytest.approx([r["model_ctr"] for r in a], abs=1e-12)
+    assert t.count() == walked[0].count() > 1000
